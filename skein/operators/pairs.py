@@ -111,8 +111,7 @@ def record_pairs(df: DataFrame, cols=("id", "parent_id", "author", "body")) -> D
     keep = ["pos", *[c for c in cols if c in df.columns]]
     out = asof_join(replies.select(*keep, "_key"), replies.select(*keep),
                     left_key="_key", right_key="id", inclusive=True)
-    return out.select(*keep, *[F.col(f"p_{c}").alias(f"parent_{c}" if c != "pos" else "parent_pos")
-                               for c in keep]).withColumnRenamed("parent_parent_id", "parent_parent_id")
+    return out.select(*keep, *[f"p_{c}" for c in keep])
 
 
 def count_reply_pairs(df: DataFrame) -> DataFrame:

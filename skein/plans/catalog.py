@@ -1,6 +1,9 @@
 """Registered queries: one per operator of the inventory, each (spark, sf_dir) -> DataFrame.
 
 Every query reads the supplied tables (or data Spark derives from them) in full.
+Bindings: ``conversations`` -> comments (reply trees), ``documents`` -> text and
+vocabulary, ``documents`` + ``labels`` -> labelled sentences, ``events`` ->
+ordered stream operators and JSON, ``pages`` -> special-character cleaning.
 """
 
 from __future__ import annotations
@@ -10,7 +13,11 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import pairs
+from skein.functions import predicates as P
+from skein.functions import text as T
+from skein.operators import ordered as O
+from skein.operators import pairs, rows, stats, vocab
+from skein.session import table
 from skein.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +31,440 @@ def query(name: str):
     return deco
 
 
-# ---------------------------------------------------------------- pairs (J)
+def _comments(spark, d):
+    return tables.comments(spark, d)
+
+
+def _prep(spark, d):
+    """Comments as the pair extractor prepares them: parent keys, no deleted
+    rows, whitespace collapsed."""
+    return pairs.preprocess(pairs.modify_parent_id(_comments(spark, d)))
+
+
+def _docs(spark, d):
+    return table(spark, d, "documents")
+
+
+def _events(spark, d):
+    return tables.events(spark, d)
+
+
+def _doc_tokens(spark, d):
+    """documents with the explorer's full text pipeline applied (H6)."""
+    return _docs(spark, d).select(
+        F.col("doc_id").alias("pos"),
+        T.preprocess_text("text", strip_specials=True, strip_digits_=True, trim=True,
+                          lower=True, tokenize_=True).alias("tokens"))
+
+
+def _joined(tokens):
+    return F.array_join(tokens, " ")
+
+
+# ---------------------------------------------------------------- pairs (J, A6)
 
 @query("training_pairs")
 def q_training_pairs(spark, d):
-    return pairs.extract_pairs(tables.comments(spark, d))
+    return pairs.extract_pairs(_comments(spark, d))
+
+
+@query("pairs_tsv")
+def q_pairs_tsv(spark, d):
+    p = pairs.extract_pairs(_comments(spark, d))
+    return p.select("pos", F.concat_ws("\t", "parent_body", "reply_body").alias("line"))
+
+
+@query("parent_key")
+def q_parent_key(spark, d):
+    return _comments(spark, d).select("id", pairs.parent_key("parent_id", strict=True).alias("parent_key"))
+
+
+@query("list_pairs")
+def q_list_pairs(spark, d):
+    return pairs.list_pairs(_comments(spark, d))
+
+
+@query("list_pairs_raw")
+def q_list_pairs_raw(spark, d):
+    return pairs.list_pairs(_comments(spark, d), keep_parent=True)
+
+
+@query("verified_pairs")
+def q_verified_pairs(spark, d):
+    return pairs.verified_pairs(_prep(spark, d))
+
+
+@query("paired_ids")
+def q_paired_ids(spark, d):
+    return pairs.paired_ids(pairs.verified_pairs(_prep(spark, d)))
+
+
+@query("body_pairs")
+def q_body_pairs(spark, d):
+    return pairs.body_pairs(_prep(spark, d))
+
+
+@query("record_pairs")
+def q_record_pairs(spark, d):
+    return pairs.record_pairs(_comments(spark, d))
+
+
+@query("count_reply_pairs")
+def q_count_reply_pairs(spark, d):
+    return pairs.count_reply_pairs(_comments(spark, d))
+
+
+@query("direct_replies")
+def q_direct_replies(spark, d):
+    return pairs.direct_replies(_comments(spark, d))
+
+
+@query("pair_preprocess")
+def q_pair_preprocess(spark, d):
+    """Custom hooks: only users' comments, lower-cased and trimmed, at least 20 chars."""
+    prep = pairs.preprocess(
+        pairs.modify_parent_id(_comments(spark, d)),
+        pre_filter=lambda: P.not_deleted("body") & (F.col("author") == "user"),
+        transform=rows.compose(rows.wrap(T.to_lower), rows.wrap(T.trim_whitespace)),
+        post_filter=lambda: P.min_text_length(20, "body"),
+    )
+    return pairs.body_pairs(prep)
+
+
+# ---------------------------------------------------------------- text (H, F1)
+
+def _doc_text(fn):
+    return lambda spark, d: _docs(spark, d).select("doc_id", fn(F.col("text")).alias("text"))
+
+
+QUERIES["trim_whitespace"] = _doc_text(T.trim_whitespace)
+QUERIES["strip_digits"] = _doc_text(T.strip_digits)
+QUERIES["to_lower"] = _doc_text(T.to_lower)
+QUERIES["strip_emails"] = _doc_text(T.strip_emails)
+QUERIES["strip_ips"] = _doc_text(T.strip_ips)
+QUERIES["remove_specials"] = _doc_text(T.remove_specials)
+QUERIES["remove_digits"] = _doc_text(T.remove_digits)
+
+
+@query("keep_alnum")
+def q_keep_alnum(spark, d):
+    return table(spark, d, "pages").select("page_id", T.keep_alnum("html").alias("html"))
+
+
+@query("tokenize")
+def q_tokenize(spark, d):
+    t = _docs(spark, d).select("doc_id", T.tokenize("text").alias("t"))
+    return t.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), _joined(F.col("t")).alias("tokens"))
+
+
+@query("preprocess_full")
+def q_preprocess_full(spark, d):
+    t = _doc_tokens(spark, d)
+    return t.select(F.col("pos").alias("doc_id"), F.size("tokens").cast("bigint").alias("n_tokens"),
+                    _joined(F.col("tokens")).alias("tokens"))
+
+
+@query("text_length")
+def q_text_length(spark, d):
+    return _docs(spark, d).select("doc_id", T.text_length("text").cast("bigint").alias("length"),
+                                  T.token_count(T.tokenize("text")).cast("bigint").alias("n_words"))
+
+
+@query("clean_labelled")
+def q_clean_labelled(spark, d):
+    s = tables.labelled_sentences(spark, d)
+    return s.select("index", "Class", T.clean_labelled("Sentence").alias("Sentence"))
+
+
+# ---------------------------------------------------------------- rows (B) and predicates (P)
+
+@query("map_project")
+def q_map_project(spark, d):
+    e = _events(spark, d)
+    return rows.map_rows(e.select("event_id", "value", "event_type"),
+                         value=F.round((F.col("value") + 2) * 3, 6),
+                         event_type=F.upper("event_type"))
+
+
+@query("flat_map_range")
+def q_flat_map_range(spark, d):
+    """flat_map(range): each event expands to (event_id % 4) rows 0..n-1."""
+    e = _events(spark, d).select("event_id", (F.col("event_id") % 4).alias("n"))
+    return rows.flat_map(e, rows.range_array("n"), name="value", keep=["event_id"])
+
+
+@query("flat_map_tokens")
+def q_flat_map_tokens(spark, d):
+    docs = _docs(spark, d).select("doc_id", T.tokenize("text").alias("t"))
+    return rows.flat_map(docs, "t", name="token", keep=["doc_id"])
+
+
+@query("filter_rows")
+def q_filter_rows(spark, d):
+    e = _events(spark, d).select("event_id", "event_type", "value")
+    return rows.filter_rows(e, (F.col("event_type") == "click") & (F.col("value") > 10))
+
+
+@query("wrap_field")
+def q_wrap_field(spark, d):
+    c = _comments(spark, d).select("id", "body")
+    return rows.wrap(T.keep_alnum, "body")(c)
+
+
+@query("compose_chain")
+def q_compose_chain(spark, d):
+    f = rows.compose(T.keep_alnum, T.to_lower, T.trim_whitespace)
+    return _docs(spark, d).select("doc_id", f(F.col("text")).alias("text"))
+
+
+@query("with_computed")
+def q_with_computed(spark, d):
+    e = _events(spark, d).select("event_id", "user_id")
+    out = rows.with_computed(e, F.col("user_id") * 2 + 1, name="computed")
+    return out.select("record.*", "computed")
+
+
+@query("strip_fields")
+def q_strip_fields(spark, d):
+    return rows.strip_fields(_comments(spark, d), ["author", "subreddit", "no_such_field"])
+
+
+@query("keep_fields")
+def q_keep_fields(spark, d):
+    return rows.keep_fields(_comments(spark, d), ["id", "body", "no_such_field"])
+
+
+@query("peek_observe")
+def q_peek_observe(spark, d):
+    e = _events(spark, d).select("event_id", "event_type")
+    tapped, _obs = rows.peek(e, rows=F.count(F.lit(1)), max_id=F.max("event_id"))
+    return tapped
+
+
+@query("keep_groups")
+def q_keep_groups(spark, d):
+    return P.keep_groups(_comments(spark, d), ["s1", "s3"]).select("pos", "id", "subreddit")
+
+
+@query("strip_groups")
+def q_strip_groups(spark, d):
+    return P.strip_groups(_comments(spark, d), ["s1", "s3"]).select("pos", "id", "subreddit")
+
+
+@query("not_deleted")
+def q_not_deleted(spark, d):
+    return _comments(spark, d).where(P.not_deleted("body")).select("pos", "id")
+
+
+@query("on_comment")
+def q_on_comment(spark, d):
+    return _comments(spark, d).where(P.on_comment("parent_id")).select("pos", "id")
+
+
+@query("min_length")
+def q_min_length(spark, d):
+    return _docs(spark, d).where(P.min_text_length(1000, "text")).select("doc_id")
+
+
+@query("max_length")
+def q_max_length(spark, d):
+    return _docs(spark, d).where(P.max_text_length(500, "text")).select("doc_id")
+
+
+# ---------------------------------------------------------------- ordered (L, S, E9-E15)
+
+@query("take_n")
+def q_take_n(spark, d):
+    return O.take(_events(spark, d).select("pos", "event_id", "event_type"), 100)
+
+
+@query("drop_n")
+def q_drop_n(spark, d):
+    return O.drop(_events(spark, d).select("pos", "event_id"), 1000)
+
+
+@query("take_while")
+def q_take_while(spark, d):
+    return O.take_while(_events(spark, d).select("pos", "value"), F.col("value") < 300)
+
+
+@query("drop_while")
+def q_drop_while(spark, d):
+    return O.drop_while(_events(spark, d).select("pos", "value"), F.col("value") < 300)
+
+
+@query("read_max")
+def q_read_max(spark, d):
+    return O.take(_comments(spark, d), 100).select("pos", "id")
+
+
+@query("process_max")
+def q_process_max(spark, d):
+    c = O.take(_comments(spark, d).where(P.not_deleted("body")), 100)
+    return P.strip_groups(c, ["s1"]).select("pos", "id", "subreddit")
+
+
+@query("concat_streams")
+def q_concat_streams(spark, d):
+    e = _events(spark, d).select("pos", "event_id", "event_type")
+    return O.concat(e.where(F.col("event_type") == "click"), e.where(F.col("event_type") == "view"))
+
+
+@query("distinct_first")
+def q_distinct_first(spark, d):
+    return O.distinct_first(_events(spark, d), ["user_id"])
+
+
+@query("count_rows")
+def q_count_rows(spark, d):
+    return O.count_rows(_events(spark, d))
+
+
+@query("reduce_sum")
+def q_reduce_sum(spark, d):
+    return O.reduce(_events(spark, d), "user_id", "sum", seed=4)
+
+
+@query("reduce_ordered")
+def q_reduce_ordered(spark, d):
+    """Per user, the fold ``lambda a, b: a`` over event types: the first one."""
+    return O.to_dict_merge(_events(spark, d), "user_id", "event_type", merge="first")
+
+
+@query("to_dict_last")
+def q_to_dict_last(spark, d):
+    return O.to_dict_last(_events(spark, d), "user_id", "event_type")
+
+
+@query("to_dict_merge")
+def q_to_dict_merge(spark, d):
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    return O.to_dict_merge(_events(spark, d), "event_type", k, merge="sum")
+
+
+@query("to_set")
+def q_to_set(spark, d):
+    return O.to_set(_events(spark, d), ["event_type"])
+
+
+@query("to_list")
+def q_to_list(spark, d):
+    e = _events(spark, d).where(F.col("event_type") == "purchase")
+    return O.to_list(e, "event_id")
+
+
+@query("to_string")
+def q_to_string(spark, d):
+    e = _events(spark, d).where(F.col("event_type") == "purchase")
+    return O.to_string(e, "user_id", sep=":")
+
+
+# ---------------------------------------------------------------- statistics
+
+@query("summary_totals")
+def q_summary_totals(spark, d):
+    return stats.summary_totals(_comments(spark, d))
+
+
+@query("summary_groups")
+def q_summary_groups(spark, d):
+    return stats.summary_groups(_comments(spark, d))
+
+
+@query("inconsistent_names")
+def q_inconsistent_names(spark, d):
+    return stats.inconsistent_names(_comments(spark, d))
+
+
+@query("group_counts")
+def q_group_counts(spark, d):
+    return stats.group_counts(_comments(spark, d))
+
+
+def _records(spark, d):
+    return stats.records_as_json(_comments(spark, d))
+
+
+@query("list_fields")
+def q_list_fields(spark, d):
+    return stats.list_fields(_records(spark, d))
+
+
+@query("count_fields")
+def q_count_fields(spark, d):
+    return stats.count_fields(_records(spark, d))
+
+
+@query("count_field_values")
+def q_count_field_values(spark, d):
+    return stats.count_field_values(_records(spark, d))
+
+
+@query("json_scan")
+def q_json_scan(spark, d):
+    e = _events(spark, d).select("event_id", F.from_json("props", "k bigint").alias("p"))
+    return e.select("event_id", F.col("p.k").alias("k"))
+
+
+# ---------------------------------------------------------------- vocabulary (V)
+
+def _vocab(spark, d, min_count=1):
+    return vocab.build_vocab(_doc_tokens(spark, d), "tokens", min_count=min_count)
+
+
+@query("vocab")
+def q_vocab(spark, d):
+    return _vocab(spark, d)
+
+
+@query("encode")
+def q_encode(spark, d):
+    toks = _doc_tokens(spark, d)
+    enc = vocab.encode(toks, "tokens", vocab.build_vocab(toks, "tokens"))
+    return enc.select(F.col("pos").alias("doc_id"), F.size("codes").cast("bigint").alias("n_codes"),
+                      F.array_join(F.transform("codes", lambda c: c.cast("string")), " ").alias("codes"))
+
+
+def _listing(by, reverse):
+    def q(spark, d):
+        from skein.operators.indexing import dense_index
+        v = _vocab(spark, d)
+        key = {"count": "count", "index": "index"}.get(by or "word", "word")
+        primary = F.col(key).desc() if reverse else F.col(key).asc()
+        return dense_index(v, [primary, F.col("index").asc()], "rank")
+    return q
+
+
+QUERIES["vocab_by_count"] = _listing("count", True)
+QUERIES["vocab_by_word"] = _listing(None, False)
+
+
+@query("vocab_brief")
+def q_vocab_brief(spark, d):
+    return vocab.vocab_brief(_vocab(spark, d))
+
+
+@query("vocab_lookup")
+def q_vocab_lookup(spark, d):
+    bench = table(spark, d, "benchmark").select(
+        F.explode(T.preprocess_text("text", True, True, True, True, True)).alias("word")).distinct()
+    return vocab.lookup(_vocab(spark, d), bench, "word")
+
+
+@query("char_vocab")
+def q_char_vocab(spark, d):
+    c = _comments(spark, d).select("pos", T.chars("body").alias("chars"))
+    return vocab.build_vocab(c, "chars")
+
+
+@query("vocab_pruned")
+def q_vocab_pruned(spark, d):
+    return _vocab(spark, d, min_count=5)
+
+
+@query("vocab_by_group")
+def q_vocab_by_group(spark, d):
+    docs = P.keep_groups(_docs(spark, d), ["de"], "lang")
+    toks = docs.select(F.col("doc_id").alias("pos"),
+                       T.preprocess_text("text", True, True, True, True, True).alias("tokens"))
+    return vocab.build_vocab(toks, "tokens")

@@ -57,3 +57,177 @@ FROM p2 c ASOF JOIN p2 p ON p.id = c.parent_id AND c.pos >= p.pos"""
 ORACLE: dict[str, str] = {
     "training_pairs": TRAINING_PAIRS,
 }
+
+
+# ---------------------------------------------------------------- helpers
+
+def keep_alnum(x: str) -> str:
+    return f"regexp_replace({x}, '{NON_WORD}+', ' ', 'g')"
+
+
+def strip_digits(x: str) -> str:
+    return f"regexp_replace({x}, '{DIGIT}+', ' ', 'g')"
+
+
+def preprocess_full(x: str) -> str:
+    return lower(trim_ws(strip_digits(keep_alnum(x))))
+
+
+def lower(x: str) -> str:
+    return f"lower({x})"
+
+
+def clean_labelled(x: str) -> str:
+    s = f"regexp_replace(lower({x}), '{EMAIL}', '', 'g')"
+    s = f"regexp_replace({s}, '{IPV4}', '', 'g')"
+    s = f"regexp_replace({s}, '[^{WORD_CLASS}{WS_CLASS}]', '', 'g')"
+    return f"regexp_replace({s}, '{DIGIT}', '', 'g')"
+
+
+def vocab_sql(src: str, min_count: int = 1) -> str:
+    """CTEs ex, agg, fi, voc over a CTE ``src(pos, t)`` of token lists."""
+    having = f"HAVING count(*) >= {min_count}" if min_count > 1 else ""
+    return f"""ex AS (SELECT pos, unnest(t) AS word, unnest(range(len(t))) AS i FROM {src}),
+agg AS (SELECT word, count(*) AS count, min(pos) AS fp FROM ex GROUP BY word {having}),
+fi AS (SELECT e.word, min(e.i) AS fi FROM ex e JOIN agg a ON a.word = e.word AND e.pos = a.fp GROUP BY e.word),
+voc AS (SELECT a.word, row_number() OVER (ORDER BY a.fp, fi.fi) - 1 AS index, a.count
+        FROM agg a JOIN fi ON fi.word = a.word)"""
+
+
+DOC_TOKENS = f"src AS (SELECT doc_id AS pos, {tokens(preprocess_full('text'))} AS t FROM documents)"
+R_CTE = f"r AS (SELECT pos, id, parent_id, author, body, {pkey()} AS k FROM base WHERE instr(parent_id, '_c') > 0)"
+RP_SELECT = """SELECT c.pos, c.id, c.parent_id, c.author, c.body, p.pos AS p_pos, p.id AS p_id,
+       p.parent_id AS p_parent_id, p.author AS p_author, p.body AS p_body
+FROM r c ASOF JOIN r p ON p.id = c.k AND c.pos >= p.pos"""
+STOP = "(SELECT min(event_id) FROM events WHERE NOT coalesce(value < 300, false))"
+UNPIVOT = """(UNPIVOT (SELECT pos, id, parent_id, subreddit, subreddit_id, author, body FROM comments)
+   ON id, parent_id, subreddit, subreddit_id, author, body INTO NAME field VALUE val)"""
+BODY_PAIRS_ON = """SELECT c.pos, c.id, c.parent_id, p.pos AS parent_pos, p.body AS parent_body, c.body AS reply_body
+FROM {t} c ASOF JOIN {t} p ON p.id = c.parent_id AND c.pos >= p.pos"""
+
+
+def _doc_text(expr: str) -> str:
+    return f"SELECT doc_id, {expr} AS text FROM documents"
+
+
+ORACLE.update({
+    # ---- pairs
+    "pairs_tsv": f"""WITH {COMMENTS}, {PREP}, {VERIFIED},
+ids AS (SELECT id FROM vp UNION SELECT parent_id FROM vp),
+p2 AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ids))
+SELECT c.pos, p.body || chr(9) || c.body AS line
+FROM p2 c ASOF JOIN p2 p ON p.id = c.parent_id AND c.pos >= p.pos""",
+    "parent_key": f"WITH {COMMENTS} SELECT id, {pkey()} AS parent_key FROM comments",
+    "list_pairs": f"WITH {COMMENTS} SELECT pos, id, {pkey()} AS parent_id FROM comments WHERE instr(parent_id, '_c') > 0",
+    "list_pairs_raw": f"WITH {COMMENTS} SELECT pos, id, parent_id FROM comments WHERE instr(parent_id, '_c') > 0",
+    "verified_pairs": f"WITH {COMMENTS}, {PREP}, {VERIFIED} SELECT pos, id, parent_id FROM vp",
+    "paired_ids": f"WITH {COMMENTS}, {PREP}, {VERIFIED} SELECT id FROM vp UNION SELECT parent_id FROM vp",
+    "body_pairs": f"WITH {COMMENTS}, {PREP} " + BODY_PAIRS_ON.format(t="prep"),
+    "record_pairs": f"WITH {COMMENTS}, base AS (SELECT * FROM comments), {R_CTE} {RP_SELECT}",
+    "count_reply_pairs": f"""WITH {COMMENTS}, base AS (SELECT * FROM comments WHERE body IS DISTINCT FROM '[deleted]'),
+{R_CTE}, pairs AS ({RP_SELECT}) SELECT count(*) AS n_pairs FROM pairs""",
+    "direct_replies": f"""WITH {COMMENTS} SELECT p.id, p.pos, r.id AS reply_id, r.pos AS reply_pos
+FROM comments p JOIN comments r ON {pkey('r.parent_id')} = p.id""",
+    "pair_preprocess": f"""WITH {COMMENTS},
+pp AS (SELECT pos, id, {pkey()} AS parent_id, {trim_ws('lower(body)')} AS body FROM comments
+       WHERE body IS DISTINCT FROM '[deleted]' AND author = 'user'),
+prep AS (SELECT * FROM pp WHERE length(body) >= 20) """ + BODY_PAIRS_ON.format(t="prep"),
+    # ---- text
+    "trim_whitespace": _doc_text(trim_ws("text")),
+    "strip_digits": _doc_text(strip_digits("text")),
+    "to_lower": _doc_text("lower(text)"),
+    "strip_emails": _doc_text(f"regexp_replace(text, '{EMAIL}', '', 'g')"),
+    "strip_ips": _doc_text(f"regexp_replace(text, '{IPV4}', '', 'g')"),
+    "remove_specials": _doc_text(f"regexp_replace(text, '[^{WORD_CLASS}{WS_CLASS}]', '', 'g')"),
+    "remove_digits": _doc_text(f"regexp_replace(text, '{DIGIT}', '', 'g')"),
+    "keep_alnum": f"SELECT page_id, {keep_alnum('html')} AS html FROM pages",
+    "tokenize": f"""SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens
+FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""",
+    "preprocess_full": f"""WITH {DOC_TOKENS}
+SELECT pos AS doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens FROM src""",
+    "text_length": f"""SELECT doc_id, CAST(length(text) AS BIGINT) AS length,
+CAST(len({tokens('text')}) AS BIGINT) AS n_words FROM documents""",
+    "clean_labelled": f"""SELECT d.doc_id AS "index", CAST(l.quality AS INTEGER) AS "Class",
+{clean_labelled('d.text')} AS "Sentence" FROM documents d JOIN labels l ON l.doc_id = d.doc_id""",
+    # ---- rows and predicates
+    "map_project": "SELECT event_id, round((value + 2) * 3, 6) AS value, upper(event_type) AS event_type FROM events",
+    "flat_map_range": """SELECT event_id, CAST(unnest(range(event_id % 4)) AS INTEGER) AS elem,
+unnest(range(event_id % 4)) AS value FROM events""",
+    "flat_map_tokens": f"""SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS elem, unnest(t) AS token
+FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""",
+    "filter_rows": "SELECT event_id, event_type, value FROM events WHERE event_type = 'click' AND value > 10",
+    "wrap_field": f"WITH {COMMENTS} SELECT id, {keep_alnum('body')} AS body FROM comments",
+    "compose_chain": _doc_text(trim_ws(f"lower({keep_alnum('text')})")),
+    "with_computed": "SELECT event_id, user_id, user_id * 2 + 1 AS computed FROM events",
+    "strip_fields": f"WITH {COMMENTS} SELECT pos, id, parent_id, subreddit_id, body FROM comments",
+    "keep_fields": f"WITH {COMMENTS} SELECT id, body FROM comments",
+    "peek_observe": "SELECT event_id, event_type FROM events",
+    "keep_groups": f"WITH {COMMENTS} SELECT pos, id, subreddit FROM comments WHERE subreddit IN ('s1', 's3')",
+    "strip_groups": f"""WITH {COMMENTS} SELECT pos, id, subreddit FROM comments
+WHERE NOT coalesce(subreddit IN ('s1', 's3'), false)""",
+    "not_deleted": f"WITH {COMMENTS} SELECT pos, id FROM comments WHERE body IS DISTINCT FROM '[deleted]'",
+    "on_comment": f"WITH {COMMENTS} SELECT pos, id FROM comments WHERE instr(parent_id, '_c') > 0",
+    "min_length": "SELECT doc_id FROM documents WHERE length(text) >= 1000",
+    "max_length": "SELECT doc_id FROM documents WHERE length(text) <= 500",
+    # ---- ordered
+    "take_n": "SELECT event_id AS pos, event_id, event_type FROM events ORDER BY event_id LIMIT 100",
+    "drop_n": "SELECT event_id AS pos, event_id FROM events ORDER BY event_id OFFSET 1000",
+    "take_while": f"SELECT event_id AS pos, value FROM events WHERE {STOP} IS NULL OR event_id < {STOP}",
+    "drop_while": f"SELECT event_id AS pos, value FROM events WHERE event_id >= {STOP}",
+    "read_max": f"WITH {COMMENTS} SELECT pos, id FROM comments ORDER BY pos LIMIT 100",
+    "process_max": f"""WITH {COMMENTS}, t AS (SELECT * FROM comments WHERE body IS DISTINCT FROM '[deleted]'
+ORDER BY pos LIMIT 100) SELECT pos, id, subreddit FROM t WHERE NOT coalesce(subreddit IN ('s1'), false)""",
+    "concat_streams": """SELECT event_id AS pos, event_id, event_type, 0 AS src FROM events WHERE event_type = 'click'
+UNION ALL SELECT event_id AS pos, event_id, event_type, 1 AS src FROM events WHERE event_type = 'view'""",
+    "distinct_first": "SELECT user_id, min(event_id) AS first_pos FROM events GROUP BY user_id",
+    "count_rows": "SELECT count(*) AS n FROM events",
+    "reduce_sum": "SELECT CAST(4 + sum(user_id) AS BIGINT) AS result FROM events",
+    "reduce_ordered": "SELECT user_id AS key, arg_min(event_type, event_id) AS value FROM events GROUP BY user_id",
+    "to_dict_last": "SELECT user_id AS key, arg_max(event_type, event_id) AS value FROM events GROUP BY user_id",
+    "to_dict_merge": """SELECT event_type AS key, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS value
+FROM events GROUP BY event_type""",
+    "to_set": "SELECT DISTINCT event_type FROM events",
+    "to_list": """SELECT row_number() OVER (ORDER BY event_id) - 1 AS index, event_id AS value
+FROM events WHERE event_type = 'purchase'""",
+    "to_string": """WITH l AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS index, CAST(user_id AS VARCHAR) AS value
+FROM events WHERE event_type = 'purchase'), m AS (SELECT max(index) AS mx FROM l)
+SELECT index, CASE WHEN index < mx THEN value || ':' ELSE value END AS piece FROM l, m""",
+    # ---- statistics
+    "summary_totals": f"""WITH {COMMENTS}, c AS (SELECT *, coalesce(starts_with({pkey()}, 'c'), false) AS is_pair FROM comments)
+SELECT count(*) AS comments, count(*) FILTER (WHERE body = '[deleted]') AS deleted,
+count(*) FILTER (WHERE NOT is_pair) AS posts, count(*) FILTER (WHERE is_pair) AS pairs,
+count(DISTINCT subreddit_id) + max(CASE WHEN subreddit_id IS NULL THEN 1 ELSE 0 END) AS subreddits FROM c""",
+    "summary_groups": f"""WITH {COMMENTS} SELECT subreddit_id, count(*) AS n, arg_min(subreddit, pos) AS subreddit,
+min(pos) AS first_pos FROM comments GROUP BY subreddit_id""",
+    "inconsistent_names": f"""WITH {COMMENTS}, f AS (SELECT subreddit_id, arg_min(subreddit, pos) AS first_name
+FROM comments GROUP BY subreddit_id)
+SELECT c.subreddit_id, c.pos, c.subreddit, f.first_name FROM comments c JOIN f ON f.subreddit_id = c.subreddit_id
+WHERE c.subreddit IS DISTINCT FROM f.first_name""",
+    "group_counts": f"WITH {COMMENTS} SELECT subreddit, count(*) AS n FROM comments GROUP BY subreddit",
+    "list_fields": f"WITH {COMMENTS} SELECT DISTINCT field FROM {UNPIVOT}",
+    "count_fields": f"WITH {COMMENTS} SELECT field, count(*) AS n, min(pos) AS first_pos FROM {UNPIVOT} GROUP BY field",
+    "count_field_values": f"""WITH {COMMENTS} SELECT field, 'STRING' AS value_type, val AS value, count(*) AS n
+FROM {UNPIVOT} GROUP BY field, val""",
+    "json_scan": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    # ---- vocabulary
+    "vocab": f"WITH {DOC_TOKENS}, {vocab_sql('src')} SELECT word, index, count FROM voc",
+    "encode": f"""WITH {DOC_TOKENS}, {vocab_sql('src')},
+enc AS (SELECT e.pos, string_agg(CAST(v.index AS VARCHAR), ' ' ORDER BY e.i) AS codes, count(*) AS n
+        FROM ex e JOIN voc v ON v.word = e.word GROUP BY e.pos)
+SELECT s.pos AS doc_id, CAST(coalesce(enc.n, 0) AS BIGINT) AS n_codes, coalesce(enc.codes, '') AS codes
+FROM src s LEFT JOIN enc ON enc.pos = s.pos""",
+    "vocab_by_count": f"""WITH {DOC_TOKENS}, {vocab_sql('src')}
+SELECT word, index, count, row_number() OVER (ORDER BY count DESC, index) - 1 AS rank FROM voc""",
+    "vocab_by_word": f"""WITH {DOC_TOKENS}, {vocab_sql('src')}
+SELECT word, index, count, row_number() OVER (ORDER BY word, index) - 1 AS rank FROM voc""",
+    "vocab_brief": f"""WITH {DOC_TOKENS}, {vocab_sql('src')}
+SELECT count(*) AS vocab_size, CAST(sum(count) AS BIGINT) AS total_words FROM voc""",
+    "vocab_lookup": f"""WITH {DOC_TOKENS}, {vocab_sql('src')},
+b AS (SELECT DISTINCT unnest({tokens(preprocess_full('text'))}) AS word FROM benchmark)
+SELECT b.word, v.index, v.count FROM b LEFT JOIN voc v ON v.word = b.word""",
+    "char_vocab": f"""WITH {COMMENTS}, src AS (SELECT pos, regexp_extract_all(body, '(?s).') AS t FROM comments),
+{vocab_sql('src')} SELECT word, index, count FROM voc""",
+    "vocab_pruned": f"WITH {DOC_TOKENS}, {vocab_sql('src', 5)} SELECT word, index, count FROM voc",
+    "vocab_by_group": f"""WITH src AS (SELECT doc_id AS pos, {tokens(preprocess_full('text'))} AS t FROM documents
+WHERE lang = 'de'), {vocab_sql('src')} SELECT word, index, count FROM voc""",
+})

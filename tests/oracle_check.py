@@ -88,7 +88,7 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
     spark = get_spark("local[8]", shuffle_partitions=8, **{"spark.ui.enabled": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
