@@ -118,16 +118,17 @@ def terms(c) -> Column:
     return F.regexp_extract_all(F.lower(as_col(c)), F.lit(TERM), 0)
 
 
+def _gram_of(tokens: Column, n: int):
+    return lambda i: F.array_join(F.slice(tokens, i + 1, n), " ")
+
+
 def word_ngrams(tokens, n_max: int = 2) -> Column:
     """All 1..n_max word n-grams of a token array, joined with one space, in order."""
     tokens = as_col(tokens)
     grams = []
     for n in range(1, n_max + 1):
-        grams.append(F.transform(
-            F.sequence(F.lit(0), F.size(tokens) - n),
-            lambda i, n=n: F.array_join(F.slice(tokens, i + 1, n), " "),
-        ))
-    # sequence(0, -1) yields [0, -1]; keep only complete grams
-    guarded = [F.when(F.size(tokens) >= n, g).otherwise(F.array().cast("array<string>"))
-               for n, g in enumerate(grams, start=1)]
-    return F.flatten(F.array(*guarded))
+        # sequence(0, -1) would count down; arrays shorter than n give no n-gram
+        grams.append(F.when(F.size(tokens) >= n,
+                            F.transform(F.sequence(F.lit(0), F.size(tokens) - n), _gram_of(tokens, n)))
+                     .otherwise(F.array().cast("array<string>")))
+    return F.flatten(F.array(*grams))

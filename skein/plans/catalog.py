@@ -468,3 +468,78 @@ def q_vocab_by_group(spark, d):
     toks = docs.select(F.col("doc_id").alias("pos"),
                        T.preprocess_text("text", True, True, True, True, True).alias("tokens"))
     return vocab.build_vocab(toks, "tokens")
+
+
+# ---------------------------------------------------------------- threads (T)
+
+def _threads(spark, d):
+    from skein.operators import threads as TH
+    return TH.threads(_comments(spark, d))
+
+
+@query("threads")
+def q_threads(spark, d):
+    from skein.operators.threads import path_key
+    return _threads(spark, d).select("root_id", "id", "pos", "level", path_key("path").alias("path"))
+
+
+@query("threads_limited")
+def q_threads_limited(spark, d):
+    from skein.operators.threads import limit_conversations, path_key
+    t = limit_conversations(_threads(spark, d), 20)
+    return t.select("root_id", "id", "pos", "level", path_key("path").alias("path"))
+
+
+@query("thread_transcript")
+def q_thread_transcript(spark, d):
+    from skein.operators.threads import path_key, transcript
+    t = transcript(_threads(spark, d), show_header=True, clean=True)
+    return t.select("root_id", path_key("path").alias("path"), "line")
+
+
+@query("group_by_parent")
+def q_group_by_parent(spark, d):
+    from skein.operators.threads import group_by_parent
+    return group_by_parent(_comments(spark, d))
+
+
+# ---------------------------------------------------------------- featurizer (F)
+
+def _featurizer_input(spark, d):
+    from skein.operators.features import remove_stopwords
+    s = tables.labelled_sentences(spark, d)
+    return s.select("index", "Class", remove_stopwords(T.clean_labelled("Sentence")).alias("Sentence"))
+
+
+@query("stopwords")
+def q_stopwords(spark, d):
+    return _featurizer_input(spark, d)
+
+
+@query("train_val_split")
+def q_train_val_split(spark, d):
+    from skein.operators.features import train_val_split
+    return train_val_split(tables.labelled_sentences(spark, d), "index").select("index", "split")
+
+
+@query("ngrams")
+def q_ngrams(spark, d):
+    from skein.operators.features import term_counts
+    return term_counts(_featurizer_input(spark, d), "Sentence", "index")
+
+
+@query("tfidf_vocab")
+def q_tfidf_vocab(spark, d):
+    from skein.operators.features import fit_vocabulary, term_counts, train_val_split
+    split = train_val_split(_featurizer_input(spark, d), "index")
+    train = split.where(F.col("split") == "train")
+    n = train.agg(F.count(F.lit(1))).scalar()
+    v = fit_vocabulary(term_counts(train, "Sentence", "index"), n)
+    return v.select("term", "term_index", "df", "tf")
+
+
+@query("tfidf")
+def q_tfidf(spark, d):
+    from skein.operators.features import featurize
+    f = featurize(_featurizer_input(spark, d))
+    return f.select("index", "split", "Class", "term_index", "term", F.round("weight", 6).alias("weight"))

@@ -231,3 +231,74 @@ SELECT b.word, v.index, v.count FROM b LEFT JOIN voc v ON v.word = b.word""",
     "vocab_by_group": f"""WITH src AS (SELECT doc_id AS pos, {tokens(preprocess_full('text'))} AS t FROM documents
 WHERE lang = 'de'), {vocab_sql('src')} SELECT word, index, count FROM voc""",
 })
+
+
+# ---------------------------------------------------------------- threads
+
+THREAD_CTES = f"""WITH RECURSIVE {COMMENTS},
+nodes AS (SELECT c.pos, c.id, c.author, c.body, p.id AS parent
+          FROM comments c LEFT JOIN (SELECT DISTINCT id FROM comments) p ON p.id = {pkey('c.parent_id')}),
+anc(id, aid) AS (SELECT id, id FROM nodes
+                 UNION SELECT a.id, n.parent FROM anc a JOIN nodes n ON n.id = a.aid WHERE n.parent IS NOT NULL),
+roots AS (SELECT a.id, arg_min(a.aid, n.pos) AS root FROM anc a JOIN nodes n ON n.id = a.aid GROUP BY a.id),
+tree AS (SELECT n.pos, n.id, n.author, n.body, r.root,
+                CASE WHEN r.root = n.id THEN NULL ELSE n.parent END AS up
+         FROM nodes n JOIN roots r ON r.id = n.id),
+walk(id, root, pos, level, path) AS (
+  SELECT id, root, pos, 0, [pos] FROM tree WHERE up IS NULL
+  UNION ALL SELECT t.id, w.root, t.pos, w.level + 1, list_append(w.path, t.pos)
+  FROM walk w JOIN tree t ON t.up = w.id)"""
+PATH_KEY = "array_to_string(list_transform(w.path, lambda p: lpad(CAST(p AS VARCHAR), 20, '0')), '/')"
+
+ORACLE.update({
+    "threads": f"""{THREAD_CTES}
+SELECT w.root AS root_id, w.id, w.pos, CAST(w.level AS BIGINT) AS level, {PATH_KEY} AS path FROM walk w""",
+    "threads_limited": f"""{THREAD_CTES}
+SELECT w.root AS root_id, w.id, w.pos, CAST(w.level AS BIGINT) AS level, {PATH_KEY} AS path FROM walk w
+WHERE w.root IN (SELECT id FROM tree WHERE up IS NULL ORDER BY pos LIMIT 20)""",
+    "thread_transcript": f"""{THREAD_CTES}
+SELECT w.root AS root_id, {PATH_KEY} AS path,
+  repeat('    ', w.level) || '- ' || w.id || ', ' || t.author || ':' || chr(10) || '  ' || repeat('    ', w.level)
+  || {trim_ws('t.body')} AS line
+FROM walk w JOIN tree t ON t.id = w.id""",
+    "group_by_parent": f"""WITH {COMMENTS}, g AS (SELECT parent_id, count(*) AS n, min(pos) AS first_pos FROM comments GROUP BY parent_id)
+SELECT c.parent_id, c.pos, c.id, g.n, g.first_pos FROM comments c JOIN g ON g.parent_id = c.parent_id""",
+})
+
+
+# ---------------------------------------------------------------- featurizer
+
+def _stop_list() -> str:
+    from skein.operators.features import STOP_WORDS
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + "]"
+
+
+FEAT_CTES = f"""lab AS (SELECT d.doc_id AS idx, CAST(l.quality AS INTEGER) AS cls, {clean_labelled('d.text')} AS s0
+        FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+st AS (SELECT idx, cls, array_to_string(list_filter({tokens('s0')}, lambda w: NOT list_contains({_stop_list()}, w)), ' ') AS s
+       FROM lab),
+sp AS (SELECT idx, cls, s, CASE WHEN row_number() OVER (ORDER BY md5('0:' || CAST(idx AS VARCHAR)), idx) - 1
+                                     < ceil(0.1 * count(*) OVER ()) THEN 'validation' ELSE 'train' END AS split FROM st)"""
+GRAM_CTES = """tk AS (SELECT idx, regexp_extract_all(lower(s), '[\\p{L}\\p{N}_]{2,}') AS t FROM {src}),
+gr AS (SELECT idx, unnest(list_concat(t, list_transform(range(greatest(len(t) - 1, 0)),
+                                                      lambda i: t[i + 1] || ' ' || t[i + 2]))) AS term FROM tk),
+tc AS (SELECT idx, term, count(*) AS tf FROM gr GROUP BY idx, term)"""
+VOCAB_CTES = """ntr AS (SELECT count(*) AS n FROM sp WHERE split = 'train'),
+st2 AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM tc
+        WHERE idx IN (SELECT idx FROM sp WHERE split = 'train') GROUP BY term),
+kept AS (SELECT st2.*, ntr.n FROM st2, ntr WHERE df <= 0.5 * n ORDER BY tf DESC, term LIMIT 50000),
+voc AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index, df, tf, n FROM kept)"""
+
+ORACLE.update({
+    "stopwords": f"""WITH {FEAT_CTES} SELECT idx AS "index", cls AS "Class", s AS "Sentence" FROM st""",
+    "train_val_split": f"""WITH {FEAT_CTES} SELECT idx AS "index", split FROM sp""",
+    "ngrams": f"""WITH {FEAT_CTES}, {GRAM_CTES.replace('{src}', 'st')} SELECT idx AS "index", term, tf FROM tc""",
+    "tfidf_vocab": f"""WITH {FEAT_CTES}, {GRAM_CTES.replace('{src}', 'sp')}, {VOCAB_CTES}
+SELECT term, term_index, df, tf FROM voc""",
+    "tfidf": f"""WITH {FEAT_CTES}, {GRAM_CTES.replace('{src}', 'sp')}, {VOCAB_CTES},
+w AS (SELECT tc.idx, v.term_index, v.term, tc.tf * (ln((1 + v.n) / (1 + v.df)) + 1) AS w
+      FROM tc JOIN voc v ON v.term = tc.term)
+SELECT w.idx AS "index", sp.split, sp.cls AS "Class", w.term_index, w.term,
+       round(w.w / sqrt(sum(w.w * w.w) OVER (PARTITION BY w.idx)), 6) AS weight
+FROM w JOIN sp ON sp.idx = w.idx""",
+})
