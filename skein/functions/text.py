@@ -122,11 +122,20 @@ def _gram_of(tokens: Column, n: int):
     return lambda i: F.array_join(F.slice(tokens, i + 1, n), " ")
 
 
+# two adjacent space-separated tokens, captured at every token start
+BIGRAM = r"(?:^| )(?=(\S+ \S+))"
+
+
 def word_ngrams(tokens, n_max: int = 2) -> Column:
-    """All 1..n_max word n-grams of a token array, joined with one space, in order."""
+    """All 1..n_max word n-grams of a token array, joined with one space, in order.
+
+    Bigrams come from one regex pass over the space-joined tokens (tokens never
+    contain whitespace); longer n-grams use array slices."""
     tokens = as_col(tokens)
-    grams = []
-    for n in range(1, n_max + 1):
+    grams = [tokens]
+    if n_max >= 2:
+        grams.append(F.regexp_extract_all(F.array_join(tokens, " "), F.lit(BIGRAM), 1))
+    for n in range(3, n_max + 1):
         # sequence(0, -1) would count down; arrays shorter than n give no n-gram
         grams.append(F.when(F.size(tokens) >= n,
                             F.transform(F.sequence(F.lit(0), F.size(tokens) - n), _gram_of(tokens, n)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.text import terms, tokenize, word_ngrams
 from skein.operators.indexing import dense_index
-from skein.operators.rows import as_col
+from skein.operators.rows import as_col, explode_rows
 
 # ---- fixed values: the English stop-word list of the reference's library ----
 STOP_WORDS = [
@@ -53,14 +53,18 @@ def remove_stopwords(c, stop_words=STOP_WORDS) -> Column:
 
 def train_val_split(df: DataFrame, index: str = "index", seed: int = 0,
                     val_fraction: float = VALIDATION_FRACTION) -> DataFrame:
-    """Seeded shuffle split (F3): rank rows by md5(seed:index); the first
-    ceil(fraction * n) are validation. Deterministic in any engine; ranked with
-    the range-partitioned dense index, never in one task."""
+    """Seeded shuffle split (F3): (index, split). Rows are ranked by md5(seed:index)
+    and the first ceil(fraction * n) are validation. Deterministic in any engine.
+
+    Only the keys are ranked (the range-partitioned dense index, never one
+    task), so the text is not read, let alone cleaned, for the split.
+    """
+    keys = df.select(index)
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(index).cast("string")))
-    ranked = dense_index(df.withColumn("_h", h), ["_h", index], "_rank")
-    n_val = F.ceil(F.lit(val_fraction) * df.agg(F.count(F.lit(1))).scalar())
-    return ranked.withColumn("split", F.when(F.col("_rank") < n_val, F.lit("validation"))
-                             .otherwise(F.lit("train"))).drop("_h", "_rank")
+    ranked = dense_index(keys.withColumn("_h", h), ["_h", index], "_rank")
+    n_val = F.ceil(F.lit(val_fraction) * keys.agg(F.count(F.lit(1))).scalar())
+    return ranked.select(index, F.when(F.col("_rank") < n_val, F.lit("validation"))
+                         .otherwise(F.lit("train")).alias("split"))
 
 
 def term_counts(df: DataFrame, text, doc: str = "index", n_max: int = NGRAM_MAX) -> DataFrame:
@@ -70,10 +74,10 @@ def term_counts(df: DataFrame, text, doc: str = "index", n_max: int = NGRAM_MAX)
     The input is hash-partitioned on the document key first, so the count and
     any later per-document window need no further exchange.
     """
-    # the token array is projected first: the n-gram lambdas then read a column
-    # instead of re-running the regex once per gram
+    # the token array is projected once; n-grams read that column
     toks = df.repartition(doc).select(F.col(doc), terms(as_col(text)).alias("_t"))
-    grams = toks.select(F.col(doc), F.explode(word_ngrams(F.col("_t"), n_max)).alias("term"))
+    grams = explode_rows(toks.select(doc, word_ngrams(F.col("_t"), n_max).alias("_g")),
+                         "_g", "_gi", "term").drop("_gi")
     return grams.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -108,11 +112,10 @@ def featurize(labelled: DataFrame, text: str = "Sentence", doc: str = "index",
     Output: index, split, Class, term_index, term, weight (sparse rows).
     """
     split = train_val_split(labelled, doc, seed)
-    counts = term_counts(split, text, doc)
+    counts = term_counts(labelled, text, doc)
     train_ids = split.where(F.col("split") == "train").select(doc)
     train_counts = counts.join(train_ids, doc, "left_semi")
     n_train = train_ids.agg(F.count(F.lit(1))).scalar()
     vocab = fit_vocabulary(train_counts, n_train, doc)
     weights = tfidf_weights(counts, vocab, n_train, doc)
-    return weights.join(split.select(doc, "split", label), doc)
-
+    return weights.join(split, doc).join(labelled.select(doc, label), doc)

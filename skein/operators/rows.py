@@ -29,13 +29,24 @@ def filter_rows(df: DataFrame, predicate) -> DataFrame:
 
 
 def flat_map(df: DataFrame, array_expr, name: str = "value", keep: Iterable[str] = (),
-             index_name: str | None = "elem") -> DataFrame:
+             index_name: str = "elem") -> DataFrame:
     """``Stream.flat_map``: one output row per element of ``array_expr``, in element
     order (B2). The element index is kept so that order survives later shuffles."""
-    cols = [as_col(k) for k in keep]
-    if index_name:
-        return df.select(*cols, F.posexplode(as_col(array_expr)).alias(index_name, name))
-    return df.select(*cols, F.explode(as_col(array_expr)).alias(name))
+    return explode_rows(df.select(*[as_col(k) for k in keep], as_col(array_expr).alias("_arr")),
+                        "_arr", index_name, name)
+
+
+def explode_rows(df: DataFrame, array_col: str, index_name: str, name: str) -> DataFrame:
+    """posexplode that keeps the array expression evaluated once.
+
+    A plain ``posexplode`` makes the optimizer infer ``size(arr) > 0`` and push
+    it below the projection, which evaluates the whole array expression (for
+    text: every regex) twice. The outer form has no inferred filter; empty
+    arrays give one row with a null index, which is dropped here.
+    """
+    keep = [c for c in df.columns if c != array_col]
+    return (df.select(*keep, F.posexplode_outer(array_col).alias(index_name, name))
+            .where(F.col(index_name).isNotNull()))
 
 
 def range_array(n) -> Column:

@@ -8,11 +8,11 @@ index is range-partitioned (see ``indexing``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators.indexing import dense_index
-from skein.operators.rows import as_col
+from skein.operators.rows import as_col, explode_rows
 
 # Vocabularies up to this many rows are broadcast for encoding (the count is
 # checked before the hint is given); larger ones use a shuffle join, with AQE
@@ -22,40 +22,49 @@ BROADCAST_VOCAB_ROWS = 2_000_000
 
 def token_rows(df: DataFrame, tokens, order: str = "pos") -> DataFrame:
     """(pos, i, word) for every token of every record."""
-    return df.select(F.col(order).alias("pos"), F.posexplode(as_col(tokens)).alias("i", "word"))
+    return explode_rows(df.select(F.col(order).alias("pos"), as_col(tokens).alias("_t")),
+                        "_t", "i", "word")
+
+
+def first_seen_key(pos="pos", i="i") -> Column:
+    """(record position, token index) as one exact, totally ordered number:
+    pos * 2^31 + i (an array index is below 2^31). DECIMAL(38,0) keeps it exact
+    for any BIGINT position and stays a fixed-size aggregation buffer, so the
+    aggregate remains a hash aggregate with a map-side combine."""
+    return as_col(pos).cast("decimal(38,0)") * F.lit(1 << 31) + as_col(i)
 
 
 def build_vocab(df: DataFrame, tokens, order: str = "pos", min_count: int = 1) -> DataFrame:
     """word, index, count (V1); with ``min_count`` > 1 rare words are dropped
     and the rest re-indexed in first-seen order (V7)."""
     counted = (token_rows(df, tokens, order).groupBy("word")
-               .agg(F.count(F.lit(1)).alias("count"),
-                    F.min(F.struct("pos", "i")).alias("_first")))
+               .agg(F.count(F.lit(1)).alias("count"), F.min(first_seen_key()).alias("_first")))
     if min_count > 1:
         counted = counted.where(F.col("count") >= min_count)
-    counted = counted.select("word", "count", F.col("_first.pos").alias("_fp"),
-                             F.col("_first.i").alias("_fi"))
-    return dense_index(counted, ["_fp", "_fi"], "index").select("word", "index", "count")
+    return dense_index(counted, "_first", "index").select("word", "index", "count")
 
 
 def encode(df: DataFrame, tokens, vocab: DataFrame, order: str = "pos",
            name: str = "codes") -> DataFrame:
     """Integer codes of every record's tokens, in token order (V2).
 
-    Tokens are exploded, joined to the vocabulary and re-assembled per record;
-    a record's codes are bounded by its own size. Records without tokens keep
-    an empty array.
+    Records are hash-partitioned on their key once; tokens are exploded and
+    looked up (broadcast when the vocabulary's checked size allows), and the
+    codes are re-assembled per record inside the same partitions, so the
+    re-grouping and the join back to the records need no further exchange.
+    A record's codes are bounded by its own size.
     """
-    toks = token_rows(df, tokens, order)
-    n_vocab = vocab.count()
+    recs = df.repartition(order)
+    toks = token_rows(recs, tokens, order)
     v = vocab.select("word", "index")
-    if n_vocab <= BROADCAST_VOCAB_ROWS:
+    if vocab.count() <= BROADCAST_VOCAB_ROWS:
         v = F.broadcast(v)
     coded = (toks.join(v, "word", "left")
              .groupBy("pos")
              .agg(F.sort_array(F.collect_list(F.struct("i", "index"))).alias("_c")))
-    out = df.join(coded, F.col(order) == coded["pos"], "left") if order != "pos" else \
-        df.join(coded, "pos", "left")
+    if order != "pos":
+        coded = coded.withColumnRenamed("pos", order)
+    out = recs.join(coded, order, "left")
     return out.withColumn(name, F.coalesce(F.transform("_c", lambda x: x["index"]),
                                            F.array().cast("array<bigint>"))).drop("_c")
 

@@ -519,7 +519,7 @@ def q_stopwords(spark, d):
 @query("train_val_split")
 def q_train_val_split(spark, d):
     from skein.operators.features import train_val_split
-    return train_val_split(tables.labelled_sentences(spark, d), "index").select("index", "split")
+    return train_val_split(tables.labelled_sentences(spark, d), "index")
 
 
 @query("ngrams")
@@ -531,10 +531,10 @@ def q_ngrams(spark, d):
 @query("tfidf_vocab")
 def q_tfidf_vocab(spark, d):
     from skein.operators.features import fit_vocabulary, term_counts, train_val_split
-    split = train_val_split(_featurizer_input(spark, d), "index")
-    train = split.where(F.col("split") == "train")
+    inp = _featurizer_input(spark, d)
+    train = train_val_split(inp, "index").where(F.col("split") == "train").select("index")
     n = train.agg(F.count(F.lit(1))).scalar()
-    v = fit_vocabulary(term_counts(train, "Sentence", "index"), n)
+    v = fit_vocabulary(term_counts(inp, "Sentence", "index").join(train, "index", "left_semi"), n)
     return v.select("term", "term_index", "df", "tf")
 
 
