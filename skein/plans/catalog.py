@@ -543,3 +543,101 @@ def q_tfidf(spark, d):
     from skein.operators.features import featurize
     f = featurize(_featurizer_input(spark, d))
     return f.select("index", "split", "Class", "term_index", "term", F.round("weight", 6).alias("weight"))
+
+
+# ---------------------------------------------------------------- sources and sinks (A)
+
+@query("row_index")
+def q_row_index(spark, d):
+    from skein.operators.indexing import dense_index
+    return dense_index(_docs(spark, d).select("doc_id", "lang"), "doc_id", "index")
+
+
+@query("processed_records")
+def q_processed_records(spark, d):
+    """What the explorer emits with --ignore-deleted --strip-specials --to-lower
+    --trim-whitespace --min-length 10: the processed comment records (A7)."""
+    c = _comments(spark, d).where(P.not_deleted("body"))
+    body = T.preprocess_text("body", strip_specials=True, trim=True, lower=True)
+    c = c.withColumn("body", body).where(P.min_text_length(10, "body"))
+    return c.select("pos", "id", "parent_id", "subreddit", "body")
+
+
+# ---------------------------------------------------------------- user functions (U)
+
+@query("udf_scalar")
+def q_udf_scalar(spark, d):
+    from skein.functions.udfs import scalar
+    upper = scalar(str.upper, "string")
+    return _events(spark, d).select("event_id", upper("event_type").alias("event_type"))
+
+
+@query("udtf_flat_map")
+def q_udtf_flat_map(spark, d):
+    from skein.functions.udfs import table_function
+    tf = table_function(range)
+    e = _events(spark, d).select("event_id", (F.col("event_id") % 4).alias("n"))
+    return e.lateralJoin(tf(F.col("n").outer())).select("event_id", "elem", "value")
+
+
+@query("udaf_reduce")
+def q_udaf_reduce(spark, d):
+    from skein.functions.udfs import grouped_reduce
+    return grouped_reduce(_events(spark, d), ["event_type"], "user_id",
+                          lambda s: int(s.sum()), "bigint", salt_buckets=16)
+
+
+# ---------------------------------------------------------------- streaming (R)
+
+def _comment_stream(spark, d, name):
+    from skein.streaming import streams as S
+    staged = S.with_event_time(_comments(spark, d))
+    return S.source(spark, S.stage_json(staged, name), staged.schema)
+
+
+@query("stream_clean")
+def q_stream_clean(spark, d):
+    from skein.streaming import streams as S
+    return S.run(S.clean_stream(_comment_stream(spark, d, "clean")), "clean")
+
+
+@query("stream_pairs")
+def q_stream_pairs(spark, d):
+    from skein.streaming import streams as S
+    return S.run(S.pair_stream(_comment_stream(spark, d, "pairs")), "pairs")
+
+
+@query("stream_pair_lines")
+def q_stream_pair_lines(spark, d):
+    from skein.streaming import streams as S
+    return S.run(S.pair_stream(_comment_stream(spark, d, "pair-lines"), payload=True), "pair-lines")
+
+
+@query("stream_group_counts")
+def q_stream_group_counts(spark, d):
+    from skein.streaming import streams as S
+    return S.run(S.running_counts(_comment_stream(spark, d, "groups"), ["subreddit_id"]),
+                 "groups", keys=["subreddit_id"])
+
+
+@query("stream_word_counts")
+def q_stream_word_counts(spark, d):
+    from skein.streaming import streams as S
+    return S.run(S.running_word_counts(_comment_stream(spark, d, "words"), "body"),
+                 "words", keys=["word"])
+
+
+@query("stream_distinct")
+def q_stream_distinct(spark, d):
+    from skein.streaming import streams as S
+    ev = _events(spark, d).select("pos", "user_id", "event_type")
+    src = S.source(spark, S.stage_json(ev, "distinct"), ev.schema)
+    return S.run(S.distinct_stream(src, ["user_id"]), "distinct")
+
+
+@query("stream_field_counts")
+def q_stream_field_counts(spark, d):
+    from skein.streaming import streams as S
+    path = S.stage_json(_comments(spark, d), "fields")
+    lines = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
+    return S.run(S.running_field_counts(lines, "value"), "fields", keys=["field"])

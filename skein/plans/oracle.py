@@ -302,3 +302,29 @@ SELECT w.idx AS "index", sp.split, sp.cls AS "Class", w.term_index, w.term,
        round(w.w / sqrt(sum(w.w * w.w) OVER (PARTITION BY w.idx)), 6) AS weight
 FROM w JOIN sp ON sp.idx = w.idx""",
 })
+
+ORACLE.update({
+    "row_index": "SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS index FROM documents",
+    "processed_records": f"""WITH {COMMENTS}, c AS (SELECT pos, id, parent_id, subreddit,
+  lower({trim_ws(keep_alnum('body'))}) AS body FROM comments WHERE body IS DISTINCT FROM '[deleted]')
+SELECT * FROM c WHERE length(body) >= 10""",
+    "udf_scalar": "SELECT event_id, upper(event_type) AS event_type FROM events",
+    "udtf_flat_map": """SELECT event_id, CAST(unnest(range(event_id % 4)) AS INTEGER) AS elem,
+unnest(range(event_id % 4)) AS value FROM events""",
+    "udaf_reduce": "SELECT event_type, CAST(sum(user_id) AS BIGINT) AS result FROM events GROUP BY event_type",
+})
+
+ORACLE.update({
+    "stream_clean": f"""WITH {COMMENTS} SELECT pos, id, {trim_ws('body')} AS body FROM comments
+WHERE body IS DISTINCT FROM '[deleted]'""",
+    "stream_pairs": f"WITH {COMMENTS}, {PREP}, {VERIFIED} SELECT pos, id, parent_id FROM vp",
+    "stream_pair_lines": f"""WITH {COMMENTS}, {PREP}
+SELECT c.pos, p.body || chr(9) || c.body AS line FROM prep c JOIN prep p ON p.id = c.parent_id AND p.pos < c.pos""",
+    "stream_group_counts": f"WITH {COMMENTS} SELECT subreddit_id, count(*) AS n FROM comments GROUP BY subreddit_id",
+    "stream_word_counts": f"""WITH {COMMENTS} SELECT word, count(*) AS count
+FROM (SELECT unnest({tokens('body')}) AS word FROM comments) GROUP BY word""",
+    "stream_distinct": "SELECT DISTINCT user_id FROM events",
+    "stream_field_counts": f"""WITH {COMMENTS} SELECT field, count(*) AS n FROM
+(UNPIVOT (SELECT CAST(pos AS VARCHAR) AS pos, id, parent_id, subreddit, subreddit_id, author, body FROM comments)
+ ON pos, id, parent_id, subreddit, subreddit_id, author, body INTO NAME field VALUE val) GROUP BY field""",
+})
