@@ -5,9 +5,10 @@ Plan: one window over the right side, partitioned by its key, gives every
 version the position of the next version of the same key; the left side then
 equi-joins on the key with the residual ``pos <= left.pos < next_pos``, which
 matches at most one version. Both sides shuffle once on the key (the window's
-partitioning is reused by the join), and a hot key on the left side (a parent
-with a huge number of replies) is split by AQE's skew-join handling, with the
-matching right rows replicated to each split.
+partitioning is reused by the join). Because the right side is a window and not
+a plain shuffle, AQE cannot split a skewed key here, so hot left keys (a parent
+with a huge number of replies) are split off explicitly and joined against a
+broadcast copy of their versions (``skew.split_hot_join``).
 """
 
 from __future__ import annotations
@@ -15,14 +16,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.operators.skew import split_hot_join
+
 
 def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               left_pos: str = "pos", right_pos: str = "pos", inclusive: bool = True,
-              how: str = "inner", prefix: str = "p_") -> DataFrame:
+              how: str = "inner", prefix: str = "p_", split_hot: bool = True,
+              min_hot_rows: int | None = None) -> DataFrame:
     """Join ``left`` to the latest ``right`` version at or before it.
 
     Right columns come out with ``prefix``. ``inclusive=True`` lets a row match
     itself (same position), which is how a self-parent comment pairs with itself.
+    With ``split_hot`` a left key holding at least ``min_hot_rows`` rows (a parent
+    with a huge number of replies) is joined against a broadcast copy of its
+    versions instead of going to one task (see ``skew.split_hot_join``).
     """
     rk, rp, nxt = f"{prefix}{right_key}", f"{prefix}{right_pos}", f"{prefix}_next_pos"
     renamed = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
@@ -33,4 +40,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     upper = F.col(nxt).isNull() | (lpos < F.col(nxt)) if inclusive else \
         F.col(nxt).isNull() | (lpos <= F.col(nxt))
     cond = (F.col(left_key) == F.col(rk)) & lower & upper
-    return left.join(versions, cond, how).drop(nxt)
+
+    def join(lhs: DataFrame, rhs: DataFrame) -> DataFrame:
+        return lhs.join(rhs, cond, how).drop(nxt)
+
+    if not split_hot:
+        return join(left, versions)
+    kwargs = {} if min_hot_rows is None else {"min_rows": min_hot_rows}
+    return split_hot_join(left, versions, left_key, rk, join, **kwargs)

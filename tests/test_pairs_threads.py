@@ -99,3 +99,17 @@ def test_thread_cycle_and_transcript(spark):
     lines = [r.line for r in TH.transcript(thr).orderBy("path").collect()]
     assert lines == ["- c5, a:\n  x", "    - c6, a:\n      y z"]
     assert TH.limit_conversations(thr, 1).count() == 2
+
+
+def test_hot_parent_split_matches_plain_join(spark):
+    # one parent with most of the replies, split off with a low threshold
+    rows = [comment(0, "c0", "t3_p")] + [comment(i, f"c{i}", "t1_c0") for i in range(1, 40)] + \
+        [comment(40 + i, f"d{i}", f"t1_c{i}") for i in range(1, 6)]
+    kdf = PR.modify_parent_id(frame(spark, rows))
+    from skein.operators.asof import asof_join
+    plain = asof_join(kdf, kdf, "parent_id", "id", split_hot=False)
+    split = asof_join(kdf, kdf, "parent_id", "id", min_hot_rows=10)
+    key = lambda d: sorted((r.pos, r.p_pos) for r in d.collect())
+    assert key(plain) == key(split) and len(key(split)) == 44
+    from skein.operators.skew import hot_keys
+    assert hot_keys(kdf, "parent_id", min_rows=10) == ["c0"]
