@@ -641,3 +641,16 @@ def q_stream_field_counts(spark, d):
     path = S.stage_json(_comments(spark, d), "fields")
     lines = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
     return S.run(S.running_field_counts(lines, "value"), "fields", keys=["field"])
+
+
+# ---------------------------------------------------------------- the explorer as one plan
+
+@query("explore_vocab")
+def q_explore_vocab(spark, d):
+    """Explorer run: --ignore-deleted --process-max 400 --strip-subreddits s2
+    --strip-specials --to-lower --trim-whitespace --tokenize --min-length 3 --vocab."""
+    from skein.plans.explore import ExploreOptions, explore
+    o = ExploreOptions(ignore_deleted=True, process_max=400, strip_subreddits=["s2"],
+                       strip_specials=True, to_lower=True, trim_whitespace=True, tokenize=True,
+                       min_length=3, vocab=True, vocab_order="index")
+    return explore(_comments(spark, d), o)["vocab"]

@@ -328,3 +328,12 @@ FROM (SELECT unnest({tokens('body')}) AS word FROM comments) GROUP BY word""",
 (UNPIVOT (SELECT CAST(pos AS VARCHAR) AS pos, id, parent_id, subreddit, subreddit_id, author, body FROM comments)
  ON pos, id, parent_id, subreddit, subreddit_id, author, body INTO NAME field VALUE val) GROUP BY field""",
 })
+
+ORACLE.update({
+    "explore_vocab": f"""WITH {COMMENTS},
+c AS (SELECT * FROM comments WHERE body IS DISTINCT FROM '[deleted]' ORDER BY pos LIMIT 400),
+c2 AS (SELECT pos, {tokens(f"lower({trim_ws(keep_alnum('body'))})")} AS t FROM c
+       WHERE NOT coalesce(subreddit IN ('s2'), false)),
+src AS (SELECT pos, t FROM c2 WHERE len(t) >= 3), {vocab_sql('src')}
+SELECT word, index, count FROM voc""",
+})
