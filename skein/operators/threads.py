@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from skein.functions.text import trim_whitespace
 from skein.operators.pairs import parent_key
@@ -122,7 +123,12 @@ def transcript(thr: DataFrame, show_header: bool = True, clean: bool = True) ->
     """Display text of every comment (T4/T5): 4 spaces per level, '- ', then
     optionally 'id, author:' and a line break with the indentation, then the body."""
     indent = F.repeat(F.lit("    "), F.col("level").cast("int"))
-    body = trim_whitespace("body") if clean else F.col("body")
+    if isinstance(thr.schema["body"].dataType, ArrayType):
+        # a tokenized body prints as a Python list does
+        body = F.when(F.size("body") == 0, F.lit("[]")).otherwise(
+            F.concat(F.lit("['"), F.array_join("body", "', '"), F.lit("']")))
+    else:
+        body = trim_whitespace("body") if clean else F.col("body")
     head = F.concat(indent, F.lit("- "))
     if show_header:
         head = F.concat(head, F.col("id"), F.lit(", "), F.col("author"), F.lit(":\n  "), indent)

@@ -39,7 +39,7 @@ def test_reports(spark):
     assert {r.field: r.n for r in out["fields"].collect()}["body"] == 5
     vocab = [(r.word, r["index"], r["count"]) for r in out["vocab"].collect()]
     assert vocab[:3] == [("hello", 0, 2), ("world", 1, 3), ("again", 2, 1)]  # "[deleted]" is one token: too short
-    assert sorted(r.id for r in out["pairs"].collect()) == ["c2", "c3"]  # c4 is too short now
+    assert sorted(r.id for r in out["pairs"].collect()) == ["c3"]  # c2 and c4 are too short now
     lines = [r.line for r in out["conversations"].collect()]
-    assert lines[0].startswith("- c1, u:") and lines[1].startswith("    - c2, v:")
-    assert out["count"].first().n == 4
+    assert lines[:2] == ["- c1, u:\n  ['hello', 'world']", "    - c3, w:\n      ['hello', 'again', 'world']"]
+    assert out["count"].first().n == 3  # c1, c3, c5
