@@ -654,3 +654,10 @@ def q_explore_vocab(spark, d):
                        strip_specials=True, to_lower=True, trim_whitespace=True, tokenize=True,
                        min_length=3, vocab=True, vocab_order="index")
     return explore(_comments(spark, d), o)["vocab"]
+
+
+@query("stream_vocab")
+def q_stream_vocab(spark, d):
+    from skein.streaming import streams as S
+    src = _comment_stream(spark, d, "vocab").select("pos", T.tokenize("body").alias("tokens"))
+    return S.run_vocab(src, "tokens", "vocab")

@@ -337,3 +337,8 @@ c2 AS (SELECT pos, {tokens(f"lower({trim_ws(keep_alnum('body'))})")} AS t FROM c
 src AS (SELECT pos, t FROM c2 WHERE len(t) >= 3), {vocab_sql('src')}
 SELECT word, index, count FROM voc""",
 })
+
+ORACLE.update({
+    "stream_vocab": f"""WITH {COMMENTS}, src AS (SELECT pos, {tokens('body')} AS t FROM comments),
+{vocab_sql('src')} SELECT word, index, count FROM voc""",
+})

@@ -34,11 +34,26 @@ def with_event_time(df: DataFrame, pos: str = "pos", unit_ms: int = 1) -> DataFr
 def stage_json(df: DataFrame, name: str, n_files: int = 6) -> str:
     """Write ``df`` as JSON-lines files in ``pos`` ranges, as a producer would
     drop them into a landing folder; returns the folder."""
-    path = scratch_path(df.sparkSession, f"landing-{name}")
+    spark = df.sparkSession
+    path = scratch_path(spark, f"landing-{name}")
     df.repartitionByRange(n_files, "pos").sortWithinPartitions("pos").write.json(path)
+    _order_files(spark, path)
     return path
 
 
+def _order_files(spark: SparkSession, path: str) -> None:
+    """Give the part files increasing modification times in name (= pos range)
+    order, so the file source consumes them in stream order."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((st.getPath() for st in fs.listStatus(hp) if st.getPath().getName().startswith("part-")),
+                   key=lambda p: p.getName())
+    base = int(fs.getFileStatus(hp).getModificationTime())
+    for i, p in enumerate(parts):
+        fs.setTimes(p, base + 1000 * (i + 1), -1)
+
+
 def source(spark: SparkSession, path: str, schema, files_per_batch: int = 2) -> DataFrame:
     """JSON directory source (R1 / A8); a few files per micro-batch."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
@@ -106,9 +121,9 @@ def run(stream: DataFrame, name: str, keys: Sequence[str] | None = None) -> Data
     """Run ``stream`` over everything available and return its result.
 
     Without ``keys``: append mode into a parquet sink. With ``keys`` (an
-    aggregate): update mode; each micro-batch's changed rows are appended with
-    their batch id, and the result keeps the latest row per key (an upsert log
-    compacted by a partial aggregate, never collected).
+    aggregate): update mode; each micro-batch's changed rows are written to a
+    partition named by the batch id, and the result keeps the latest row per key
+    (an upsert log compacted by a partial aggregate, never collected).
     """
     spark = stream.sparkSession
     out = scratch_path(spark, f"sink-{name}")
@@ -118,22 +133,61 @@ def run(stream: DataFrame, name: str, keys: Sequence[str] | None = None) -> Data
         q = writer.format("parquet").outputMode("append").start(out)
     else:
         def upsert(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+            # one partition per batch id, overwritten: a re-run batch is idempotent
+            batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
         q = writer.outputMode("update").foreachBatch(upsert).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    result = spark.read.schema(_sink_schema(stream, keys)).parquet(out)
     if keys is None:
-        return result
-    values = [c for c in result.columns if c not in keys and c != "_batch"]
+        return spark.read.schema(_sink_schema(stream, None)).parquet(out)
+    try:
+        result = spark.read.parquet(out)
+    except Exception:  # no micro-batch produced rows
+        return spark.createDataFrame([], _sink_schema(stream, None))
+    values = [c for c in stream.columns if c not in keys]
     latest = result.groupBy(*keys).agg(
         F.max_by(F.struct(*values), "_batch").alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 def _sink_schema(stream: DataFrame, keys) -> str:
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields]
-    if keys is not None:
-        fields.append("_batch bigint")
-    return ", ".join(fields)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+
+
+def run_vocab(stream: DataFrame, tokens: str, name: str) -> DataFrame:
+    """Running vocabulary with a stable index (R5): each micro-batch gives the
+    words it sees first an index after the current maximum, in first-occurrence
+    order; counts accumulate. Per-batch outputs are written to their own
+    partition and only earlier batches count as known, so a re-run batch
+    rewrites the same rows. Returns (word, index, count)."""
+    from skein.operators.indexing import dense_index
+    from skein.operators.vocab import first_seen_key, token_rows
+
+    spark = stream.sparkSession
+    index_dir, count_dir = scratch_path(spark, f"vocab-index-{name}"), scratch_path(spark, f"vocab-count-{name}")
+    ckpt = scratch_path(spark, f"ckpt-vocab-{name}")
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        words = (token_rows(batch, tokens).groupBy("word")
+                 .agg(F.count(F.lit(1)).alias("count"), F.min(first_seen_key()).alias("_first")))
+        words.select("word", "count").withColumn("batch", F.lit(batch_id)) \
+            .write.mode("overwrite").parquet(f"{count_dir}/batch={batch_id}")
+        try:
+            known = spark.read.schema("word string, index bigint, batch bigint").parquet(index_dir) \
+                .where(F.col("batch") < batch_id)
+        except Exception:  # nothing written yet
+            known = spark.createDataFrame([], "word string, index bigint, batch bigint")
+        base = known.agg(F.coalesce(F.max("index") + 1, F.lit(0))).first()[0]
+        new = words.join(known.select("word"), "word", "left_anti")
+        dense_index(new, "_first", "_i").select("word", (F.col("_i") + base).alias("index")) \
+            .write.mode("overwrite").parquet(f"{index_dir}/batch={batch_id}")
+
+    q = (stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+         .foreachBatch(update).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    index = spark.read.parquet(index_dir).select("word", "index")
+    counts = spark.read.parquet(count_dir).groupBy("word").agg(F.sum("count").alias("count"))
+    return index.join(counts, "word")
