@@ -46,27 +46,25 @@ def build_vocab(df: DataFrame, tokens, order: str = "pos", min_count: int = 1) -
 
 def encode(df: DataFrame, tokens, vocab: DataFrame, order: str = "pos",
            name: str = "codes") -> DataFrame:
-    """Integer codes of every record's tokens, in token order (V2).
+    """Integer codes of every record's tokens, in token order: (order, codes) (V2).
 
-    Records are hash-partitioned on their key once; tokens are exploded and
-    looked up (broadcast when the vocabulary's checked size allows), and the
-    codes are re-assembled per record inside the same partitions, so the
-    re-grouping and the join back to the records need no further exchange.
+    Records are hash-partitioned on their key once; tokens are exploded in the
+    outer form (a record without tokens keeps one row), looked up (broadcast
+    when the vocabulary's checked size allows) and re-assembled per record
+    inside the same partitions, so the re-grouping needs no further exchange.
     A record's codes are bounded by its own size.
     """
-    recs = df.repartition(order)
-    toks = token_rows(recs, tokens, order)
+    recs = df.select(F.col(order).alias("pos"), as_col(tokens).alias("_t")).repartition("pos")
+    toks = recs.select("pos", F.posexplode_outer("_t").alias("i", "word"))
     v = vocab.select("word", "index")
     if vocab.count() <= BROADCAST_VOCAB_ROWS:
         v = F.broadcast(v)
     coded = (toks.join(v, "word", "left")
              .groupBy("pos")
-             .agg(F.sort_array(F.collect_list(F.struct("i", "index"))).alias("_c")))
-    if order != "pos":
-        coded = coded.withColumnRenamed("pos", order)
-    out = recs.join(coded, order, "left")
-    return out.withColumn(name, F.coalesce(F.transform("_c", lambda x: x["index"]),
-                                           F.array().cast("array<bigint>"))).drop("_c")
+             .agg(F.sort_array(F.collect_list(
+                 F.when(F.col("i").isNotNull(), F.struct("i", "index")))).alias("_c")))
+    return coded.select(F.col("pos").alias(order),
+                        F.transform("_c", lambda x: x["index"]).alias(name))
 
 
 def vocab_ordered(vocab: DataFrame, by: str | None = None, reverse: bool = False) -> DataFrame:

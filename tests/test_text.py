@@ -70,3 +70,14 @@ def test_terms_and_ngrams(spark):
     assert got[1] == [] and got[2] == []
     tri = df.select(T.word_ngrams(T.terms("s"), 3).alias("g")).first().g
     assert tri[-2:] == ["ab de fg_1", "de fg_1 hi"]
+
+
+def test_preprocess_partial_flags(texts):
+    both = T.preprocess_text("s", strip_specials=True, strip_digits_=True)
+    got = {r.i: r.t for r in texts.select("i", both.alias("t")).collect()}
+    for i, s in enumerate(CASES):
+        assert got[i] == re.sub(r"\d+", " ", re.sub(r"\W+", " ", s)), repr(s)
+    trimmed = T.preprocess_text("s", trim=True, tokenize_=True)
+    got = {r.i: r.t for r in texts.select("i", trimmed.alias("t")).collect()}
+    for i, s in enumerate(CASES):
+        assert got[i] == s.split(), repr(s)
