@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from skein.functions.text import terms, tokenize, word_ngrams
 from skein.operators.indexing import dense_index
 from skein.operators.rows import as_col, explode_rows
+from skein.session import cut_lineage
 
 # ---- fixed values: the English stop-word list of the reference's library ----
 STOP_WORDS = [
@@ -106,13 +107,22 @@ def tfidf_weights(counts: DataFrame, vocab: DataFrame, n_docs, doc: str = "index
 
 
 def featurize(labelled: DataFrame, text: str = "Sentence", doc: str = "index",
-              label: str = "Class", seed: int = 0) -> DataFrame:
+              label: str = "Class", seed: int = 0, materialize: bool = False) -> DataFrame:
     """Split, fit on the training part, weight both parts.
 
     Output: index, split, Class, term_index, term, weight (sparse rows).
+
+    The term counts feed both the fit and the weighting. By default they are
+    recomputed for each (the text is read and cleaned twice, like a fit and a
+    transform pass): with bigrams the (document, term) table is several times
+    larger than the text, so writing it costs more than re-reading the text.
+    ``materialize=True`` writes it once to the shared checkpoint folder instead,
+    which pays off for small corpora with expensive cleaning.
     """
     split = train_val_split(labelled, doc, seed)
     counts = term_counts(labelled, text, doc)
+    if materialize:
+        counts = cut_lineage(counts)
     train_ids = split.where(F.col("split") == "train").select(doc)
     train_counts = counts.join(train_ids, doc, "left_semi")
     n_train = train_ids.agg(F.count(F.lit(1))).scalar()
