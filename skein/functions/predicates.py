@@ -54,6 +54,7 @@ def strip_groups(df: DataFrame, values: Iterable[str], col: str = "subreddit") -
     """Remove rows whose ``col`` is listed; null stays (P2). Long lists: anti join."""
     values = list(dict.fromkeys(values))
     if len(values) <= INLIST_MAX:
-        return df.where(~F.coalesce(F.col(col).isin(values), F.lit(False)))
+        # null stays; this form is pushed down to the scan as IsNull OR NOT IN
+        return df.where(F.col(col).isNull() | ~F.col(col).isin(values))
     keys = df.sparkSession.createDataFrame([(v,) for v in values], f"{col} string")
     return df.join(F.broadcast(keys), col, "left_anti")

@@ -84,7 +84,7 @@ def preprocess(df: DataFrame,
     out = df.where(pre)
     out = transform(out) if transform else out.withColumn("body", trim_whitespace("body"))
     if post_filter is not None:
-        out = out.where(F.coalesce(post_filter(), F.lit(False)))
+        out = out.where(post_filter())
     return out
 
 

@@ -24,8 +24,10 @@ def map_rows(df: DataFrame, **exprs) -> DataFrame:
 
 
 def filter_rows(df: DataFrame, predicate) -> DataFrame:
-    """``Stream.filter``; a null predicate drops the row, as a false one does."""
-    return df.where(F.coalesce(as_col(predicate), F.lit(False)))
+    """``Stream.filter``; a null predicate drops the row, as a false one does.
+    (WHERE already treats null as false; wrapping it in coalesce would stop
+    the predicate from reaching the scan.)"""
+    return df.where(as_col(predicate))
 
 
 def flat_map(df: DataFrame, array_expr, name: str = "value", keep: Iterable[str] = (),

@@ -121,3 +121,15 @@ def test_dense_index_many_partitions(spark):
     out = dense_index(df, "k", "i", num_partitions=7)
     got = [r.i for r in out.orderBy("k").collect()]
     assert got == list(range(5000))
+
+
+def test_foreach_sees_every_element_once(spark):
+    acc = spark.sparkContext.accumulator(0)
+    seen = spark.sparkContext.accumulator(0)
+
+    def consume(row):
+        acc.add(row.v)
+        seen.add(1)
+
+    R.foreach_partition(ints(spark, range(10)), consume)
+    assert (acc.value, seen.value) == (45, 10)
