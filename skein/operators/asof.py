@@ -22,14 +22,16 @@ from skein.operators.skew import split_hot_join
 def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               left_pos: str = "pos", right_pos: str = "pos", inclusive: bool = True,
               how: str = "inner", prefix: str = "p_", split_hot: bool = True,
-              min_hot_rows: int | None = None) -> DataFrame:
+              min_hot_rows: int | None = None, hot: list | None = None) -> DataFrame:
     """Join ``left`` to the latest ``right`` version at or before it.
 
     Right columns come out with ``prefix``. ``inclusive=True`` lets a row match
     itself (same position), which is how a self-parent comment pairs with itself.
     With ``split_hot`` a left key holding at least ``min_hot_rows`` rows (a parent
     with a huge number of replies) is joined against a broadcast copy of its
-    versions instead of going to one task (see ``skew.split_hot_join``).
+    versions instead of going to one task (see ``skew.split_hot_join``). ``hot``
+    passes keys found earlier on a cheaper superset of ``left`` (any superset of
+    the hot keys gives the same result).
     """
     rk, rp, nxt = f"{prefix}{right_key}", f"{prefix}{right_pos}", f"{prefix}_next_pos"
     renamed = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
@@ -47,4 +49,4 @@ def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     if not split_hot:
         return join(left, versions)
     kwargs = {} if min_hot_rows is None else {"min_rows": min_hot_rows}
-    return split_hot_join(left, versions, left_key, rk, join, **kwargs)
+    return split_hot_join(left, versions, left_key, rk, join, keys=hot, **kwargs)

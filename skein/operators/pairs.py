@@ -17,6 +17,7 @@ from skein.functions.predicates import not_deleted, on_comment
 from skein.functions.text import trim_whitespace
 from skein.operators.asof import asof_join
 from skein.operators.rows import as_col
+from skein.operators.skew import hot_keys
 
 
 def parent_key(parent_id="parent_id", strict: bool = False) -> Column:
@@ -61,12 +62,12 @@ def paired_ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("id", "parent_id")).alias("id")).distinct()
 
 
-def body_pairs(df: DataFrame, payload: str = "body") -> DataFrame:
+def body_pairs(df: DataFrame, payload: str = "body", hot: list | None = None) -> DataFrame:
     """(parent body, reply body): the parent is the latest row with that id at a
     position <= the reply's, the reply row itself included (J7)."""
     parents = df.select("id", "pos", payload)
     out = asof_join(df.select("pos", "id", "parent_id", payload), parents,
-                    left_key="parent_id", right_key="id", inclusive=True)
+                    left_key="parent_id", right_key="id", inclusive=True, hot=hot)
     return out.select(
         F.col("pos"), F.col("id"), F.col("parent_id"), F.col("p_pos").alias("parent_pos"),
         F.col(f"p_{payload}").alias(f"parent_{payload}"), F.col(payload).alias(f"reply_{payload}"))
@@ -98,7 +99,10 @@ def extract_pairs(raw: DataFrame, **hooks) -> DataFrame:
     """
     prep = preprocess(modify_parent_id(raw), **hooks)
     ids = paired_ids(verified_pairs(prep))
-    return body_pairs(prep.join(ids, "id", "left_semi"))
+    # hot parents found on the preprocessed scan (a superset of those left after
+    # the semi-join), so phase 1 is not run a second time just to find them
+    hot = hot_keys(prep, "parent_id")
+    return body_pairs(prep.join(ids, "id", "left_semi"), hot=hot)
 
 
 def record_pairs(df: DataFrame, cols=("id", "parent_id", "author", "body")) -> DataFrame:

@@ -33,11 +33,14 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS,
 
 def split_hot_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
                    join: Callable[[DataFrame, DataFrame], DataFrame],
-                   min_rows: int = MIN_HOT_ROWS, max_keys: int = HOT_KEYS_MAX) -> DataFrame:
+                   min_rows: int = MIN_HOT_ROWS, max_keys: int = HOT_KEYS_MAX,
+                   keys: list | None = None) -> DataFrame:
     """``join(big, small)`` with the hot keys of ``big`` joined against a broadcast
     copy of ``small``'s rows for those keys. ``join`` must be an equi-join on
-    ``big_key == small_key`` (inner or left) with any residual condition."""
-    keys = hot_keys(big, big_key, min_rows, max_keys)
+    ``big_key == small_key`` (inner or left) with any residual condition.
+    ``keys``: hot keys computed by the caller (e.g. on the scan before filters)."""
+    if keys is None:
+        keys = hot_keys(big, big_key, min_rows, max_keys)
     if not keys:
         return join(big, small)
     is_hot: Column = F.col(big_key).isin(keys)
