@@ -81,3 +81,10 @@ def test_preprocess_partial_flags(texts):
     got = {r.i: r.t for r in texts.select("i", trimmed.alias("t")).collect()}
     for i, s in enumerate(CASES):
         assert got[i] == s.split(), repr(s)
+
+
+def test_clean_labelled_matches_steps(texts):
+    got = {r.i: r.t for r in texts.select("i", T.clean_labelled("s").alias("t")).collect()}
+    for i, s in enumerate(CASES):
+        x = MODELS["strip_ips"](MODELS["strip_emails"](s.lower()))
+        assert got[i] == MODELS["remove_digits"](MODELS["remove_specials"](x)), repr(s)
