@@ -111,5 +111,7 @@ def test_hot_parent_split_matches_plain_join(spark):
     split = asof_join(kdf, kdf, "parent_id", "id", min_hot_rows=10)
     key = lambda d: sorted((r.pos, r.p_pos) for r in d.collect())
     assert key(plain) == key(split) and len(key(split)) == 44
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan  # hot part joins a broadcast copy
     from skein.operators.skew import hot_keys
     assert hot_keys(kdf, "parent_id", min_rows=10) == ["c0"]
