@@ -90,4 +90,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one parquet table; spread it over the cores if its layout cannot be.
+
+    Parquet is split by row groups: a file with one row group is read by one
+    task however large it is, and every later row-wise step (the text
+    regexes) then runs on one core. When a local input has fewer row groups
+    than the session's parallelism it is hash-partitioned on its first column
+    (the table key) once after the scan; column pruning and filters still
+    reach the scan. Inputs with enough row groups or files, and non-local
+    storage, are read as they are.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    groups = _row_groups(path, want)
+    if groups is not None and groups < want:
+        df = df.repartition(want, df.columns[0])
+    return df
+
+
+def _row_groups(path: str, enough: int) -> int | None:
+    """Row groups of a local parquet file or folder; None when unknown or at
+    least ``enough`` files are present (then the scan is parallel anyway)."""
+    if "://" in path and not path.startswith("file:"):
+        return None
+    local = path[5:] if path.startswith("file:") else path
+    if os.path.isdir(local):
+        files = [os.path.join(local, f) for f in os.listdir(local) if f.endswith(".parquet")]
+    elif os.path.isfile(local):
+        files = [local]
+    else:
+        return None
+    if len(files) >= enough:
+        return None
+    try:
+        import pyarrow.parquet as pq
+        return sum(pq.ParquetFile(f).metadata.num_row_groups for f in files)
+    except Exception:
+        return None
