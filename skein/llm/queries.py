@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from skein.llm.packing import op5_best_fit_packing
 from skein.llm.token_files import op10_token_files
+from skein.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
+    "op3_url_filter": op3_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_url_filter": OP3_SQL,
+}
