@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from skein.llm.decontaminate import op1_decontamination
 from skein.llm.packing import op5_best_fit_packing
 from skein.llm.token_files import op10_token_files
 from skein.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_url_filter": op3_url_filter,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op10_token_files": op10_token_files,
