@@ -18,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-TEXT_BYTES = 24 << 20      # text taken together for one list of words
-KEPT_WORDS = 500_000       # words whose ids a worker keeps between batches
+TEXT_BYTES = 8 << 20       # text taken together for one list of words
+KEPT_WORDS = 150_000       # words whose ids a worker keeps between batches
 LETTERS_TO = "\u0250"       # letters below it are letters in every Unicode version
 MARKS = ".,;:"             # after a letter, before a space: a piece of its own
 IDS = np.dtype("<u4")
