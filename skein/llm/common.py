@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 from skein.session import scratch_path
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, in
+    case it was put on the driver's path only."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's shared checkpoint folder and
     read it back. Cuts the lineage, survives lost executors, and gives later
@@ -24,6 +34,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    make_importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -71,7 +82,7 @@ def new_file(folder: str, stem: str, suffix: str) -> str:
 def open_output(uri: str):
     system, path = file_system(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

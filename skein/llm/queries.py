@@ -7,10 +7,12 @@ from skein.llm.packing import op5_best_fit_packing
 from skein.llm.simhash import op9_simhash
 from skein.llm.token_files import op10_token_files
 from skein.llm.url_filter import OP3_SQL, op3_url_filter
+from skein.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_url_filter": op3_url_filter,
+    "op4_warc": op4_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
@@ -18,4 +20,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
+    "op4_warc": OP4_SQL,
 }
