@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from skein.llm.decontaminate import op1_decontamination
 from skein.llm.packing import op5_best_fit_packing
+from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
 from skein.llm.token_files import op10_token_files
 from skein.llm.url_filter import OP3_SQL, op3_url_filter
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_warc": op4_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_secrets": op6_secrets,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
 }
