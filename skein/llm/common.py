@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
     """Cut a batch so that one slice holds about ``max_bytes`` of ``column``
     (always at least one row)."""
     col = batch.column(batch.schema.get_field_index(column))
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > max_bytes:

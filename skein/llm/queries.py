@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from skein.llm.decontaminate import op1_decontamination
+from skein.llm.language import op7_language_id, pages_language_id
 from skein.llm.packing import op5_best_fit_packing
 from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
@@ -16,8 +17,10 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secrets": op6_secrets,
+    "op7_language_id": op7_language_id,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
+    "pages_language_id": pages_language_id,
 }
 
 ORACLE: dict[str, str] = {
