@@ -9,6 +9,7 @@ from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
 from skein.llm.token_files import op10_token_files
 from skein.llm.url_filter import OP3_SQL, op3_url_filter
+from skein.llm.vector_graph import op8_vector_graph
 from skein.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_secrets": op6_secrets,
     "op7_language_id": op7_language_id,
+    "op8_vector_graph": op8_vector_graph,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
     "pages_language_id": pages_language_id,
