@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.session import scratch_path
@@ -45,6 +45,20 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in columns.items()])
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A row by what it holds: equal for repeated rows only."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`")))
+
+
+def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """``docs`` but the rows whose ``row_key`` is in the one column of ``keys``,
+    which is written first: Spark then knows its size and broadcasts it if small."""
+    name = f"key_{uuid.uuid4().hex}"
+    dropped = materialize(keys.toDF(name).distinct(), "dropped-rows")
+    return docs.join(dropped, row_key(id_col, text_col) == dropped[name], "left_anti")
+
+
 def spread(df: DataFrame) -> int:
     """Partitions of a shuffle as the session sets them."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
