@@ -5,6 +5,7 @@ from __future__ import annotations
 from skein.llm.decontaminate import op1_decontamination
 from skein.llm.language import op7_language_id, pages_language_id
 from skein.llm.packing import op5_best_fit_packing
+from skein.llm.passages import op2_near_passages
 from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
 from skein.llm.token_files import op10_token_files
@@ -14,6 +15,7 @@ from skein.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_near_passages": op2_near_passages,
     "op3_url_filter": op3_url_filter,
     "op4_warc": op4_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
