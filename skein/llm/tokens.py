@@ -18,10 +18,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-TEXT_BYTES = 8 << 20       # text taken together for one list of words
-KEPT_WORDS = 150_000       # words whose ids a worker keeps between batches
+TEXT_BYTES = 12 << 20      # text taken together for one list of words
+KEPT_WORDS = 400_000       # words whose ids a worker keeps between batches
 LETTERS_TO = "\u0250"       # letters below it are letters in every Unicode version
-MARKS = ".,;:"             # after a letter, before a space: a piece of its own
+MARKS = "!#$%&*+,-./:;<=>?@^_~"     # a run of them after a letter, before a blank: one piece
 IDS = np.dtype("<u4")
 
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -100,8 +100,9 @@ class Encoder:
             if len(known) < KEPT_WORDS:
                 known[word] = ids
             return ids
-        if word[-1] in MARKS and (core := word[:-1]).isalpha() and max(core) < LETTERS_TO:
-            return self._word(core, space) + self._marks[word[-1]]
+        if word[-1] in MARKS and (core := word.rstrip(MARKS)).isalpha() and max(core) < LETTERS_TO:
+            # so is a run of marks after them
+            return self._word(core, space) + self._run(word[len(core):])
         lines = word.split("\n")
         if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
             # a lone line feed between non-blanks is a piece of its own
@@ -109,10 +110,17 @@ class Encoder:
                 self._word(x, space and not i) for i, x in enumerate(lines))
         return self.whole(" " + word if space else word).tobytes()
 
+    def _run(self, marks: str) -> bytes:
+        ids = self._marks.get(marks)
+        if ids is None:
+            ids = self._piece(marks, False)
+            if len(self._marks) < 1000:
+                self._marks[marks] = ids
+        return ids
+
     def _piece(self, piece: str, space: bool) -> bytes:
-        mapped = ("\u0120" + piece if space and piece.isascii() and piece.isalpha() else
-                  "".join(map(self._symbols.__getitem__,
-                              (" " + piece if space else piece).encode())))
+        raw = " " + piece if space else piece
+        mapped = raw.encode().decode("latin-1").translate(self._symbols)
         return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
 
