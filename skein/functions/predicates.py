@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from skein.functions.text import DELETED
 from skein.operators.rows import as_col
 
-# Lists longer than this become a broadcast semi/anti join instead of an IN list;
-# the list itself comes from the caller, so its size is known.
-INLIST_MAX = 1000
-
-
 def not_deleted(body="body") -> Column:
     """body != '[deleted]'; a null body is kept, as Python's None != '[deleted]' (P3)."""
     return ~as_col(body).eqNullSafe(F.lit(DELETED))
@@ -41,20 +36,21 @@ def max_text_length(n: int | None, text="body", tokens: bool = False) -> Column:
     return _measure(text, tokens) <= F.lit(n)
 
 
-def keep_groups(df: DataFrame, values: Iterable[str], col: str = "subreddit") -> DataFrame:
-    """Keep rows whose ``col`` is listed (P1). Long lists: broadcast left-semi join."""
+def _listed(values: Iterable[str | None], col: str) -> Column:
+    """Whether ``col`` is in the list, as Python's ``in`` says it: never null, and
+    a null is listed only if None is."""
     values = list(dict.fromkeys(values))
-    if len(values) <= INLIST_MAX:
-        return df.where(F.col(col).isin(values))
-    keys = df.sparkSession.createDataFrame([(v,) for v in values], f"{col} string")
-    return df.join(F.broadcast(keys), col, "left_semi")
+    known = [v for v in values if v is not None]
+    hit = F.col(col).isNotNull() & F.col(col).isin(known) if known else F.lit(False)
+    return hit | F.col(col).isNull() if None in values else hit
 
 
-def strip_groups(df: DataFrame, values: Iterable[str], col: str = "subreddit") -> DataFrame:
-    """Remove rows whose ``col`` is listed; null stays (P2). Long lists: anti join."""
-    values = list(dict.fromkeys(values))
-    if len(values) <= INLIST_MAX:
-        # null stays; this form is pushed down to the scan as IsNull OR NOT IN
-        return df.where(F.col(col).isNull() | ~F.col(col).isin(values))
-    keys = df.sparkSession.createDataFrame([(v,) for v in values], f"{col} string")
-    return df.join(F.broadcast(keys), col, "left_anti")
+def keep_groups(df: DataFrame, values: Iterable[str | None], col: str = "subreddit") -> DataFrame:
+    """Keep rows whose ``col`` is listed; None in the list keeps nulls (P1). The
+    list is part of the plan, of any length, and is pushed to the scan."""
+    return df.where(_listed(values, col))
+
+
+def strip_groups(df: DataFrame, values: Iterable[str | None], col: str = "subreddit") -> DataFrame:
+    """Remove rows whose ``col`` is listed; nulls go only if None is listed."""
+    return df.where(~_listed(values, col))

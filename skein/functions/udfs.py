@@ -9,9 +9,13 @@ from __future__ import annotations
 from typing import Callable, Iterable
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def scalar(f: Callable, return_type: str) -> Callable[..., Column]:
@@ -29,9 +33,9 @@ def vectorized(f: Callable[[pd.Series], pd.Series], return_type: str) -> Callabl
 
 
 def table_function(f: Callable[..., Iterable], element_type: str = "bigint"):
-    """Python flat_map callable as a UDTF (U2): one output row per produced
+    """Python flat_map callable as an Arrow UDTF (U2): one output row per produced
     element, with its index; use with ``df.lateralJoin(tf(col.outer()))``."""
-    @udtf(returnType=f"elem int, value {element_type}")
+    @udtf(returnType=f"elem int, value {element_type}", useArrow=True)
     class _FlatMap:
         def eval(self, x):
             for i, v in enumerate(f(x)):
@@ -39,22 +43,78 @@ def table_function(f: Callable[..., Iterable], element_type: str = "bigint"):
     return _FlatMap
 
 
-def grouped_reduce(df: DataFrame, keys: list[str], value: str,
-                   combine: Callable[[pd.Series], object], return_type: str,
-                   salt_buckets: int = 64, name: str = "result") -> DataFrame:
-    """Associative user reduction per key (U3), in two levels.
+def _fold_runs(df: DataFrame, keys: list[str], value: str, f: Callable, schema: str,
+               extra: Callable[[], dict]) -> DataFrame:
+    """Fold each run of equal keys of a partition, in row order and a batch at a
+    time, to one row; ``extra`` gives further columns of the partial."""
+    def fold(batches):
+        key = acc = None
+        for batch in batches:
+            columns = [batch.column(batch.schema.names.index(k)).to_pylist() for k in keys]
+            for k, v in zip(zip(*columns) if keys else [()] * batch.num_rows,
+                            batch.column(batch.schema.names.index(value)).to_pylist()):
+                if key is not None and k == key[0]:
+                    acc = f(acc, v)
+                    continue
+                if key is not None:
+                    yield row(key[0], acc)
+                key, acc = (k,), v
+        if key is not None:
+            yield row(key[0], acc)
 
-    Level one reduces (key, salt) groups, where the salt spreads every key over
-    ``salt_buckets`` groups, so a key holding a third of all rows is still split
-    across many tasks; level two reduces the at most ``salt_buckets`` partial
-    results per key. ``combine`` must be associative and commutative
-    (sum, max, set union, ...), as the order of the partials is not fixed.
+    def row(k, acc):
+        return pa.RecordBatch.from_pylist([dict(zip(keys, k)) | extra() | {value: acc}], schema=arrow)
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    return df.mapInArrow(fold, schema)
+
+
+def ordered_reduce(df: DataFrame, value: str, f: Callable, order: str, return_type: str,
+                   keys: Iterable[str] = (), name: str = "result") -> DataFrame:
+    """Fold with an associative Python function in row order, per key (E10, U3);
+    the function need not be commutative.
+
+    Rows are range-partitioned by (keys, order), so a key with very many rows is
+    cut into consecutive stretches; a task folds its stretches as they stream by,
+    and the partials (one per key and task) are folded in stretch order. Without
+    keys the whole input is one key. No rows give no result for a key, and no row
+    at all without keys.
     """
-    @pandas_udf(return_type)
-    def reduce_(s: pd.Series) -> object:  # grouped-aggregate pandas UDF
-        return combine(s)
+    keys = list(keys)
+    typed = df.select(*keys, F.col(order).alias("_order"), F.col(value).cast(return_type).alias("_value"))
+    key_types = "".join(f"`{k}` {typed.schema[k].dataType.simpleString()}, " for k in keys)
+
+    def part() -> dict:
+        return {"_part": TaskContext.get().partitionId()}
+
+    # a row without an order comes first, as in a sort
+    stretches = _fold_runs(typed.repartitionByRange(*keys, "_order").sortWithinPartitions(*keys, "_order"),
+                           keys, "_value", f, f"{key_types}_part int, _value {return_type}", part)
+    together = stretches.repartition(*keys) if keys else stretches.coalesce(1)
+    done = _fold_runs(together.sortWithinPartitions(*keys, "_part"), keys, "_value", f,
+                      f"{key_types}_value {return_type}", dict)
+    return done.withColumnRenamed("_value", name)
+
+
+def grouped_reduce(df: DataFrame, keys: list[str], value: str, f: Callable, return_type: str,
+                   name: str = "result") -> DataFrame:
+    """Associative and commutative user reduction per key (U3): each task folds its
+    rows to one partial per key it holds (at most one per distinct key of a
+    batch at a time), and the partials are folded per key."""
+    typed = df.select(*keys, F.col(value).cast(return_type).alias("_value"))
+    key_types = "".join(f"`{k}` {typed.schema[k].dataType.simpleString()}, " for k in keys)
+    schema = f"{key_types}_value {return_type}"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def combine(batches):
+        for batch in batches:       # a batch is bounded, and so are its keys
+            acc: dict = {}
+            for *k, v in zip(*[c.to_pylist() for c in batch.columns]):
+                k = tuple(k)
+                acc[k] = f(acc[k], v) if k in acc else v
+            yield pa.RecordBatch.from_pylist([dict(zip(keys, k)) | {"_value": v} for k, v in acc.items()],
+                                             schema=arrow)
 
-    salt = (F.abs(F.xxhash64(*[F.col(k) for k in keys], F.monotonically_increasing_id()))
-            % salt_buckets).alias("_salt")
-    partial = df.select(*keys, value, salt).groupBy(*keys, "_salt").agg(reduce_(value).alias("_p"))
-    return partial.groupBy(*keys).agg(reduce_("_p").alias(name))
+    partial = typed.mapInArrow(combine, schema)
+    together = partial.repartition(*keys).sortWithinPartitions(*keys)
+    return _fold_runs(together, keys, "_value", f, schema, dict).withColumnRenamed("_value", name)

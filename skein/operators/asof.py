@@ -1,52 +1,45 @@
 """As-of equi-join: for each left row, the right row with the same key and the
 latest position at or before (or strictly before) the left row's position.
 
-Plan: one window over the right side, partitioned by its key, gives every
-version the position of the next version of the same key; the left side then
-equi-joins on the key with the residual ``pos <= left.pos < next_pos``, which
-matches at most one version. Both sides shuffle once on the key (the window's
-partitioning is reused by the join). Because the right side is a window and not
-a plain shuffle, AQE cannot split a skewed key here, so hot left keys (a parent
-with a huge number of replies) are split off explicitly and joined against a
-broadcast copy of their versions (``skew.split_hot_join``).
+Two steps. First the position of the matching version is found on (key, position)
+rows alone: left and right keys in one frame, a running maximum of the right
+positions per key, hot keys (of either side) split by position (``skew``). Then
+the payloads meet in an equi-join on that position, between two plain shuffles,
+where AQE can split a version that very many left rows share.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.operators.skew import split_hot_join
+from skein.operators.skew import before_in_key
+
+
+def resolve(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+            left_pos: str = "pos", right_pos: str = "pos", inclusive: bool = True) -> DataFrame:
+    """(_lpos, _rpos) for each left row: its position, and that of its match (null
+    if there is none). Null keys and positions match nothing. Positions of either
+    side are unique, but the same row may be on both sides."""
+    version = right.where(F.col(right_key).isNotNull()).select(
+        F.col(right_key).alias("_k"), F.col(right_pos).alias("_p"), F.lit(0 if inclusive else 1).alias("_side"),
+        F.lit(False).alias("_asks"))
+    asks = left.where(F.col(left_key).isNotNull()).select(
+        F.col(left_key).alias("_k"), F.col(left_pos).alias("_p"), F.lit(1 if inclusive else 0).alias("_side"),
+        F.lit(True).alias("_asks"))
+    both = version.unionByName(asks)
+    seen = before_in_key(both, "_k", F.when(~F.col("_asks"), F.col("_p")), "_p", F.col("_side"), name="_rpos")
+    return seen.where("_asks").select(F.col("_p").alias("_lpos"), "_rpos")
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               left_pos: str = "pos", right_pos: str = "pos", inclusive: bool = True,
-              how: str = "inner", prefix: str = "p_", split_hot: bool = True,
-              min_hot_rows: int | None = None, hot: list | None = None) -> DataFrame:
-    """Join ``left`` to the latest ``right`` version at or before it.
-
-    Right columns come out with ``prefix``. ``inclusive=True`` lets a row match
-    itself (same position), which is how a self-parent comment pairs with itself.
-    With ``split_hot`` a left key holding at least ``min_hot_rows`` rows (a parent
-    with a huge number of replies) is joined against a broadcast copy of its
-    versions instead of going to one task (see ``skew.split_hot_join``). ``hot``
-    passes keys found earlier on a cheaper superset of ``left`` (any superset of
-    the hot keys gives the same result).
-    """
-    rk, rp, nxt = f"{prefix}{right_key}", f"{prefix}{right_pos}", f"{prefix}_next_pos"
-    renamed = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
-    versions = renamed.withColumn(
-        nxt, F.lead(F.col(rp)).over(Window.partitionBy(rk).orderBy(rp)))
-    lpos = F.col(left_pos)
-    lower = F.col(rp) <= lpos if inclusive else F.col(rp) < lpos
-    upper = F.col(nxt).isNull() | (lpos < F.col(nxt)) if inclusive else \
-        F.col(nxt).isNull() | (lpos <= F.col(nxt))
-    cond = (F.col(left_key) == F.col(rk)) & lower & upper
-
-    def join(lhs: DataFrame, rhs: DataFrame) -> DataFrame:
-        return lhs.join(rhs, cond, how).drop(nxt)
-
-    if not split_hot:
-        return join(left, versions)
-    kwargs = {} if min_hot_rows is None else {"min_rows": min_hot_rows}
-    return split_hot_join(left, versions, left_key, rk, join, keys=hot, **kwargs)
+              prefix: str = "p_") -> DataFrame:
+    """Join ``left`` to the latest ``right`` version at or before it; rows without
+    one are left out. Right columns come out with ``prefix``. ``inclusive=True``
+    lets a row match itself (same position), which is how a self-parent comment
+    pairs with itself."""
+    at = resolve(left, right, left_key, right_key, left_pos, right_pos, inclusive).where("_rpos IS NOT NULL")
+    versions = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
+    placed = left.join(at, F.col(left_pos) == F.col("_lpos")).drop("_lpos")
+    return placed.join(versions, F.col("_rpos") == F.col(f"{prefix}{right_pos}")).drop("_rpos")

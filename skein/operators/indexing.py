@@ -7,18 +7,13 @@ A global ``row_number()`` window moves every row into one partition. Instead:
 2. tag rows with ``monotonically_increasing_id`` (partition id in the upper bits,
    row number in the partition in the lower 33 bits) and checkpoint, so that
    partition boundaries and row numbers stay fixed even if executors are lost;
-3. count rows per partition (one row per partition reaches the driver) and add
-   the prefix sum of earlier partitions to each row's local number.
-
-The offsets are a literal array with one entry per partition, so the final
-projection stays inside whole-stage codegen.
+3. count rows per partition and join the prefix sums of earlier partitions back
+   on: a table of one row per partition, which Spark broadcasts.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.rows import as_col
@@ -38,12 +33,12 @@ def dense_index(df: DataFrame, order, name: str = "index",
                .sortWithinPartitions(*order_cols)
                .withColumn("_mid", F.monotonically_increasing_id()))
     ordered = cut_lineage(ordered)
-    part = F.shiftright(F.col("_mid"), _LOW_BITS)
-    counts = dict(ordered.groupBy(part.alias("p")).count().collect())
-    width = (max(counts) + 1) if counts else 1
-    offsets = [0] + list(accumulate(counts.get(p, 0) for p in range(width)))[:-1]
+    tagged = ordered.withColumn("_part", F.shiftright(F.col("_mid"), _LOW_BITS))
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: a running sum over them stays small
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_part").alias("_of"),
+                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
-                          (part + 1).cast("int"))
-    return ordered.withColumn(name, offset + local).drop("_mid")
-
+    return (tagged.join(F.broadcast(offsets), F.col("_part") == F.col("_of"))
+            .withColumn(name, F.col("_offset") + local).drop("_mid", "_part", "_of", "_offset"))

@@ -2,8 +2,9 @@
 
 The Python original is a pull-based iterator with an implicit order; here the
 order is a column (``pos``) and each operator is expressed without a global sort
-wherever the semantics allow: take/drop use a bounded top-k or the dense index,
-take_while/drop_while need one scalar aggregate, folds are partial aggregates.
+wherever the semantics allow: take/drop rank the order keys alone (range
+partitioned) and filter the rows by the cut, take_while/drop_while need one scalar
+aggregate, folds are partial aggregates.
 """
 
 from __future__ import annotations
@@ -17,29 +18,46 @@ from pyspark.sql import functions as F
 from skein.operators.indexing import dense_index
 from skein.operators.rows import as_col
 
-# Above this many rows a top-k would hold too much per task; switch to the
-# dense index (range partitioned, no single-task step).
-TOPK_MAX = 100_000
+_TIE = "_tie"
+
+
+def _parts(df: DataFrame, n: int, order: str) -> tuple[DataFrame, DataFrame]:
+    """(the first n rows, the others) in the order of (position, what the row
+    holds), null positions first: the same way for every n. Only the order keys
+    are ranked; the rows themselves are filtered by the key of the n-th."""
+    n = max(int(n), 0)
+    if n == 0:
+        return df.limit(0), df
+    tied = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+    pos, tie = F.col(order), F.col(_TIE)
+    ranked = dense_index(tied.select(order, _TIE), [pos.asc_nulls_first(), tie], "_i")
+    cut = ranked.where(F.col("_i") == n - 1).select(order, _TIE).first()
+    if cut is None:
+        return df, df.limit(0)
+    p, t = F.lit(cut[0]), F.lit(cut[1])
+    here = pos.eqNullSafe(p) & (tie == t)
+    before = (pos.eqNullSafe(p) & (tie < t))
+    if cut[0] is not None:
+        before = before | pos.isNull() | F.coalesce(pos < p, F.lit(False))
+    # rows that are the same throughout may lie on both sides of the cut
+    same = ranked.where(here)
+    ours = same.where(F.col("_i") < n).count()
+    theirs = same.count() - ours
+    first, rest = tied.where(before | here), tied.where(~before & ~here)
+    if theirs:
+        first = tied.where(before).unionByName(tied.where(here).limit(ours))
+        rest = rest.unionByName(tied.where(here).limit(theirs))
+    return first.drop(_TIE), rest.drop(_TIE)
 
 
 def take(df: DataFrame, n: int, order: str = "pos") -> DataFrame:
     """First n rows in stream order (L1); n <= 0 gives no rows."""
-    n = max(int(n), 0)
-    if n <= TOPK_MAX:
-        return df.orderBy(order).limit(n)
-    return dense_index(df, order, "_i").where(F.col("_i") < n).drop("_i")
+    return _parts(df, n, order)[0]
 
 
 def drop(df: DataFrame, n: int, order: str = "pos") -> DataFrame:
-    """All but the first n rows (L2). The cut is the n-th position, found by a
-    bounded top-k and applied as a scalar-subquery filter (no global sort)."""
-    n = max(int(n), 0)
-    if n == 0:
-        return df
-    if n <= TOPK_MAX:
-        cut = df.select(order).orderBy(order).limit(n).agg(F.max(order))
-        return df.where(F.col(order) > cut.scalar())
-    return dense_index(df, order, "_i").where(F.col("_i") >= n).drop("_i")
+    """All but the first n rows (L2)."""
+    return _parts(df, n, order)[1]
 
 
 def _stop(df: DataFrame, predicate, order: str) -> Column:

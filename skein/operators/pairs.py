@@ -1,9 +1,9 @@
-"""Reply pairing: four different pair semantics, each a shuffle join on a key.
+"""Reply pairing: four different pair semantics, each a shuffle on a key.
 
 The Python original pairs by holding every comment seen so far in a dict; here a
-reply finds its parent through an equi-join on the parent key, with the stream
-position as a residual condition, so no state grows with the input and a hot
-parent is split by AQE's skew join.
+reply finds the position of its parent's latest version on (key, position) rows
+(``asof``), where hot parents are split by position, and the texts then meet by
+position.
 """
 
 from __future__ import annotations
@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 
 from skein.functions.predicates import not_deleted, on_comment
 from skein.functions.text import trim_whitespace
-from skein.operators.asof import asof_join
+from skein.operators.asof import asof_join, resolve
 from skein.operators.rows import as_col
-from skein.operators.skew import hot_keys
 
 
 def parent_key(parent_id="parent_id", strict: bool = False) -> Column:
@@ -47,14 +46,12 @@ def verified_pairs(df: DataFrame) -> DataFrame:
     """(id, parent_id) when the parent id occurred at a strictly earlier position.
 
     ``df`` carries parent keys in ``parent_id`` (see :func:`modify_parent_id`).
-    One row per child row even if the parent id repeats: the parent side is
-    reduced to its first position per id (partial aggregation, so a repeated id
-    never fans out), then joined on the key.
+    One row per child row even if the parent id repeats: each child asks for the
+    latest strictly earlier position of its parent key.
     """
-    first = df.groupBy(F.col("id").alias("_pid")).agg(F.min("pos").alias("_first"))
-    return (df.join(first, F.col("parent_id") == F.col("_pid"))
-            .where(F.col("_first") < F.col("pos"))
-            .select("pos", "id", "parent_id"))
+    asked = df.select("pos", "id", "parent_id")
+    at = resolve(asked, df.select("pos", "id"), "parent_id", "id", inclusive=False)
+    return asked.join(at.where("_rpos IS NOT NULL"), F.col("pos") == F.col("_lpos"), "left_semi")
 
 
 def paired_ids(pairs: DataFrame) -> DataFrame:
@@ -62,12 +59,12 @@ def paired_ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("id", "parent_id")).alias("id")).distinct()
 
 
-def body_pairs(df: DataFrame, payload: str = "body", hot: list | None = None) -> DataFrame:
+def body_pairs(df: DataFrame, payload: str = "body") -> DataFrame:
     """(parent body, reply body): the parent is the latest row with that id at a
     position <= the reply's, the reply row itself included (J7)."""
     parents = df.select("id", "pos", payload)
     out = asof_join(df.select("pos", "id", "parent_id", payload), parents,
-                    left_key="parent_id", right_key="id", inclusive=True, hot=hot)
+                    left_key="parent_id", right_key="id", inclusive=True)
     return out.select(
         F.col("pos"), F.col("id"), F.col("parent_id"), F.col("p_pos").alias("parent_pos"),
         F.col(f"p_{payload}").alias(f"parent_{payload}"), F.col(payload).alias(f"reply_{payload}"))
@@ -95,14 +92,17 @@ def extract_pairs(raw: DataFrame, **hooks) -> DataFrame:
     Phase 1 finds every id that takes part in a verified pair; phase 2 keeps only
     those comments (a left-semi join, reduced at runtime to a broadcast by AQE
     when the id set turns out small) and pairs bodies as-of. The preprocessing
-    does not change ids, so both phases start from one scan.
+    does not change ids, so both phases start from the same rows; ``dump_pairs``
+    writes them once, which spares a text source the second and later reads.
     """
-    prep = preprocess(modify_parent_id(raw), **hooks)
-    ids = paired_ids(verified_pairs(prep))
-    # hot parents found on the preprocessed scan (a superset of those left after
-    # the semi-join), so phase 1 is not run a second time just to find them
-    hot = hot_keys(prep, "parent_id")
-    return body_pairs(prep.join(ids, "id", "left_semi"), hot=hot)
+    return pair_prepared(preprocess(modify_parent_id(raw), **hooks))
+
+
+def pair_prepared(prep: DataFrame) -> DataFrame:
+    """Both phases on preprocessed rows (pos, id, parent_id, body)."""
+    ids = paired_ids(verified_pairs(prep)).withColumnRenamed("id", "_paired")
+    # a child without an id is paired by what it lacks, as None is in a set
+    return body_pairs(prep.join(ids, F.col("id").eqNullSafe(F.col("_paired")), "left_semi"))
 
 
 def record_pairs(df: DataFrame, cols=("id", "parent_id", "author", "body")) -> DataFrame:

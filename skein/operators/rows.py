@@ -97,5 +97,8 @@ def peek(df: DataFrame, name: str = "peek", **metrics) -> tuple[DataFrame, Obser
 
 
 def foreach_partition(df: DataFrame, f: Callable) -> None:
-    """Per-row consumer action, run inside the executors."""
-    df.foreachPartition(lambda rows: [f(r) for r in rows] and None)
+    """Per-row consumer action, run inside the executors as rows arrive."""
+    def consume(rows):
+        for r in rows:
+            f(r)
+    df.foreachPartition(consume)

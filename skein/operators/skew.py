@@ -1,52 +1,92 @@
-"""Hot-key splitting for joins whose big side may concentrate on one key.
-
-AQE splits skewed partitions of a sort-merge join only when both join inputs
-are plain shuffle stages. Where one side is computed after its shuffle (for
-example by a window, as in the as-of join) that does not apply, so a parent
-holding a third of all replies would land in one task. Here the hot keys are
-found first (one aggregate, keys at or above ``min_rows`` rows, at most
-``max_keys`` of them, so the list collected is bounded), the other side's rows
-for those keys are broadcast after checking their count, and only the cold
-keys go through the shuffle join. The results are unioned; no shuffle is added
-for the hot part.
+"""Splitting hot keys by position.
+
+A key that holds a large share of the rows would put them into one task wherever
+rows meet by key and AQE cannot split them (windows, joins with an aggregate).
+Here a key is hot if it has at least 1/P of all rows, P being the session's
+shuffle partitions; there are at most P such keys, which is the size bound of the
+only table that is broadcast. A hot key's rows are cut into buckets of position
+with about 1/P of all rows each, by the quantiles of the position; other keys
+have the single bucket -1. Everything is part of the plan: no job runs while it is
+built, and there is no list of keys and no threshold to set.
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MIN_HOT_ROWS = 1_000_000   # a key with fewer rows on the big side is never split off
-HOT_KEYS_MAX = 1_000       # bound on the hot-key list brought to the driver
-HOT_BROADCAST_ROWS = 2_000_000  # bound on the other side's rows broadcast for hot keys
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS,
-             max_keys: int = HOT_KEYS_MAX) -> list:
-    """Keys with at least ``min_rows`` rows (the heaviest ``max_keys`` of them)."""
-    heavy = (df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") >= min_rows).orderBy(F.col("_n").desc()).limit(max_keys))
-    return [r["_k"] for r in heavy.collect() if r["_k"] is not None]
-
-
-def split_hot_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-                   join: Callable[[DataFrame, DataFrame], DataFrame],
-                   min_rows: int = MIN_HOT_ROWS, max_keys: int = HOT_KEYS_MAX,
-                   keys: list | None = None) -> DataFrame:
-    """``join(big, small)`` with the hot keys of ``big`` joined against a broadcast
-    copy of ``small``'s rows for those keys. ``join`` must be an equi-join on
-    ``big_key == small_key`` (inner or left) with any residual condition.
-    ``keys``: hot keys computed by the caller (e.g. on the scan before filters)."""
-    if keys is None:
-        keys = hot_keys(big, big_key, min_rows, max_keys)
-    if not keys:
-        return join(big, small)
-    is_hot: Column = F.col(big_key).isin(keys)
-    small_hot = small.where(F.col(small_key).isin(keys))
-    if small_hot.count() > HOT_BROADCAST_ROWS:
-        return join(big, small)  # too many rows to broadcast: AQE's runtime handling only
-    cold = join(big.where(~is_hot | F.col(big_key).isNull()), small)
-    hot = join(big.where(is_hot), F.broadcast(small_hot))
-    return cold.unionByName(hot)
+BUCKET = "_bucket"
+
+
+def partitions(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def hot_table(rows: DataFrame, key: str) -> DataFrame:
+    """(_hot_key, _hot): keys with at least 1/P of the rows, at most P of them;
+    null is a key like any other."""
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    counts = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where((F.col("_n") * partitions(rows) >= total) & (F.col("_n") > 1)).select(
+        "_hot_key", F.lit(True).alias("_hot"))
+
+
+def _mark(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    return rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+
+
+def bucketed(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+    """``rows`` with the position bucket of its hot keys."""
+    p = partitions(rows)
+    if p == 1:
+        return rows.withColumn(BUCKET, F.lit(-1))
+    bounds = rows.agg(F.percentile_approx(pos, [i / p for i in range(1, p)])).scalar()
+    place = F.size(F.filter("_bounds", lambda b: b < F.col(pos)))
+    hot = hot_table(rows, key).withColumn("_bounds", bounds)
+    return _mark(rows, hot, key).withColumn(
+        BUCKET, F.when(F.col("_hot") & F.col(pos).isNotNull(), place).otherwise(-1)).drop("_hot", "_bounds")
+
+
+def before_in_key(rows: DataFrame, key: str, value: Column, pos: str, *order: Column,
+                  name: str) -> DataFrame:
+    """Greatest ``value`` at or before each row, in (``pos``, ``order``), among the
+    rows of its key; nulls are passed over. A running maximum inside the buckets,
+    and the maximum of the key's earlier buckets."""
+    tagged = bucketed(rows.withColumn("_value", value), key, pos)
+    run = Window.partitionBy(key, BUCKET).orderBy(pos, *order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = tagged.withColumn("_inside", F.max("_value").over(run))
+    return _with_other_buckets(inside, tagged, key, F.max("_value"), Window.unboundedPreceding, -1, F.max,
+                               lambda other: F.greatest("_inside", other), name)
+
+
+def next_in_key(rows: DataFrame, key: str, pos: str, name: str) -> DataFrame:
+    """Position of the next row of the same key (null for the last)."""
+    tagged = bucketed(rows, key, pos)
+    inside = tagged.withColumn("_inside", F.lead(pos).over(Window.partitionBy(key, BUCKET).orderBy(pos)))
+    return _with_other_buckets(inside, tagged, key, F.min(pos), 1, Window.unboundedFollowing, F.min,
+                               lambda other: F.coalesce("_inside", other), name)
+
+
+def _with_other_buckets(inside, tagged, key, of_bucket, start, end, merge, combine, name):
+    """Join what a hot key's buckets before or after say: P x P rows at most."""
+    facts = (tagged.where(F.col(BUCKET) >= 0).groupBy(F.col(key).alias("_key"), F.col(BUCKET).alias("_b"))
+             .agg(of_bucket.alias("_v")))
+    others = facts.withColumn("_other", merge("_v").over(
+        Window.partitionBy("_key").orderBy("_b").rowsBetween(start, end)))
+    others = others.select("_key", "_b", "_other").where("_other IS NOT NULL")
+    out = inside.join(others, F.col(key).eqNullSafe(F.col("_key")) & (F.col(BUCKET) == F.col("_b")), "left")
+    return out.withColumn(name, combine(F.col("_other"))).drop(
+        "_key", "_b", "_other", "_inside", "_value", BUCKET)
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, key: str, fact_key: str, how: str = "left") -> DataFrame:
+    """Join one row of ``facts`` per key to every row (null keys meet as well). Hot
+    keys of ``rows`` are dealt out over P places, where their single fact is
+    repeated: P x P rows more at most."""
+    p, hot = partitions(rows), hot_table(rows, key)
+    place = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(p)).cast("int")
+    salted = _mark(rows, hot, key).withColumn("_salt", F.when(F.col("_hot"), place).otherwise(0)).drop("_hot")
+    places = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(p - 1))).otherwise(F.array(F.lit(0)))
+    repeated = _mark(facts, hot, fact_key).withColumn("_place", F.explode(places)).drop("_hot")
+    return salted.join(repeated, F.col(key).eqNullSafe(F.col(fact_key)) &
+                       (F.col("_salt") == F.col("_place")), how).drop("_salt", "_place")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.text import DELETED
 from skein.operators.pairs import parent_key
+from skein.operators.skew import join_facts
 
 
 def summary_totals(df: DataFrame) -> DataFrame:
@@ -44,10 +45,10 @@ def summary_groups(df: DataFrame) -> DataFrame:
 
 
 def inconsistent_names(df: DataFrame) -> DataFrame:
-    """Rows whose subreddit name differs from the first name of their id."""
-    first = df.groupBy("subreddit_id").agg(F.min_by("subreddit", "pos").alias("first_name"))
-    return (df.select("pos", "subreddit_id", "subreddit")
-            .join(first, "subreddit_id")
+    """Rows whose subreddit name differs from the first name of their id (E3);
+    rows without an id are one group."""
+    first = df.groupBy(F.col("subreddit_id").alias("_g")).agg(F.min_by("subreddit", "pos").alias("first_name"))
+    return (join_facts(df.select("pos", "subreddit_id", "subreddit"), first, "subreddit_id", "_g").drop("_g")
             .where(~F.col("subreddit").eqNullSafe(F.col("first_name"))))
 
 
@@ -81,8 +82,11 @@ def list_fields(records: DataFrame, json_col: str = "value") -> DataFrame:
 
 def count_fields(records: DataFrame, json_col: str = "value") -> DataFrame:
     """Records per field, ascending by count, ties by first appearance."""
-    return (record_fields(records, json_col).groupBy("field")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
+    return field_counts(record_fields(records, json_col))
+
+
+def field_counts(fields: DataFrame) -> DataFrame:
+    return (fields.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
             .orderBy("n", "first_pos"))
 
 
@@ -90,10 +94,12 @@ def count_field_values(records: DataFrame, json_col: str = "value") -> DataFrame
     """Occurrences of each value of each field (E7). Values of different JSON
     types stay apart (the type is part of the key); arrays and objects count
     by their JSON text."""
-    f = record_fields(records, json_col)
-    return (f.groupBy("field",
-                      F.schema_of_variant("value").alias("value_type"),
-                      value_text(F.col("value")).alias("value"))
+    return field_value_counts(record_fields(records, json_col))
+
+
+def field_value_counts(fields: DataFrame) -> DataFrame:
+    return (fields.groupBy("field", F.schema_of_variant("value").alias("value_type"),
+                           value_text(F.col("value")).alias("value"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 

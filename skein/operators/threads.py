@@ -1,112 +1,136 @@
 """Thread reconstruction without the quadratic list scan.
 
-Display rule of the original (a depth-first print that removes each comment
-once shown): conversations start in stream order; a comment's conversation
-root is the ancestor-or-self with the smallest position (on sorted input, the
-comment whose parent is absent; a reply seen before its parent starts its own
-conversation; a cycle is entered at its earliest member); replies follow
-depth-first, siblings in stream order.
-
-Both steps use pointer doubling, so the number of Spark rounds grows with the
-logarithm of the thread depth, not with the number of comments:
-
-1. roots: every node keeps (jump target, best ancestor so far); each round
-   joins a node with its jump target, keeps the smaller best, and doubles the
-   jump. It stops when no jump is left or a round changes nothing (a fixpoint,
+Display rule (a depth-first print): conversations start in stream order; a
+comment's conversation root is the ancestor-or-self with the smallest position
+(on sorted input, the comment whose parent is absent; a reply seen before its
+parent starts its own conversation; a cycle is entered at its earliest member);
+replies follow depth-first, siblings in stream order. Rows are told apart by
+position: of rows that share an id, replies answer the first.
+
+All steps double pointers, so the number of Spark rounds grows with the logarithm
+of the conversation size, and every state has a fixed width:
+
+1. parents: each row's parent key becomes the position of that parent (hot parents
+   are split, ``skew``).
+2. roots: every node keeps (jump target, best ancestor so far); each round joins
+   the nodes that still jump with their targets, keeps the smaller best, and
+   doubles the jump, until no jump is left or a round changes nothing (a fixpoint,
    which also ends cycles).
-2. paths: edges above roots are cut; every node keeps the path segment from its
-   jump target down to itself; each round prepends the target's segment. Sorting
-   by the full path is the depth-first order.
-
-Each round is checkpointed to the shared checkpoint folder, so the lineage stays
-short and a lost executor costs one round, not the whole computation.
+3. order: edges above roots are cut, which leaves trees. A walk around a tree
+   enters and leaves each node once; entering counts 1 towards the rank and 1
+   towards the level, leaving -1 towards the level. Each step knows its next step;
+   doubling those pointers gives every step's sums to the end of the walk, and so
+   rank and level, without any list of ancestors.
+
+Each round is written to the shared folder, so the lineage stays short and a lost
+executor costs one round. Steps that are done leave the rounds.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from skein.functions.text import trim_whitespace
 from skein.operators.pairs import parent_key
-from skein.session import cut_lineage
+from skein.operators.skew import join_facts, next_in_key
+from skein.session import staged
 
-MAX_ROUNDS = 64  # 2**64 exceeds any depth; reaching it means a bug, not deep data
+MAX_ROUNDS = 64  # 2**64 exceeds any size; reaching it means a bug, not deep data
 
 
-def _edges(df: DataFrame) -> DataFrame:
-    """(id, pos, parent) where parent is the parent's id if that comment exists."""
-    nodes = df.select("id", "pos", parent_key("parent_id").alias("_k"))
-    ids = df.select(F.col("id").alias("_pid")).distinct()
-    return (nodes.join(ids, F.col("_k") == F.col("_pid"), "left")
-            .select("id", "pos", F.col("_pid").alias("parent")))
+def _parents(df: DataFrame) -> DataFrame:
+    """(pos, up): the position of the first row with the parent's id, or null."""
+    nodes = df.select("pos", parent_key("parent_id").alias("_k"))
+    first = df.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id")).agg(F.min("pos").alias("up"))
+    return join_facts(nodes, first, "_k", "_id").select("pos", "up")
 
 
-def _roots(edges: DataFrame) -> DataFrame:
-    """(id, pos, parent, root_id) by doubling over ancestor chains."""
-    state = edges.select("id", "pos", "parent", F.col("parent").alias("jump"),
-                         F.struct(F.col("pos"), F.col("id")).alias("best"))
-    state = cut_lineage(state)
-    for _ in range(MAX_ROUNDS):
-        t = state.select(F.col("id").alias("_t"), F.col("jump").alias("_tj"),
-                         F.col("best").alias("_tb"))
-        nxt = (state.join(t, F.col("jump") == F.col("_t"), "left")
-               .select("id", "pos", "parent",
-                       F.when(F.col("_t").isNull(), F.lit(None)).otherwise(F.col("_tj")).alias("jump"),
-                       F.when(F.col("_tb").isNull(), F.col("best"))
-                        .otherwise(F.least(F.col("best"), F.col("_tb"))).alias("best"),
-                       (F.col("_tb").isNotNull() & (F.col("_tb") < F.col("best"))).alias("_changed")))
-        nxt = cut_lineage(nxt)
-        active, changed = nxt.agg(F.count_if(F.col("jump").isNotNull()),
-                                  F.count_if("_changed")).first()
-        state = nxt.drop("_changed")
-        if active == 0 or changed == 0:
-            break
-    return state.select("id", "pos", "parent", F.col("best.id").alias("root_id"))
-
-
-def _paths(rooted: DataFrame) -> DataFrame:
-    """(id, pos, root_id, path) with path = positions from the root down."""
-    state = rooted.select(
-        "id", "pos", "root_id",
-        F.when(F.col("root_id") == F.col("id"), F.lit(None)).otherwise(F.col("parent")).alias("jump"),
-        F.array(F.col("pos")).alias("path"))
-    state = cut_lineage(state)
+def _doubled(state: DataFrame, name: str, step, active: str) -> DataFrame:
+    """Apply ``step(moving, targets)`` to the rows where ``active`` holds until
+    none is left; the others are kept as they are. ``step`` returns the moved rows
+    and a column ``_changed``; a round in which none changed ends the work."""
+    done: list[DataFrame] = []
+    moving = staged(state, name)
     for _ in range(MAX_ROUNDS):
-        if state.where(F.col("jump").isNotNull()).isEmpty():
-            break
-        t = state.select(F.col("id").alias("_t"), F.col("jump").alias("_tj"),
-                         F.col("path").alias("_tp"))
-        state = cut_lineage(
-            state.join(t, F.col("jump") == F.col("_t"), "left")
-            .select("id", "pos", "root_id",
-                    F.when(F.col("_t").isNull(), F.lit(None)).otherwise(F.col("_tj")).alias("jump"),
-                    F.when(F.col("_t").isNull(), F.col("path"))
-                     .otherwise(F.concat(F.col("_tp"), F.col("path"))).alias("path")))
-    return state.drop("jump")
+        finished = moving.where(f"NOT ({active})")
+        going = moving.where(active)
+        if going.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, moving])
+        done.append(finished)
+        targets = reduce(DataFrame.unionByName, [*done, going])
+        moved = staged(step(going, targets), name)
+        if not moved.where("_changed").head(1):
+            return reduce(DataFrame.unionByName, [*done, moved.drop("_changed")])
+        moving = moved.drop("_changed")
+    raise RuntimeError(f"{name}: not settled after {MAX_ROUNDS} rounds")
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """(pos, up, best): ``best`` is the smallest position of the row and its ancestors."""
+
+    def step(going, targets):
+        t = targets.select(F.col("pos").alias("_t"), F.col("jump").alias("_tj"), F.col("best").alias("_tb"))
+        # a self-parent or a cycle jumps on for ever: it ends when nothing changes
+        return going.join(t, F.col("jump") == F.col("_t")).select(
+            "pos", "up", F.col("_tj").alias("jump"), F.least("best", "_tb").alias("best"),
+            (F.col("_tj").isNull() | (F.col("_tb") < F.col("best"))).alias("_changed"))
+
+    state = parents.select("pos", "up", F.col("up").alias("jump"), F.col("pos").alias("best"))
+    return _doubled(state, "thread-roots", step, "jump IS NOT NULL").select("pos", "up", "best")
+
+
+def _walk(rooted: DataFrame) -> DataFrame:
+    """(pos, root_pos, rank, level) by ranking the walk around every tree."""
+    tree = staged(rooted.select("pos", F.col("best").alias("root_pos"),
+                                F.when(F.col("best") != F.col("pos"), F.col("up")).alias("up")), "thread-tree")
+    kids = tree.where("up IS NOT NULL")
+    first = kids.groupBy(F.col("up").alias("_of")).agg(F.min("pos").alias("kid"))
+    sibling = next_in_key(kids.select("pos", "up"), "up", "pos", "after").select(F.col("pos").alias("_s"), "after")
+    # a step: 2 * pos enters the node, 2 * pos + 1 leaves it
+    into = tree.join(first, F.col("pos") == F.col("_of"), "left").select(
+        "root_pos", (F.col("pos") * 2).alias("step"),
+        F.coalesce(F.col("kid") * 2, F.col("pos") * 2 + 1).alias("next"),
+        F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("up"))
+    out = tree.join(sibling, F.col("pos") == F.col("_s"), "left").select(
+        "root_pos", (F.col("pos") * 2 + 1).alias("step"),
+        F.coalesce(F.col("after") * 2, F.col("up") * 2 + 1).alias("next"),
+        F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("up"))
+
+    def jump(going, targets):
+        t = targets.select(F.col("step").alias("_t"), F.col("next").alias("_tn"), F.col("n").alias("_tc"),
+                           F.col("up").alias("_tu"))
+        return going.join(t, F.col("next") == F.col("_t")).select(
+            "root_pos", "step", F.col("_tn").alias("next"), (F.col("n") + F.col("_tc")).alias("n"),
+            (F.col("up") + F.col("_tu")).alias("up"), F.lit(True).alias("_changed"))
+
+    sums = _doubled(into.unionByName(out), "thread-walk", jump, "next IS NOT NULL")
+    # sums run from a step to the end of the walk; all levels of a walk cancel out
+    entered = sums.where("step % 2 = 0").select((F.col("step") / 2).cast("long").alias("pos"), "root_pos", "n", "up")
+    size = entered.where("pos = root_pos").select(F.col("root_pos").alias("_r"), F.col("n").alias("_size"))
+    return join_facts(entered, size, "root_pos", "_r", "inner").select(
+        "pos", "root_pos", (F.col("_size") - F.col("n")).alias("rank"), (-F.col("up")).alias("level"))
 
 
 def threads(df: DataFrame) -> DataFrame:
-    """Every comment with its conversation root, level and depth-first path.
+    """Every comment with its conversation root, level and depth-first rank in the
+    conversation (T2); as many rows as ``df``.
 
-    Output: root_id, root_pos, id, pos, level, path ARRAY<BIGINT>, author, body;
-    ``orderBy('path')`` is the display order of the original.
+    Output: root_id, root_pos, id, pos, level, rank, author, body;
+    ``orderBy('root_pos', 'rank')`` is the display order. ``pos`` is a unique
+    BIGINT under 2^62.
     """
-    rooted = _roots(_edges(df))
-    paths = _paths(rooted)
-    out = paths.select("root_id", "id", "pos", "path",
-                       F.col("path")[0].alias("root_pos"),
-                       (F.size("path") - 1).cast("bigint").alias("level"))
-    extra = [c for c in ("author", "body") if c in df.columns]
-    if extra:
-        out = out.join(df.select("id", *extra), "id")
-    return out
-
-
-def path_key(path) -> F.Column:
-    """Fixed-width text form of a path; sorts like the array."""
-    return F.array_join(F.transform(path, lambda p: F.lpad(p.cast("string"), 20, "0")), "/")
+    keep = [c for c in ("id", "author", "body") if c in df.columns]
+    placed = staged(_walk(_roots(_parents(df))), "threads")
+    roots = df.select(F.col("pos").alias("_rp"), F.col("id").alias("root_id"))
+    rows = df.select(F.col("pos").alias("_pos"), *keep)
+    named = placed.join(rows, F.col("pos") == F.col("_pos"))
+    # the roots by a plain join, whose hot side Spark can split
+    return named.join(roots, F.col("root_pos") == F.col("_rp")).select("root_id", "root_pos", "pos", "level", "rank",
+                                                                       *keep)
 
 
 def limit_conversations(thr: DataFrame, limit: int) -> DataFrame:
@@ -114,9 +138,9 @@ def limit_conversations(thr: DataFrame, limit: int) -> DataFrame:
     A top-k over roots (bounded by ``limit``) and a semi-join."""
     if limit <= 0:
         return thr
-    roots = (thr.where(F.col("id") == F.col("root_id")).select("root_id", "pos")
-             .orderBy("pos").limit(limit).select("root_id"))
-    return thr.join(roots, "root_id", "left_semi")
+    roots = (thr.where(F.col("pos") == F.col("root_pos")).select("root_pos")
+             .orderBy("root_pos").limit(limit))
+    return thr.join(roots, "root_pos", "left_semi")
 
 
 def transcript(thr: DataFrame, show_header: bool = True, clean: bool = True) -> DataFrame:
@@ -131,13 +155,16 @@ def transcript(thr: DataFrame, show_header: bool = True, clean: bool = True) ->
         body = trim_whitespace("body") if clean else F.col("body")
     head = F.concat(indent, F.lit("- "))
     if show_header:
-        head = F.concat(head, F.col("id"), F.lit(", "), F.col("author"), F.lit(":\n  "), indent)
-    return thr.select("root_id", "path", F.concat(head, body.cast("string")).alias("line"))
+        head = F.concat(head, F.coalesce("id", F.lit("None")), F.lit(", "), F.coalesce("author", F.lit("None")),
+                        F.lit(":\n  "), indent)
+    line = F.concat(head, F.coalesce(body.cast("string"), F.lit("None")))
+    return thr.select("root_id", "root_pos", "rank", line.alias("line"))
 
 
 def group_by_parent(df: DataFrame) -> DataFrame:
     """Comments grouped by parent_id (T1), as member rows with the group's size
-    and first position; members are ordered by ``pos``. No group is collected
-    into one row, so a parent with millions of replies is no special case."""
-    groups = df.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
-    return df.select("parent_id", "pos", "id").join(groups, "parent_id")
+    and first position; members are ordered by ``pos``. Rows without a parent_id
+    are a group as well. No group is collected into one row or task."""
+    groups = df.groupBy(F.col("parent_id").alias("_g")).agg(F.count(F.lit(1)).alias("n"),
+                                                            F.min("pos").alias("first_pos"))
+    return join_facts(df.select("parent_id", "pos", "id"), groups, "parent_id", "_g").drop("_g")

@@ -10,35 +10,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from skein.operators.indexing import dense_index
 from skein.operators.rows import as_col, explode_rows
 
-# Vocabularies up to this many rows are broadcast for encoding (the count is
-# checked before the hint is given); larger ones use a shuffle join, with AQE
-# splitting the partitions of very frequent words.
-BROADCAST_VOCAB_ROWS = 2_000_000
-
-
 def token_rows(df: DataFrame, tokens, order: str = "pos") -> DataFrame:
     """(pos, i, word) for every token of every record."""
     return explode_rows(df.select(F.col(order).alias("pos"), as_col(tokens).alias("_t")),
                         "_t", "i", "word")
 
 
-def first_seen_key(pos="pos", i="i") -> Column:
-    """(record position, token index) as one exact, totally ordered number:
-    pos * 2^31 + i (an array index is below 2^31). DECIMAL(38,0) keeps it exact
-    for any BIGINT position and stays a fixed-size aggregation buffer, so the
-    aggregate remains a hash aggregate with a map-side combine."""
-    return as_col(pos).cast("decimal(38,0)") * F.lit(1 << 31) + as_col(i)
+def first_seen_key(tokens: DataFrame, pos: str = "pos", i: str = "i") -> Column:
+    """(record position, token index) as one ordered value. For an integer
+    position an exact number, pos * 2^31 + i (an array index is below 2^31):
+    DECIMAL(38,0) is a fixed-size buffer, so the aggregate stays a hash aggregate
+    with a map-side combine. Any other position stays a pair."""
+    if isinstance(tokens.schema[pos].dataType, IntegralType):
+        return F.col(pos).cast("decimal(38,0)") * F.lit(1 << 31) + F.col(i)
+    return F.struct(pos, i)
 
 
 def build_vocab(df: DataFrame, tokens, order: str = "pos", min_count: int = 1) -> DataFrame:
     """word, index, count (V1); with ``min_count`` > 1 rare words are dropped
     and the rest re-indexed in first-seen order (V7)."""
-    counted = (token_rows(df, tokens, order).groupBy("word")
-               .agg(F.count(F.lit(1)).alias("count"), F.min(first_seen_key()).alias("_first")))
+    rows = token_rows(df, tokens, order)
+    counted = rows.groupBy("word").agg(F.count(F.lit(1)).alias("count"),
+                                       F.min(first_seen_key(rows)).alias("_first"))
     if min_count > 1:
         counted = counted.where(F.col("count") >= min_count)
     return dense_index(counted, "_first", "index").select("word", "index", "count")
@@ -49,17 +47,14 @@ def encode(df: DataFrame, tokens, vocab: DataFrame, order: str = "pos",
     """Integer codes of every record's tokens, in token order: (order, codes) (V2).
 
     Records are hash-partitioned on their key once; tokens are exploded in the
-    outer form (a record without tokens keeps one row), looked up (broadcast
-    when the vocabulary's checked size allows) and re-assembled per record
-    inside the same partitions, so the re-grouping needs no further exchange.
-    A record's codes are bounded by its own size.
+    outer form (a record without tokens keeps one row), looked up and re-assembled
+    per record. Spark broadcasts the vocabulary if its measured size allows, and
+    the re-grouping then needs no further exchange; otherwise it splits the
+    partitions of very frequent words. A record's codes are bounded by its own size.
     """
     recs = df.select(F.col(order).alias("pos"), as_col(tokens).alias("_t")).repartition("pos")
     toks = recs.select("pos", F.posexplode_outer("_t").alias("i", "word"))
-    v = vocab.select("word", "index")
-    if vocab.count() <= BROADCAST_VOCAB_ROWS:
-        v = F.broadcast(v)
-    coded = (toks.join(v, "word", "left")
+    coded = (toks.join(vocab.select("word", "index"), "word", "left")
              .groupBy("pos")
              .agg(F.sort_array(F.collect_list(
                  F.when(F.col("i").isNotNull(), F.struct("i", "index")))).alias("_c")))
@@ -68,11 +63,12 @@ def encode(df: DataFrame, tokens, vocab: DataFrame, order: str = "pos",
 
 
 def vocab_ordered(vocab: DataFrame, by: str | None = None, reverse: bool = False) -> DataFrame:
-    """Listing order (V3): by count, index or word; no choice means by word.
-    Ties stay in index order, also when reversed (a stable sort)."""
+    """The listing (V3) by count, index or word (no choice means by word), sorted,
+    with each line's place in ``rank``. Ties stay in index order, also when
+    reversed (a stable sort)."""
     key = {"count": "count", "index": "index"}.get(by or "word", "word")
     primary = F.col(key).desc() if reverse else F.col(key).asc()
-    return vocab.orderBy(primary, F.col("index").asc())
+    return dense_index(vocab, [primary, F.col("index").asc()], "rank").orderBy("rank")
 
 
 def vocab_brief(vocab: DataFrame) -> DataFrame:

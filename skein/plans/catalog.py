@@ -172,8 +172,7 @@ def q_text_length(spark, d):
 
 @query("clean_labelled")
 def q_clean_labelled(spark, d):
-    s = tables.labelled_sentences(spark, d)
-    return s.select("index", "Class", T.clean_labelled("Sentence").alias("Sentence"))
+    return tables.sentences(spark, d).select("index", T.clean_labelled("Sentence").alias("Sentence"))
 
 
 # ---------------------------------------------------------------- rows (B) and predicates (P)
@@ -236,9 +235,24 @@ def q_keep_fields(spark, d):
 
 @query("peek_observe")
 def q_peek_observe(spark, d):
-    e = _events(spark, d).select("event_id", "event_type")
-    tapped, _obs = rows.peek(e, rows=F.count(F.lit(1)), max_id=F.max("event_id"))
-    return tapped
+    """The tap's own metrics, taken while the rows pass to a sink."""
+    e = _events(spark, d).select("event_id", "user_id", "event_type")
+    tapped, seen = rows.peek(e, n=F.count(F.lit(1)), max_id=F.max("event_id"), users=F.sum("user_id"))
+    tapped.write.format("noop").mode("overwrite").save()
+    got = seen.get
+    return spark.createDataFrame([(got["n"], got["max_id"], got["users"])], "n long, max_id long, users long")
+
+
+@query("foreach_rows")
+def q_foreach_rows(spark, d):
+    n, total = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def consume(row):
+        n.add(1)
+        total.add(row.event_id)
+
+    rows.foreach_partition(_events(spark, d).select("event_id"), consume)
+    return spark.createDataFrame([(n.value, total.value)], "n long, total long")
 
 
 @query("keep_groups")
@@ -251,6 +265,16 @@ def q_strip_groups(spark, d):
     return P.strip_groups(_comments(spark, d), ["s1", "s3"]).select("pos", "id", "subreddit")
 
 
+@query("strip_groups_null")
+def q_strip_groups_null(spark, d):
+    return P.strip_groups(_comments(spark, d), ["s1", None, "s3"]).select("pos", "id", "subreddit")
+
+
+@query("keep_groups_null")
+def q_keep_groups_null(spark, d):
+    return P.keep_groups(_comments(spark, d), [None, "s1"]).select("pos", "id", "subreddit")
+
+
 @query("not_deleted")
 def q_not_deleted(spark, d):
     return _comments(spark, d).where(P.not_deleted("body")).select("pos", "id")
@@ -283,6 +307,14 @@ def q_drop_n(spark, d):
     return O.drop(_events(spark, d).select("pos", "event_id"), 1000)
 
 
+@query("drop_ties")
+def q_drop_ties(spark, d):
+    """A position that many rows share, or that is null: rows left by position."""
+    user = F.when(F.col("user_id") % 5 != 0, F.col("user_id"))
+    e = _events(spark, d).select(user.alias("pos"), "event_id")
+    return O.drop(e, 777).groupBy("pos").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("take_while")
 def q_take_while(spark, d):
     return O.take_while(_events(spark, d).select("pos", "value"), F.col("value") < 300)
@@ -307,7 +339,8 @@ def q_process_max(spark, d):
 @query("concat_streams")
 def q_concat_streams(spark, d):
     e = _events(spark, d).select("pos", "event_id", "event_type")
-    return O.concat(e.where(F.col("event_type") == "click"), e.where(F.col("event_type") == "view"))
+    click = F.col("event_type").eqNullSafe(F.lit("click"))
+    return O.concat(e.where(click), e.where(~click))
 
 
 @query("distinct_first")
@@ -349,14 +382,27 @@ def q_to_set(spark, d):
 
 @query("to_list")
 def q_to_list(spark, d):
-    e = _events(spark, d).where(F.col("event_type") == "purchase")
-    return O.to_list(e, "event_id")
+    return O.to_list(_events(spark, d), "event_id")
 
 
 @query("to_string")
 def q_to_string(spark, d):
-    e = _events(spark, d).where(F.col("event_type") == "purchase")
-    return O.to_string(e, "user_id", sep=":")
+    return O.to_string(_events(spark, d), "user_id", sep=":")
+
+
+@query("reduce_concat")
+def q_reduce_concat(spark, d):
+    """An ordered fold that does not commute, per key."""
+    from skein.functions.udfs import ordered_reduce
+    e = _events(spark, d).select("event_type", "event_id", (F.col("event_id") % 10).cast("string").alias("digit"))
+    return ordered_reduce(e, "digit", lambda a, b: a + b, "event_id", "string", keys=["event_type"])
+
+
+@query("reduce_concat_all")
+def q_reduce_concat_all(spark, d):
+    from skein.functions.udfs import ordered_reduce
+    e = _events(spark, d).select("event_id", (F.col("user_id") % 10).cast("string").alias("digit"))
+    return ordered_reduce(e, "digit", lambda a, b: a + b, "event_id", "string")
 
 
 # ---------------------------------------------------------------- statistics
@@ -426,17 +472,20 @@ def q_encode(spark, d):
 
 
 def _listing(by, reverse):
-    def q(spark, d):
-        from skein.operators.indexing import dense_index
-        v = _vocab(spark, d)
-        key = {"count": "count", "index": "index"}.get(by or "word", "word")
-        primary = F.col(key).desc() if reverse else F.col(key).asc()
-        return dense_index(v, [primary, F.col("index").asc()], "rank")
-    return q
+    return lambda spark, d: vocab.vocab_ordered(_vocab(spark, d), by, reverse)
 
 
 QUERIES["vocab_by_count"] = _listing("count", True)
 QUERIES["vocab_by_word"] = _listing(None, False)
+QUERIES["vocab_by_index"] = _listing("index", False)
+QUERIES["vocab_by_word_reversed"] = _listing("word", True)
+
+
+@query("vocab_lookup_index")
+def q_vocab_lookup_index(spark, d):
+    """index -> word, count, for the numbers that the documents' lengths are."""
+    keys = _docs(spark, d).select(F.col("n_chars").alias("index")).distinct()
+    return vocab.lookup(_vocab(spark, d), keys, "index")
 
 
 @query("vocab_brief")
@@ -479,22 +528,20 @@ def _threads(spark, d):
 
 @query("threads")
 def q_threads(spark, d):
-    from skein.operators.threads import path_key
-    return _threads(spark, d).select("root_id", "id", "pos", "level", path_key("path").alias("path"))
+    return _threads(spark, d).select("root_id", "root_pos", "id", "pos", "level", "rank")
 
 
 @query("threads_limited")
 def q_threads_limited(spark, d):
-    from skein.operators.threads import limit_conversations, path_key
+    from skein.operators.threads import limit_conversations
     t = limit_conversations(_threads(spark, d), 20)
-    return t.select("root_id", "id", "pos", "level", path_key("path").alias("path"))
+    return t.select("root_id", "root_pos", "id", "pos", "level", "rank")
 
 
 @query("thread_transcript")
 def q_thread_transcript(spark, d):
-    from skein.operators.threads import path_key, transcript
-    t = transcript(_threads(spark, d), show_header=True, clean=True)
-    return t.select("root_id", path_key("path").alias("path"), "line")
+    from skein.operators.threads import transcript
+    return transcript(_threads(spark, d), show_header=True, clean=True)
 
 
 @query("group_by_parent")
@@ -505,6 +552,13 @@ def q_group_by_parent(spark, d):
 
 # ---------------------------------------------------------------- featurizer (F)
 
+def _all_cleaned(spark, d):
+    """Every document, labelled or not: these steps use no label."""
+    from skein.operators.features import remove_stopwords
+    s = tables.sentences(spark, d)
+    return s.select("index", remove_stopwords(T.clean_labelled("Sentence")).alias("Sentence"))
+
+
 def _featurizer_input(spark, d):
     from skein.operators.features import remove_stopwords
     s = tables.labelled_sentences(spark, d)
@@ -513,7 +567,7 @@ def _featurizer_input(spark, d):
 
 @query("stopwords")
 def q_stopwords(spark, d):
-    return _featurizer_input(spark, d)
+    return _all_cleaned(spark, d)
 
 
 @query("train_val_split")
@@ -525,7 +579,7 @@ def q_train_val_split(spark, d):
 @query("ngrams")
 def q_ngrams(spark, d):
     from skein.operators.features import term_counts
-    return term_counts(_featurizer_input(spark, d), "Sentence", "index")
+    return term_counts(_all_cleaned(spark, d), "Sentence", "index")
 
 
 @query("tfidf_vocab")
@@ -583,12 +637,14 @@ def q_udtf_flat_map(spark, d):
 @query("udaf_reduce")
 def q_udaf_reduce(spark, d):
     from skein.functions.udfs import grouped_reduce
-    return grouped_reduce(_events(spark, d), ["event_type"], "user_id",
-                          lambda s: int(s.sum()), "bigint", salt_buckets=16)
+    return grouped_reduce(_events(spark, d), ["event_type"], "user_id", lambda a, b: a + b, "bigint")
 
 
 # ---------------------------------------------------------------- streaming (R)
 
+HORIZON = "1 hour"      # staged event times are a millisecond per position
+
+
 def _comment_stream(spark, d, name):
     from skein.streaming import streams as S
     staged = S.with_event_time(_comments(spark, d))
@@ -601,16 +657,33 @@ def q_stream_clean(spark, d):
     return S.run(S.clean_stream(_comment_stream(spark, d, "clean")), "clean")
 
 
+def _stream_pairs(spark, d, name):
+    from skein.streaming import streams as S
+    found = S.pair_stream(_comment_stream(spark, d, name), HORIZON, "0 seconds")
+    return S.run(found, name, keys=S.PAIR_KEYS, latest_by="parent_pos")
+
+
 @query("stream_pairs")
 def q_stream_pairs(spark, d):
-    from skein.streaming import streams as S
-    return S.run(S.pair_stream(_comment_stream(spark, d, "pairs")), "pairs")
+    return _stream_pairs(spark, d, "pairs").select("pos", "id", "parent_id")
+
+
+@query("stream_pairs_versions")
+def q_stream_pairs_versions(spark, d):
+    return _stream_pairs(spark, d, "versions")
 
 
 @query("stream_pair_lines")
 def q_stream_pair_lines(spark, d):
     from skein.streaming import streams as S
-    return S.run(S.pair_stream(_comment_stream(spark, d, "pair-lines"), payload=True), "pair-lines")
+    lines = S.pair_line_stream(_comment_stream(spark, d, "pair-lines"), HORIZON, "0 seconds")
+    return S.run(lines, "pair-lines", keys=["pos"], latest_by="parent_pos", text="line")
+
+
+@query("stream_summary")
+def q_stream_summary(spark, d):
+    from skein.streaming import streams as S
+    return S.run(S.running_totals(_comment_stream(spark, d, "summary")), "summary", keys=["all"]).drop("all")
 
 
 @query("stream_group_counts")
@@ -630,16 +703,16 @@ def q_stream_word_counts(spark, d):
 @query("stream_distinct")
 def q_stream_distinct(spark, d):
     from skein.streaming import streams as S
-    ev = _events(spark, d).select("pos", "user_id", "event_type")
+    ev = S.with_event_time(_events(spark, d).select("pos", "user_id", "event_type"))
     src = S.source(spark, S.stage_json(ev, "distinct"), ev.schema)
-    return S.run(S.distinct_stream(src, ["user_id"]), "distinct")
+    return S.run(S.distinct_stream(src, ["user_id"], "ts", "30 days"), "distinct")
 
 
 @query("stream_field_counts")
 def q_stream_field_counts(spark, d):
     from skein.streaming import streams as S
     path = S.stage_json(_comments(spark, d), "fields")
-    lines = spark.readStream.option("maxFilesPerTrigger", 2).text(path)
+    lines = spark.readStream.text(path)
     return S.run(S.running_field_counts(lines, "value"), "fields", keys=["field"])
 
 
@@ -661,3 +734,91 @@ def q_stream_vocab(spark, d):
     from skein.streaming import streams as S
     src = _comment_stream(spark, d, "vocab").select("pos", T.tokenize("body").alias("tokens"))
     return S.run_vocab(src, "tokens", "vocab")
+
+
+# ---------------------------------------------------------------- files, written and read back
+
+def _scratch(spark, name):
+    from skein.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("read_bz2")
+def q_read_bz2(spark, d):
+    """Comments with a body as a bzip2 JSON dump, read back in order."""
+    from skein.sources.files import read_comments
+    path = _scratch(spark, "dump")
+    _comments(spark, d).where("body IS NOT NULL").orderBy("pos").drop("pos").write.option(
+        "compression", "bzip2").json(path)
+    return read_comments(spark, path, dense_pos=True).select("pos", "id", "parent_id", "body")
+
+
+@query("read_many")
+def q_read_many(spark, d):
+    """Folders by event type, listed in order, and the first one again."""
+    from skein.sources.files import read_lines
+    path = _scratch(spark, "lines")
+    e = _events(spark, d).select("event_type", "event_id")
+    kinds = [r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()]
+    for i, kind in enumerate(kinds):
+        e.where(F.col("event_type") == kind).orderBy("event_id").select(F.col("event_id").cast("string")) \
+            .write.text(f"{path}/type {i}")
+    folders = [f"{path}/type {i}" for i in range(len(kinds))]
+    return read_lines(spark, *folders, folders[0], dense_pos=True).select("pos", "value")
+
+
+@query("read_labelled")
+def q_read_labelled(spark, d):
+    """Documents and their labels as tab-separated text, read back by row number."""
+    from skein.sources.files import read_labelled
+    path = _scratch(spark, "labelled")
+    docs = _docs(spark, d).join(table(spark, d, "labels"), "doc_id", "left")
+    text = F.translate("text", "\t\n\r", "   ")
+    docs.orderBy("doc_id").select(text, F.col("quality").cast("int")).write.option("sep", "\t").option(
+        "quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option(
+        "ignoreTrailingWhiteSpace", "false").csv(path)
+    return read_labelled(spark, path)
+
+
+@query("write_pairs")
+def q_write_pairs(spark, d):
+    """The pair dump end to end: a bzip2 dump in, TSV lines out, in stream order."""
+    from skein.plans.programs import dump_pairs
+    from skein.sources.files import read_lines
+    dump, out = _scratch(spark, "dump"), _scratch(spark, "pairs")
+    _comments(spark, d).orderBy("pos").drop("pos").write.option("compression", "bzip2").json(dump)
+    dump_pairs(spark, out, dump)
+    return read_lines(spark, out, dense_pos=True).select(F.col("pos").alias("n"), F.col("value").alias("line"))
+
+
+def _mixed_records(spark, d):
+    """Records with missing, null, nested and mixed-type fields, as a JSON dump."""
+    from skein.sources.files import read_records
+    path = _scratch(spark, "records")
+    third = F.col("event_id") % 3
+    user = F.col("user_id")
+    mixed = F.when(third == 0, F.concat(F.lit(', "mixed": "'), "event_type", F.lit('"'))).when(
+        third == 1, F.concat(F.lit(', "mixed": '), F.when(user % 2 == 0, "true").otherwise("false"))).otherwise("")
+    line = F.concat(F.lit('{"pos": '), "event_id", F.lit(', "user_id": '), user, mixed,
+                    F.lit(', "gone": null, "nested": {"k": '), user % 4, F.lit("}}"))
+    _events(spark, d).orderBy("event_id").select(line).write.option("compression", "bzip2").text(path)
+    return read_records(spark, path, dense_pos=True)
+
+
+@query("explore_fields")
+def q_explore_fields(spark, d):
+    """Explorer run on a dump: --strip-fields nested --count-fields. (Positions
+    are row numbers; event ids start at 0 or 1.)"""
+    from skein.plans.explore import ExploreOptions, explore
+    records = _mixed_records(spark, d)
+    start = _events(spark, d).agg(F.min("event_id")).first()[0]
+    found = explore(records, ExploreOptions(strip_fields=["nested"], count_fields=True))["fields"]
+    return found.withColumn("first_pos", F.col("first_pos") + start)
+
+
+@query("explore_field_values")
+def q_explore_field_values(spark, d):
+    """Explorer run on a dump: --keep-fields mixed gone nested --count-field-values."""
+    from skein.plans.explore import ExploreOptions, explore
+    o = ExploreOptions(keep_fields=["mixed", "gone", "nested"], count_field_values=True)
+    return explore(_mixed_records(spark, d), o)["field_values"]

@@ -1,4 +1,4 @@
-"""The corpus explorer as one lazy plan.
+"""The corpus explorer.
 
 The command line of the original becomes ``ExploreOptions``; its printed reports
 become DataFrames. The stage order is kept exactly, because both caps depend on
@@ -7,19 +7,28 @@ position and never commute with filters:
     read -> read_max -> drop deleted -> process_max -> subreddit filter ->
     field filter -> [summary, field statistics] -> text pipeline ->
     max length -> min length -> [vocabulary, records, pairs, threads]
+
+Input is either typed rows (``pos`` and the comment columns) or schema-less records
+(``pos``, ``value`` with the JSON text, as ``read_records`` gives them without a
+schema). Records keep every field they have, known or not, and nulls that are
+there; a field is only touched if an option asks for it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from skein.functions import predicates as P
 from skein.functions import text as T
-from skein.operators import ordered, pairs, rows, stats, threads, vocab
+from skein.operators import ordered, pairs, stats, threads, vocab
+from skein.operators.indexing import dense_index
+from skein.session import staged
 
 
 @dataclass
@@ -55,17 +64,59 @@ class ExploreOptions:
     extra: dict = field(default_factory=dict)
 
 
-def explore(comments: DataFrame, o: ExploreOptions) -> dict[str, DataFrame]:
-    """Build every requested report over ``comments`` (columns incl. ``pos``).
+USED = ("id", "parent_id", "subreddit", "subreddit_id", "author")
+TEXT_OPTIONS = ("strip_specials", "strip_digits", "trim_whitespace", "to_lower", "tokenize")
+
+
+def _typed(records: DataFrame, o: ExploreOptions) -> DataFrame:
+    """Schema-less records with the fields that options use as string columns."""
+    wanted = dict.fromkeys([*USED, "body", o.text_field])
+    parsed = records.select("pos", "value", F.parse_json("value").alias("_r"))
+    return parsed.select("pos", "value", *[F.try_variant_get("_r", f"$.{f}", "string").alias(f) for f in wanted])
+
+
+def _field_filter(df: DataFrame, o: ExploreOptions, raw: bool) -> DataFrame:
+    """Keep or strip fields; a record that has none left goes."""
+    keys = F.json_object_keys("value")
+    if o.keep_fields is not None:
+        wanted = list(o.keep_fields)
+        columns = [c for c in df.columns if c in wanted]
+        left = F.arrays_overlap(keys, F.array(*map(F.lit, wanted)).cast("array<string>"))
+    elif o.strip_fields is not None:
+        gone = list(o.strip_fields)
+        columns = [c for c in df.columns if c not in gone]
+        left = F.size(F.array_except(keys, F.array(*map(F.lit, gone)).cast("array<string>"))) > 0
+    else:
+        return df
+    always = ["pos", "value"] if raw else ["pos"]
+    if raw:
+        df = df.where(left)
+    out = df.select(*always, *[c for c in columns if c not in always])
+    if not raw:     # a null column of a typed row is an absent field
+        there = [F.col(c).isNotNull() for c in out.columns if c != "pos"]
+        out = out.where(reduce(lambda a, b: a | b, there, F.lit(False)))
+    return out
+
+
+def _need(df: DataFrame, fields: Sequence[str], what: str) -> None:
+    missing = [f for f in fields if f not in df.columns]
+    if missing:
+        raise ValueError(f"{what} needs the fields {missing}, which the field filter removed")
+
 
-    Returns lazily evaluated DataFrames keyed by report name; nothing runs
-    until the caller acts on one. Reports that share a prefix of the plan can
-    be computed together after ``persist`` on ``out['records']`` if wanted.
+def explore(records: DataFrame, o: ExploreOptions) -> dict[str, DataFrame]:
+    """Build every requested report; a dict of DataFrames by report name.
+
+    With more than one report, what they share (all up to the field filter) is
+    written once to the shared folder and every report reads that, so the source
+    is read once; this, the caps, vocabularies and conversations run jobs here.
+    Otherwise nothing runs until the caller acts on a report.
     """
     out: dict[str, DataFrame] = {}
-    df = comments
-    if o.read_max is not None:
-        df = ordered.take(df, o.read_max)
+    raw = "value" in records.columns
+    df = ordered.take(records, o.read_max) if o.read_max is not None else records
+    if raw:
+        df = _typed(df, o)
     if o.ignore_deleted:
         df = df.where(P.not_deleted("body"))
     if o.process_max is not None:
@@ -74,24 +125,34 @@ def explore(comments: DataFrame, o: ExploreOptions) -> dict[str, DataFrame]:
         df = P.keep_groups(df, o.keep_subreddits)
     elif o.strip_subreddits is not None:
         df = P.strip_groups(df, o.strip_subreddits)
-    if o.keep_fields is not None:
-        df = rows.keep_fields(df, list(o.keep_fields) + ["pos"])
-    elif o.strip_fields is not None:
-        df = rows.strip_fields(df, [f for f in o.strip_fields if f != "pos"])
+    df = _field_filter(df, o, raw)
+    taps = [o.summary, o.list_fields or o.count_fields, o.count_field_values, o.vocab, o.show_records, o.pairs,
+            o.conversations]
+    if sum(taps) > 1 or o.summary:
+        df = staged(df, "explored")
 
     # taps that see rows before cleaning and length filters
     if o.summary:
+        _need(df, ["body", "parent_id", "subreddit", "subreddit_id"], "the summary")
         out["summary"] = stats.summary_totals(df)
         out["summary_groups"] = stats.summary_groups(df)
     if o.list_fields or o.count_fields or o.count_field_values:
-        recs = stats.records_as_json(df)
-        out["fields"] = stats.count_fields(recs) if o.count_fields else stats.list_fields(recs)
+        texts = df.select("pos", "value") if raw else stats.records_as_json(df)
+        recs = stats.record_fields(texts)
+        if raw and (o.keep_fields is not None or o.strip_fields is not None):
+            recs = recs.where(F.col("field").isin(list(o.keep_fields)) if o.keep_fields is not None
+                              else ~F.col("field").isin(list(o.strip_fields)))
+        if o.list_fields or o.count_fields:
+            out["fields"] = stats.field_counts(recs) if o.count_fields else recs.select("field").distinct()
         if o.count_field_values:
-            out["field_values"] = stats.count_field_values(recs)
+            out["field_values"] = stats.field_value_counts(recs)
 
     key = o.text_field
-    df = df.withColumn(key, T.preprocess_text(key, o.strip_specials, o.strip_digits,
-                                              o.trim_whitespace, o.to_lower, o.tokenize))
+    text_used = any(getattr(o, x) for x in TEXT_OPTIONS) or o.max_length or o.min_length or o.vocab
+    if text_used:
+        _need(df, [key], "the text options")
+        df = df.withColumn(key, T.preprocess_text(key, o.strip_specials, o.strip_digits,
+                                                  o.trim_whitespace, o.to_lower, o.tokenize))
     if o.max_length:
         df = df.where(P.max_text_length(o.max_length, key, tokens=o.tokenize))
     if o.min_length:
@@ -105,10 +166,15 @@ def explore(comments: DataFrame, o: ExploreOptions) -> dict[str, DataFrame]:
     if o.show_records:
         out["records"] = df
     if o.pairs:
+        _need(df, ["id", "parent_id"], "the pair listing")
         out["pairs"] = pairs.list_pairs(df, keep_parent=o.keep_parent)
     if o.conversations:
-        thr = threads.threads(df)
+        _need(df, ["id", "parent_id", "author", "body"], "the conversation display")
+        placed = df
+        if not isinstance(df.schema["pos"].dataType, IntegralType):
+            placed = dense_index(df, "pos", "_n").drop("pos").withColumnRenamed("_n", "pos")
+        thr = threads.threads(placed)
         out["conversations"] = threads.transcript(thr, show_header=o.show_header, clean=False) \
-            .orderBy("path")
+            .orderBy("root_pos", "rank")
     out["count"] = df.agg(F.count(F.lit(1)).alias("n"))
     return out

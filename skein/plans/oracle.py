@@ -16,14 +16,19 @@ EMAIL = r"[a-zA-Z0-9_.\-]+@[a-zA-Z0-9_.\-]+"
 IPV4 = r"((25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)(\.|$)){4}"
 # ---------------------------------------------------------------------
 
-COMMENTS = f"""comments AS (
+COMMENTS = """comments AS (
   SELECT conv_id*100+turn AS pos,
-    'c'||lpad(CAST(conv_id*100+turn AS VARCHAR), 12, '0') AS id,
-    CASE WHEN turn = 0 THEN 't3_p'||CAST(conv_id AS VARCHAR)
+    CASE WHEN (conv_id*5+turn) % 97 = 3 THEN NULL
+         WHEN turn > 0 AND (conv_id*13+turn) % 29 = 0 THEN 'c'||lpad(CAST(conv_id*100+turn-1 AS VARCHAR), 12, '0')
+         ELSE 'c'||lpad(CAST(conv_id*100+turn AS VARCHAR), 12, '0') END AS id,
+    CASE WHEN (conv_id*11+turn) % 89 = 4 THEN NULL
+         WHEN (conv_id*3+turn) % 31 = 7 THEN 't1_c'||lpad(CAST(conv_id*100+turn+1 AS VARCHAR), 12, '0')
+         WHEN turn = 0 THEN 't3_p'||CAST(conv_id AS VARCHAR)
          ELSE 't1_c'||lpad(CAST(conv_id*100+CAST(floor((turn-1)/2.0) AS BIGINT) AS VARCHAR), 12, '0')
     END AS parent_id,
-    's'||CAST(conv_id % 7 AS VARCHAR) AS subreddit,
-    't5_'||CAST(conv_id % 7 AS VARCHAR) AS subreddit_id,
+    CASE WHEN conv_id % 37 = 11 THEN NULL WHEN conv_id % 10 = 9 THEN 'n'||CAST(conv_id % 7 AS VARCHAR)
+         ELSE 's'||CAST(conv_id % 7 AS VARCHAR) END AS subreddit,
+    CASE WHEN conv_id % 41 = 5 THEN NULL ELSE 't5_'||CAST(conv_id % 7 AS VARCHAR) END AS subreddit_id,
     role AS author,
     CASE WHEN (conv_id*7+turn) % 11 = 0 THEN '[deleted]' ELSE text END AS body
   FROM conversations)"""
@@ -45,12 +50,12 @@ PREP = f"""prep AS (
   SELECT pos, id, {pkey()} AS parent_id, author, subreddit, subreddit_id, {trim_ws('body')} AS body
   FROM comments WHERE body IS DISTINCT FROM '[deleted]')"""
 
-VERIFIED = """firstpos AS (SELECT id, min(pos) AS fpos FROM prep GROUP BY id),
+VERIFIED = """firstpos AS (SELECT id, min(pos) AS fpos FROM prep WHERE id IS NOT NULL GROUP BY id),
 vp AS (SELECT c.pos, c.id, c.parent_id FROM prep c JOIN firstpos f ON f.id = c.parent_id AND f.fpos < c.pos)"""
 
 TRAINING_PAIRS = f"""WITH {COMMENTS}, {PREP}, {VERIFIED},
 ids AS (SELECT id FROM vp UNION SELECT parent_id FROM vp),
-p2 AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ids))
+p2 AS (SELECT * FROM prep SEMI JOIN ids ON prep.id IS NOT DISTINCT FROM ids.id)
 SELECT c.pos, c.id, c.parent_id, p.pos AS parent_pos, p.body AS parent_body, c.body AS reply_body
 FROM p2 c ASOF JOIN p2 p ON p.id = c.parent_id AND c.pos >= p.pos"""
 
@@ -114,7 +119,7 @@ ORACLE.update({
     # ---- pairs
     "pairs_tsv": f"""WITH {COMMENTS}, {PREP}, {VERIFIED},
 ids AS (SELECT id FROM vp UNION SELECT parent_id FROM vp),
-p2 AS (SELECT * FROM prep WHERE id IN (SELECT id FROM ids))
+p2 AS (SELECT * FROM prep SEMI JOIN ids ON prep.id IS NOT DISTINCT FROM ids.id)
 SELECT c.pos, p.body || chr(9) || c.body AS line
 FROM p2 c ASOF JOIN p2 p ON p.id = c.parent_id AND c.pos >= p.pos""",
     "parent_key": f"WITH {COMMENTS} SELECT id, {pkey()} AS parent_key FROM comments",
@@ -147,8 +152,7 @@ FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""",
 SELECT pos AS doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens FROM src""",
     "text_length": f"""SELECT doc_id, CAST(length(text) AS BIGINT) AS length,
 CAST(len({tokens('text')}) AS BIGINT) AS n_words FROM documents""",
-    "clean_labelled": f"""SELECT d.doc_id AS "index", CAST(l.quality AS INTEGER) AS "Class",
-{clean_labelled('d.text')} AS "Sentence" FROM documents d JOIN labels l ON l.doc_id = d.doc_id""",
+    "clean_labelled": f"""SELECT doc_id AS "index", {clean_labelled('text')} AS "Sentence" FROM documents""",
     # ---- rows and predicates
     "map_project": "SELECT event_id, round((value + 2) * 3, 6) AS value, upper(event_type) AS event_type FROM events",
     "flat_map_range": """SELECT event_id, CAST(unnest(range(event_id % 4)) AS INTEGER) AS elem,
@@ -161,10 +165,15 @@ FROM (SELECT doc_id, {tokens('text')} AS t FROM documents)""",
     "with_computed": "SELECT event_id, user_id, user_id * 2 + 1 AS computed FROM events",
     "strip_fields": f"WITH {COMMENTS} SELECT pos, id, parent_id, subreddit_id, body FROM comments",
     "keep_fields": f"WITH {COMMENTS} SELECT id, body FROM comments",
-    "peek_observe": "SELECT event_id, event_type FROM events",
+    "peek_observe": "SELECT count(*) AS n, max(event_id) AS max_id, CAST(sum(user_id) AS BIGINT) AS users FROM events",
+    "foreach_rows": "SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM events",
     "keep_groups": f"WITH {COMMENTS} SELECT pos, id, subreddit FROM comments WHERE subreddit IN ('s1', 's3')",
     "strip_groups": f"""WITH {COMMENTS} SELECT pos, id, subreddit FROM comments
 WHERE NOT coalesce(subreddit IN ('s1', 's3'), false)""",
+    "strip_groups_null": f"""WITH {COMMENTS} SELECT pos, id, subreddit FROM comments
+WHERE subreddit IS NOT NULL AND subreddit NOT IN ('s1', 's3')""",
+    "keep_groups_null": f"""WITH {COMMENTS} SELECT pos, id, subreddit FROM comments
+WHERE subreddit IS NULL OR subreddit = 's1'""",
     "not_deleted": f"WITH {COMMENTS} SELECT pos, id FROM comments WHERE body IS DISTINCT FROM '[deleted]'",
     "on_comment": f"WITH {COMMENTS} SELECT pos, id FROM comments WHERE instr(parent_id, '_c') > 0",
     "min_length": "SELECT doc_id FROM documents WHERE length(text) >= 1000",
@@ -172,13 +181,16 @@ WHERE NOT coalesce(subreddit IN ('s1', 's3'), false)""",
     # ---- ordered
     "take_n": "SELECT event_id AS pos, event_id, event_type FROM events ORDER BY event_id LIMIT 100",
     "drop_n": "SELECT event_id AS pos, event_id FROM events ORDER BY event_id OFFSET 1000",
+    "drop_ties": """SELECT user_id AS pos, count(*) AS n FROM (SELECT CASE WHEN user_id % 5 = 0 THEN NULL ELSE user_id END
+AS user_id FROM events ORDER BY user_id NULLS FIRST OFFSET 777) GROUP BY user_id""",
     "take_while": f"SELECT event_id AS pos, value FROM events WHERE {STOP} IS NULL OR event_id < {STOP}",
     "drop_while": f"SELECT event_id AS pos, value FROM events WHERE event_id >= {STOP}",
     "read_max": f"WITH {COMMENTS} SELECT pos, id FROM comments ORDER BY pos LIMIT 100",
     "process_max": f"""WITH {COMMENTS}, t AS (SELECT * FROM comments WHERE body IS DISTINCT FROM '[deleted]'
 ORDER BY pos LIMIT 100) SELECT pos, id, subreddit FROM t WHERE NOT coalesce(subreddit IN ('s1'), false)""",
     "concat_streams": """SELECT event_id AS pos, event_id, event_type, 0 AS src FROM events WHERE event_type = 'click'
-UNION ALL SELECT event_id AS pos, event_id, event_type, 1 AS src FROM events WHERE event_type = 'view'""",
+UNION ALL SELECT event_id AS pos, event_id, event_type, 1 AS src FROM events
+WHERE event_type IS DISTINCT FROM 'click'""",
     "distinct_first": "SELECT user_id, min(event_id) AS first_pos FROM events GROUP BY user_id",
     "count_rows": "SELECT count(*) AS n FROM events",
     "reduce_sum": "SELECT CAST(4 + sum(user_id) AS BIGINT) AS result FROM events",
@@ -187,21 +199,24 @@ UNION ALL SELECT event_id AS pos, event_id, event_type, 1 AS src FROM events WHE
     "to_dict_merge": """SELECT event_type AS key, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS value
 FROM events GROUP BY event_type""",
     "to_set": "SELECT DISTINCT event_type FROM events",
-    "to_list": """SELECT row_number() OVER (ORDER BY event_id) - 1 AS index, event_id AS value
-FROM events WHERE event_type = 'purchase'""",
+    "to_list": "SELECT row_number() OVER (ORDER BY event_id) - 1 AS index, event_id AS value FROM events",
     "to_string": """WITH l AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS index, CAST(user_id AS VARCHAR) AS value
-FROM events WHERE event_type = 'purchase'), m AS (SELECT max(index) AS mx FROM l)
+FROM events), m AS (SELECT max(index) AS mx FROM l)
 SELECT index, CASE WHEN index < mx THEN value || ':' ELSE value END AS piece FROM l, m""",
+    "reduce_concat": """SELECT event_type, string_agg(CAST(event_id % 10 AS VARCHAR), '' ORDER BY event_id) AS result
+FROM events GROUP BY event_type""",
+    "reduce_concat_all": "SELECT string_agg(CAST(user_id % 10 AS VARCHAR), '' ORDER BY event_id) AS result FROM events",
     # ---- statistics
     "summary_totals": f"""WITH {COMMENTS}, c AS (SELECT *, coalesce(starts_with({pkey()}, 'c'), false) AS is_pair FROM comments)
 SELECT count(*) AS comments, count(*) FILTER (WHERE body = '[deleted]') AS deleted,
 count(*) FILTER (WHERE NOT is_pair) AS posts, count(*) FILTER (WHERE is_pair) AS pairs,
 count(DISTINCT subreddit_id) + max(CASE WHEN subreddit_id IS NULL THEN 1 ELSE 0 END) AS subreddits FROM c""",
-    "summary_groups": f"""WITH {COMMENTS} SELECT subreddit_id, count(*) AS n, arg_min(subreddit, pos) AS subreddit,
+    "summary_groups": f"""WITH {COMMENTS} SELECT subreddit_id, count(*) AS n, arg_min_null(subreddit, pos) AS subreddit,
 min(pos) AS first_pos FROM comments GROUP BY subreddit_id""",
-    "inconsistent_names": f"""WITH {COMMENTS}, f AS (SELECT subreddit_id, arg_min(subreddit, pos) AS first_name
+    "inconsistent_names": f"""WITH {COMMENTS}, f AS (SELECT subreddit_id, arg_min_null(subreddit, pos) AS first_name
 FROM comments GROUP BY subreddit_id)
-SELECT c.subreddit_id, c.pos, c.subreddit, f.first_name FROM comments c JOIN f ON f.subreddit_id = c.subreddit_id
+SELECT c.subreddit_id, c.pos, c.subreddit, f.first_name FROM comments c
+JOIN f ON f.subreddit_id IS NOT DISTINCT FROM c.subreddit_id
 WHERE c.subreddit IS DISTINCT FROM f.first_name""",
     "group_counts": f"WITH {COMMENTS} SELECT subreddit, count(*) AS n FROM comments GROUP BY subreddit",
     "list_fields": f"WITH {COMMENTS} SELECT DISTINCT field FROM {UNPIVOT}",
@@ -220,6 +235,12 @@ FROM src s LEFT JOIN enc ON enc.pos = s.pos""",
 SELECT word, index, count, row_number() OVER (ORDER BY count DESC, index) - 1 AS rank FROM voc""",
     "vocab_by_word": f"""WITH {DOC_TOKENS}, {vocab_sql('src')}
 SELECT word, index, count, row_number() OVER (ORDER BY word, index) - 1 AS rank FROM voc""",
+    "vocab_by_index": f"""WITH {DOC_TOKENS}, {vocab_sql('src')} SELECT word, index, count, index AS rank FROM voc""",
+    "vocab_by_word_reversed": f"""WITH {DOC_TOKENS}, {vocab_sql('src')}
+SELECT word, index, count, row_number() OVER (ORDER BY word DESC, index) - 1 AS rank FROM voc""",
+    "vocab_lookup_index": f"""WITH {DOC_TOKENS}, {vocab_sql('src')},
+k AS (SELECT DISTINCT n_chars AS index FROM documents)
+SELECT k.index, v.word, v.count FROM k LEFT JOIN voc v ON v.index = k.index""",
     "vocab_brief": f"""WITH {DOC_TOKENS}, {vocab_sql('src')}
 SELECT count(*) AS vocab_size, CAST(sum(count) AS BIGINT) AS total_words FROM voc""",
     "vocab_lookup": f"""WITH {DOC_TOKENS}, {vocab_sql('src')},
@@ -236,33 +257,32 @@ WHERE lang = 'de'), {vocab_sql('src')} SELECT word, index, count FROM voc""",
 # ---------------------------------------------------------------- threads
 
 THREAD_CTES = f"""WITH RECURSIVE {COMMENTS},
-nodes AS (SELECT c.pos, c.id, c.author, c.body, p.id AS parent
-          FROM comments c LEFT JOIN (SELECT DISTINCT id FROM comments) p ON p.id = {pkey('c.parent_id')}),
-anc(id, aid) AS (SELECT id, id FROM nodes
-                 UNION SELECT a.id, n.parent FROM anc a JOIN nodes n ON n.id = a.aid WHERE n.parent IS NOT NULL),
-roots AS (SELECT a.id, arg_min(a.aid, n.pos) AS root FROM anc a JOIN nodes n ON n.id = a.aid GROUP BY a.id),
+nodes AS (SELECT c.pos, c.id, c.author, c.body, p.pos AS parent
+          FROM comments c LEFT JOIN (SELECT id, min(pos) AS pos FROM comments GROUP BY id) p ON p.id = {pkey('c.parent_id')}),
+anc(pos, apos) AS (SELECT pos, pos FROM nodes
+                   UNION SELECT a.pos, n.parent FROM anc a JOIN nodes n ON n.pos = a.apos WHERE n.parent IS NOT NULL),
+roots AS (SELECT pos, min(apos) AS root FROM anc GROUP BY pos),
 tree AS (SELECT n.pos, n.id, n.author, n.body, r.root,
-                CASE WHEN r.root = n.id THEN NULL ELSE n.parent END AS up
-         FROM nodes n JOIN roots r ON r.id = n.id),
-walk(id, root, pos, level, path) AS (
-  SELECT id, root, pos, 0, [pos] FROM tree WHERE up IS NULL
-  UNION ALL SELECT t.id, w.root, t.pos, w.level + 1, list_append(w.path, t.pos)
-  FROM walk w JOIN tree t ON t.up = w.id)"""
-PATH_KEY = "array_to_string(list_transform(w.path, lambda p: lpad(CAST(p AS VARCHAR), 20, '0')), '/')"
+                CASE WHEN r.root = n.pos THEN NULL ELSE n.parent END AS up
+         FROM nodes n JOIN roots r ON r.pos = n.pos),
+walk(pos, root, level, path) AS (
+  SELECT pos, root, 0, [pos] FROM tree WHERE up IS NULL
+  UNION ALL SELECT t.pos, w.root, w.level + 1, list_append(w.path, t.pos)
+  FROM walk w JOIN tree t ON t.up = w.pos),
+placed AS (SELECT r.id AS root_id, w.root AS root_pos, t.id, w.pos, CAST(w.level AS BIGINT) AS level,
+                  row_number() OVER (PARTITION BY w.root ORDER BY w.path) - 1 AS rank, t.author, t.body
+           FROM walk w JOIN tree t ON t.pos = w.pos JOIN tree r ON r.pos = w.root)"""
 
 ORACLE.update({
-    "threads": f"""{THREAD_CTES}
-SELECT w.root AS root_id, w.id, w.pos, CAST(w.level AS BIGINT) AS level, {PATH_KEY} AS path FROM walk w""",
-    "threads_limited": f"""{THREAD_CTES}
-SELECT w.root AS root_id, w.id, w.pos, CAST(w.level AS BIGINT) AS level, {PATH_KEY} AS path FROM walk w
-WHERE w.root IN (SELECT id FROM tree WHERE up IS NULL ORDER BY pos LIMIT 20)""",
-    "thread_transcript": f"""{THREAD_CTES}
-SELECT w.root AS root_id, {PATH_KEY} AS path,
-  repeat('    ', w.level) || '- ' || w.id || ', ' || t.author || ':' || chr(10) || '  ' || repeat('    ', w.level)
-  || {trim_ws('t.body')} AS line
-FROM walk w JOIN tree t ON t.id = w.id""",
+    "threads": f"""{THREAD_CTES} SELECT root_id, root_pos, id, pos, level, rank FROM placed""",
+    "threads_limited": f"""{THREAD_CTES} SELECT root_id, root_pos, id, pos, level, rank FROM placed
+WHERE root_pos IN (SELECT pos FROM tree WHERE up IS NULL ORDER BY pos LIMIT 20)""",
+    "thread_transcript": f"""{THREAD_CTES} SELECT root_id, root_pos, rank,
+  repeat('    ', level) || '- ' || coalesce(id, 'None') || ', ' || coalesce(author, 'None') || ':' || chr(10)
+  || '  ' || repeat('    ', level) || coalesce({trim_ws('body')}, 'None') AS line FROM placed""",
     "group_by_parent": f"""WITH {COMMENTS}, g AS (SELECT parent_id, count(*) AS n, min(pos) AS first_pos FROM comments GROUP BY parent_id)
-SELECT c.parent_id, c.pos, c.id, g.n, g.first_pos FROM comments c JOIN g ON g.parent_id = c.parent_id""",
+SELECT c.parent_id, c.pos, c.id, g.n, g.first_pos FROM comments c
+JOIN g ON g.parent_id IS NOT DISTINCT FROM c.parent_id""",
 })
 
 
@@ -279,6 +299,9 @@ st AS (SELECT idx, cls, array_to_string(list_filter({tokens('s0')}, lambda w: NO
        FROM lab),
 sp AS (SELECT idx, cls, s, CASE WHEN row_number() OVER (ORDER BY md5('0:' || CAST(idx AS VARCHAR)), idx) - 1
                                      < ceil(0.1 * count(*) OVER ()) THEN 'validation' ELSE 'train' END AS split FROM st)"""
+ALL_CTES = f"""lab AS (SELECT doc_id AS idx, {clean_labelled('text')} AS s0 FROM documents),
+st AS (SELECT idx, array_to_string(list_filter({tokens('s0')}, lambda w: NOT list_contains({_stop_list()}, w)), ' ') AS s
+       FROM lab)"""
 GRAM_CTES = """tk AS (SELECT idx, regexp_extract_all(lower(s), '[\\p{L}\\p{N}_]{2,}') AS t FROM {src}),
 gr AS (SELECT idx, unnest(list_concat(t, list_transform(range(greatest(len(t) - 1, 0)),
                                                       lambda i: t[i + 1] || ' ' || t[i + 2]))) AS term FROM tk),
@@ -290,9 +313,9 @@ kept AS (SELECT st2.*, ntr.n FROM st2, ntr WHERE df <= 0.5 * n ORDER BY tf DESC,
 voc AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_index, df, tf, n FROM kept)"""
 
 ORACLE.update({
-    "stopwords": f"""WITH {FEAT_CTES} SELECT idx AS "index", cls AS "Class", s AS "Sentence" FROM st""",
+    "stopwords": f"""WITH {ALL_CTES} SELECT idx AS "index", s AS "Sentence" FROM st""",
     "train_val_split": f"""WITH {FEAT_CTES} SELECT idx AS "index", split FROM sp""",
-    "ngrams": f"""WITH {FEAT_CTES}, {GRAM_CTES.replace('{src}', 'st')} SELECT idx AS "index", term, tf FROM tc""",
+    "ngrams": f"""WITH {ALL_CTES}, {GRAM_CTES.replace('{src}', 'st')} SELECT idx AS "index", term, tf FROM tc""",
     "tfidf_vocab": f"""WITH {FEAT_CTES}, {GRAM_CTES.replace('{src}', 'sp')}, {VOCAB_CTES}
 SELECT term, term_index, df, tf FROM voc""",
     "tfidf": f"""WITH {FEAT_CTES}, {GRAM_CTES.replace('{src}', 'sp')}, {VOCAB_CTES},
@@ -318,8 +341,14 @@ ORACLE.update({
     "stream_clean": f"""WITH {COMMENTS} SELECT pos, id, {trim_ws('body')} AS body FROM comments
 WHERE body IS DISTINCT FROM '[deleted]'""",
     "stream_pairs": f"WITH {COMMENTS}, {PREP}, {VERIFIED} SELECT pos, id, parent_id FROM vp",
+    "stream_pairs_versions": f"""WITH {COMMENTS}, {PREP}
+SELECT c.pos, c.id, c.parent_id, p.pos AS parent_pos, p.body AS parent_body, c.body AS reply_body
+FROM prep c ASOF JOIN prep p ON p.id = c.parent_id AND c.pos > p.pos""",
     "stream_pair_lines": f"""WITH {COMMENTS}, {PREP}
-SELECT c.pos, p.body || chr(9) || c.body AS line FROM prep c JOIN prep p ON p.id = c.parent_id AND p.pos < c.pos""",
+SELECT p.body || chr(9) || c.body AS line FROM prep c ASOF JOIN prep p ON p.id = c.parent_id AND c.pos > p.pos""",
+    "stream_summary": f"""WITH {COMMENTS}, c AS (SELECT *, coalesce(starts_with({pkey()}, 'c'), false) AS is_pair FROM comments)
+SELECT count(*) AS comments, count(*) FILTER (WHERE body = '[deleted]') AS deleted,
+count(*) FILTER (WHERE NOT is_pair) AS posts, count(*) FILTER (WHERE is_pair) AS pairs FROM c""",
     "stream_group_counts": f"WITH {COMMENTS} SELECT subreddit_id, count(*) AS n FROM comments GROUP BY subreddit_id",
     "stream_word_counts": f"""WITH {COMMENTS} SELECT word, count(*) AS count
 FROM (SELECT unnest({tokens('body')}) AS word FROM comments) GROUP BY word""",
@@ -335,10 +364,42 @@ c AS (SELECT * FROM comments WHERE body IS DISTINCT FROM '[deleted]' ORDER BY po
 c2 AS (SELECT pos, {tokens(f"lower({trim_ws(keep_alnum('body'))})")} AS t FROM c
        WHERE NOT coalesce(subreddit IN ('s2'), false)),
 src AS (SELECT pos, t FROM c2 WHERE len(t) >= 3), {vocab_sql('src')}
-SELECT word, index, count FROM voc""",
+SELECT word, index, count, index AS rank FROM voc""",
 })
 
 ORACLE.update({
     "stream_vocab": f"""WITH {COMMENTS}, src AS (SELECT pos, {tokens('body')} AS t FROM comments),
 {vocab_sql('src')} SELECT word, index, count FROM voc""",
 })
+
+
+# ---------------------------------------------------------------- files
+
+PROPS = """(SELECT event_id AS pos, user_id, value, event_type, event_id % 3 AS m, props FROM events)"""
+
+ORACLE.update({
+    "read_bz2": f"""WITH {COMMENTS}, c AS (SELECT * FROM comments WHERE body IS NOT NULL)
+SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, id, parent_id, body FROM c""",
+    "read_many": """WITH l AS (SELECT event_type, row_number() OVER (ORDER BY event_type, event_id) - 1 AS n,
+CAST(event_id AS VARCHAR) AS value FROM events) SELECT n AS pos, value FROM l
+UNION ALL SELECT (SELECT count(*) FROM events) + row_number() OVER (ORDER BY n) - 1, value FROM l
+WHERE event_type = (SELECT min(event_type) FROM events)""",
+    "read_labelled": """SELECT row_number() OVER (ORDER BY d.doc_id) - 1 AS "index",
+CASE WHEN d.text = '' THEN NULL ELSE translate(d.text, chr(9) || chr(10) || chr(13), '   ') END AS "Sentence",
+CAST(l.quality AS INTEGER) AS "Class" FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+    "write_pairs": f"""WITH {COMMENTS}, {PREP}, {VERIFIED},
+ids AS (SELECT id FROM vp UNION SELECT parent_id FROM vp),
+p2 AS (SELECT * FROM prep SEMI JOIN ids ON prep.id IS NOT DISTINCT FROM ids.id),
+o AS (SELECT c.pos, p.body || chr(9) || c.body AS line FROM p2 c ASOF JOIN p2 p ON p.id = c.parent_id AND c.pos >= p.pos)
+SELECT row_number() OVER (ORDER BY pos) - 1 AS n, line FROM o""",
+    "explore_fields": f"""SELECT field, n, first_pos FROM (
+SELECT 'pos' AS field, count(*) AS n, min(pos) AS first_pos FROM {PROPS}
+UNION ALL SELECT 'user_id', count(*), min(pos) FROM {PROPS}
+UNION ALL SELECT 'mixed', count(*), min(pos) FROM {PROPS} WHERE m <> 2
+UNION ALL SELECT 'gone', count(*), min(pos) FROM {PROPS})""",
+    "explore_field_values": f"""SELECT 'mixed' AS field, 'STRING' AS value_type, event_type AS value, count(*) AS n
+FROM {PROPS} WHERE m = 0 GROUP BY event_type
+UNION ALL SELECT 'mixed', 'BOOLEAN', CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END, count(*) FROM {PROPS} WHERE m = 1 GROUP BY 3
+UNION ALL SELECT 'gone', 'VOID', 'null', count(*) FROM {PROPS}
+UNION ALL SELECT 'nested', 'OBJECT<k: BIGINT>', '{{"k":' || CAST(user_id % 4 AS VARCHAR) || '}}', count(*) FROM {PROPS} GROUP BY user_id % 4""",
+})

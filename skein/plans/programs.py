@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from skein.functions.text import clean_labelled
 from skein.operators.features import featurize, remove_stopwords
-from skein.operators.pairs import extract_pairs
+from skein.operators.pairs import modify_parent_id, pair_prepared, preprocess
+from skein.session import staged
 from skein.sources.files import read_comments, read_labelled
 from skein.sources.sinks import write_pairs_tsv
 
 
 def dump_pairs(spark: SparkSession, out_path: str, *in_files: str, **hooks) -> None:
     """Training pairs of the given dump files (plain or .bz2) as TSV, in stream
-    order: scan once -> preprocess -> verified ids -> semi-join -> as-of pairs."""
-    comments = read_comments(spark, *in_files)
-    write_pairs_tsv(extract_pairs(comments, **hooks), out_path)
+    order. The files are decompressed and parsed once: the preprocessed ids, parent
+    keys and bodies are written, and both phases read that table."""
+    prepared = preprocess(modify_parent_id(read_comments(spark, *in_files)), **hooks)
+    rows = staged(prepared.select("pos", "id", "parent_id", "body"), "prepared")
+    write_pairs_tsv(pair_prepared(rows), out_path)
 
 
 def prepare_labelled(df: DataFrame) -> DataFrame:

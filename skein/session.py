@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,10 +38,8 @@ def get_spark(master: str | None = None, app: str = "skein",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in DEFAULT_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on an already running session
-            pass
     return spark
 
 
@@ -60,10 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            configured = None
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
@@ -74,8 +68,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -90,41 +85,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one parquet table; spread it over the cores if its layout cannot be.
-
-    Parquet is split by row groups: a file with one row group is read by one
-    task however large it is, and every later row-wise step (the text
-    regexes) then runs on one core. When a local input has fewer row groups
-    than the session's parallelism it is hash-partitioned on its first column
-    (the table key) once after the scan; column pruning and filters still
-    reach the scan. Inputs with enough row groups or files, and non-local
-    storage, are read as they are.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    want = spark.sparkContext.defaultParallelism
-    groups = _row_groups(path, want)
-    if groups is not None and groups < want:
-        df = df.repartition(want, df.columns[0])
-    return df
-
-
-def _row_groups(path: str, enough: int) -> int | None:
-    """Row groups of a local parquet file or folder; None when unknown or at
-    least ``enough`` files are present (then the scan is parallel anyway)."""
-    if "://" in path and not path.startswith("file:"):
-        return None
-    local = path[5:] if path.startswith("file:") else path
-    if os.path.isdir(local):
-        files = [os.path.join(local, f) for f in os.listdir(local) if f.endswith(".parquet")]
-    elif os.path.isfile(local):
-        files = [local]
-    else:
-        return None
-    if len(files) >= enough:
-        return None
-    try:
-        import pyarrow.parquet as pq
-        return sum(pq.ParquetFile(f).metadata.num_row_groups for f in files)
-    except Exception:
-        return None
+    """Read one parquet table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and read it back: later steps
+    read the written table instead of repeating the work, and Spark knows its
+    size. The table is listed for :func:`clear_scratch`."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the tables, landing folders, sinks and checkpoints that this
+    session wrote to the shared folder; call it once their results are used."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

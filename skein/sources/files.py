@@ -4,16 +4,23 @@ Plain and ``.bz2`` files are read by Spark's built-in codecs (bzip2 is
 splittable, so one large dump is decompressed by many tasks). The order of the
 caller's file list, then the order inside each file, is kept as ``pos``:
 
-    pos = (file index in the list, start of the split in the file, row id)
+    pos = (file's place in the list, start of the split in the file, row in it)
 
-The file index is needed because Spark packs splits by size, not by list order;
-inside one split rows are read sequentially, so the row id increases. ``pos`` is
-attached right at the scan, before anything can shuffle. ``dense_pos=True``
-replaces it by a 0..n-1 BIGINT (one range-partitioned ranking of the input).
+The place in the list is needed because Spark packs splits by size, not by list
+order; inside one split rows are read sequentially, so the row number increases.
+``pos`` is attached right at the scan, before anything can shuffle, as one exact
+number (DECIMAL(38,0)). ``dense_pos=True`` replaces it by a 0..n-1 BIGINT (one
+range-partitioned ranking of the input).
+
+A path may be a file, a folder or a glob pattern; folders and patterns stand for
+their files in name order, and a path without any file is an error. A file that
+is listed twice is read as two sources.
 """
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skein.operators.indexing import dense_index
+from skein.operators.ordered import take
 
 # Comment fields of the dump (all nullable); ``edited`` is false, true or an
 # epoch float, so it stays schema-less (VARIANT).
@@ -31,72 +39,111 @@ COMMENT_SCHEMA = (
     "gilded bigint, controversiality bigint, stickied boolean, edited variant"
 )
 LABELLED_SCHEMA = "Sentence string, Class int"
+_ROW_BITS, _BLOCK_BITS = 33, 50     # of a position; the rest is the file's place
 
 
-def _qualified(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files behind files, folders and patterns, as URIs, in order."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
-        out.append(hp.getFileSystem(conf).makeQualified(hp).toString())
+        fs = hp.getFileSystem(conf)
+        found = [fs.getFileStatus(hp)] if fs.exists(hp) else list(fs.globStatus(hp) or [])
+        files = []
+        for st in found:
+            files += list(fs.listStatus(st.getPath())) if st.isDirectory() else [st]
+        files = sorted(st.getPath().toUri().toString() for st in files
+                       if not st.isDirectory() and st.getPath().getName()[0] not in "._")
+        if not files:
+            raise FileNotFoundError(f"no file at {p}")
+        # file:/a and file:///a are the same
+        out += [re.sub("^file:/+", "file:/", f) for f in files]
     return out
 
 
-def _with_pos(spark: SparkSession, df: DataFrame, paths: Sequence[str], dense_pos: bool) -> DataFrame:
-    files = F.array(*[F.lit(p) for p in _qualified(spark, paths)])
-    pos = F.struct(
-        (F.array_position(files, F.col("_metadata.file_path")) - 1).alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"))
-    out = df.withColumn("pos", pos)
+def _readable(spark: SparkSession, uris: Sequence[str]) -> list[str]:
+    """Paths for the reader, which would take special characters for a pattern."""
+    jvm = spark.sparkContext._jvm
+    plain = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(u)).toString() for u in dict.fromkeys(uris)]
+    return ["".join(f"\\{c}" if c in "*?[]{}\\," else c for c in p) for p in plain]
+
+
+def _with_pos(spark: SparkSession, df: DataFrame, uris: Sequence[str], dense_pos: bool) -> DataFrame:
+    names = spark.createDataFrame(list(enumerate(uris)), "_file int, _path string")     # the list itself
+    tagged = df.select("*", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("_from"),
+                       F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"))
+    placed = tagged.join(F.broadcast(names), F.col("_from") == F.col("_path"), "left")
+    number = F.when(F.col("_file").isNull(), F.raise_error(F.concat(F.lit("not a listed file: "), "_from"))
+                    .cast("int")).otherwise(F.col("_file"))
+
+    def exact(c, bits: int) -> F.Column:
+        return c.cast("decimal(38,0)") * F.lit(Decimal(1 << bits))
+
+    pos = (exact(number, _ROW_BITS + _BLOCK_BITS) + exact(F.col("_block"), _ROW_BITS)
+           + F.col("_row").cast("decimal(38,0)")).cast("decimal(38,0)")
+    out = placed.withColumn("pos", pos).drop("_file", "_path", "_from", "_block", "_row")
     if dense_pos:
         out = dense_index(out, "pos", "_dense").drop("pos").withColumnRenamed("_dense", "pos")
     return out
 
 
-def read_lines(spark: SparkSession, *paths: str, dense_pos: bool = False) -> DataFrame:
-    """Text lines of several files as one ordered stream: (value, pos) (A2, A3)."""
-    return _with_pos(spark, spark.read.text(list(paths)), paths, dense_pos)
+def _enough(spark: SparkSession, uris: list[str], first: int | None) -> list[str]:
+    """The leading files that have ``first`` lines: later ones are not opened."""
+    if first is None:
+        return uris
+    n = 0
+    for k, uri in enumerate(uris):
+        if n >= first:
+            return uris[:k]
+        n += spark.read.text(_readable(spark, [uri])).count()
+    return uris
+
+
+def read_lines(spark: SparkSession, *paths: str, dense_pos: bool = False,
+               first: int | None = None) -> DataFrame:
+    """Text lines of several files as one ordered stream: (value, pos) (A2, A3).
+    ``first``: only the first lines are wanted; files beyond them are not read."""
+    uris = _enough(spark, list_files(spark, paths), first)
+    df = _with_pos(spark, spark.read.text(_readable(spark, uris)), uris, dense_pos)
+    return df if first is None else take(df, first)
 
 
 def read_records(spark: SparkSession, *paths: str, schema: str | StructType | None = None,
-                 dense_pos: bool = False) -> DataFrame:
+                 dense_pos: bool = False, first: int | None = None) -> DataFrame:
     """JSON-lines records (A1).
 
     With a schema: typed columns plus ``pos``; a malformed line fails the job
-    (FAILFAST, as the original raises). Without: ``(value, pos)`` with the raw
-    JSON text, for schema-less field statistics (``stats.record_fields``).
-    Blank lines are skipped (the original raises on them).
+    (FAILFAST, as the original raises); only the fields that a plan uses are kept.
+    Without: ``(value, pos)`` with the raw JSON text, for schema-less field
+    statistics (``stats.record_fields``). Blank lines are skipped (the original
+    raises on them).
     """
-    lines = read_lines(spark, *paths, dense_pos=dense_pos).where(F.trim("value") != "")
     if schema is None:
-        return lines
+        return read_lines(spark, *paths, dense_pos=dense_pos, first=first).where(F.trim("value") != "")
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    has_variant = any(f.dataType.typeName() == "variant" for f in st.fields)
-    if has_variant:
-        # VARIANT fields come from the parsed record; the rest are typed
-        v = lines.select("pos", F.parse_json("value").alias("_r"))
-        cols = [F.variant_get("_r", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-                if f.dataType.typeName() != "variant"
-                else F.try_variant_get("_r", f"$.{f.name}", "variant").alias(f.name)
-                for f in st.fields]
-        return v.select(*cols, "pos")
-    parsed = lines.select(F.from_json("value", st, {"mode": "FAILFAST"}).alias("_r"), "pos")
-    return parsed.select("_r.*", "pos")
-
-
-def read_comments(spark: SparkSession, *paths: str, dense_pos: bool = False) -> DataFrame:
+    uris = _enough(spark, list_files(spark, paths), first)
+    read = spark.read.schema(st).option("mode", "FAILFAST").json(_readable(spark, uris))
+    df = _with_pos(spark, read, uris, dense_pos)
+    return df if first is None else take(df, first)
+
+
+def read_comments(spark: SparkSession, *paths: str, dense_pos: bool = False,
+                  first: int | None = None) -> DataFrame:
     """Comment dump files (plain or .bz2) with the comment schema."""
-    return read_records(spark, *paths, schema=COMMENT_SCHEMA, dense_pos=dense_pos)
+    return read_records(spark, *paths, schema=COMMENT_SCHEMA, dense_pos=dense_pos, first=first)
 
 
 def read_labelled(spark: SparkSession, *paths: str) -> DataFrame:
     """Tab-separated labelled sentences without header: (index, Sentence, Class) (A4, A5).
 
-    ``index`` is the 0-based row number in input order.
+    ``index`` is the 0-based row number in input order. A field may be quoted; a
+    quote inside it is doubled.
     """
-    df = (spark.read.schema(LABELLED_SCHEMA).option("sep", "\t").option("quote", "")
-          .csv(list(paths)))
-    df = _with_pos(spark, df, paths, dense_pos=False)
+    uris = list_files(spark, paths)
+    df = (spark.read.schema(LABELLED_SCHEMA).option("sep", "\t").option("quote", '"').option("escape", '"')
+          .csv(_readable(spark, uris)))
+    df = _with_pos(spark, df, uris, dense_pos=False)
     return dense_index(df, "pos", "index").select("index", "Sentence", "Class")

@@ -1,13 +1,16 @@
 """Structured Streaming forms of the operators whose state makes sense unbounded.
 
 The original consumes records as they are produced but keeps every parent it
-has ever seen; here the pairing state is bounded by an event-time horizon and a
-watermark (a documented deviation: a reply later than the horizon does not
-pair). Aggregates run in update mode; ``run`` drives a query to completion with
-``trigger(availableNow=True)`` and returns the result as a batch DataFrame.
-
-Sinks live under the shared checkpoint folder, as do the streaming checkpoints,
-so a restarted driver or a lost executor resumes from the last committed batch.
+has ever seen; here the pairing state is bounded by an event-time horizon that the
+caller gives, and a watermark (a documented deviation: a reply later than the
+horizon does not pair). Aggregates run in update mode; ``run`` drives a query to
+completion with ``trigger(availableNow=True)`` and returns the result as a batch
+DataFrame.
+
+``run`` and ``run_vocab`` take the folder that holds the sink and the streaming
+checkpoint. Called again with the same folder, after a stop or a lost driver, they
+go on from the last committed batch; without one they start anew in a scratch
+folder.
 """
 
 from __future__ import annotations
@@ -16,9 +19,10 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from skein.functions.predicates import not_deleted
-from skein.functions.text import tokenize, trim_whitespace
+from skein.functions.text import DELETED, tokenize, trim_whitespace
 from skein.operators.pairs import parent_key
 from skein.session import scratch_path
 
@@ -31,12 +35,13 @@ def with_event_time(df: DataFrame, pos: str = "pos", unit_ms: int = 1) -> DataFr
     return df.withColumn("ts", F.timestamp_millis(F.lit(EPOCH_BASE * 1000) + F.col(pos) * unit_ms))
 
 
-def stage_json(df: DataFrame, name: str, n_files: int = 6) -> str:
+def stage_json(df: DataFrame, name: str) -> str:
     """Write ``df`` as JSON-lines files in ``pos`` ranges, as a producer would
-    drop them into a landing folder; returns the folder."""
+    drop them into a landing folder; returns the folder. Spark's shuffle settings
+    say how many files."""
     spark = df.sparkSession
     path = scratch_path(spark, f"landing-{name}")
-    df.repartitionByRange(n_files, "pos").sortWithinPartitions("pos").write.json(path)
+    df.repartitionByRange("pos").sortWithinPartitions("pos").write.json(path)
     _order_files(spark, path)
     return path
 
@@ -54,10 +59,13 @@ def _order_files(spark: SparkSession, path: str) -> None:
         fs.setTimes(p, base + 1000 * (i + 1), -1)
 
 
-def source(spark: SparkSession, path: str, schema, files_per_batch: int = 2) -> DataFrame:
-    """JSON directory source (R1 / A8); a few files per micro-batch."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .json(path))
+def source(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """JSON directory source (R1 / A8); all new files make a micro-batch, or as
+    many as given."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
 # ------------------------------------------------------------------ operators
@@ -68,33 +76,49 @@ def clean_stream(comments: DataFrame) -> DataFrame:
             .select("pos", "id", trim_whitespace("body").alias("body")))
 
 
-def pair_stream(comments: DataFrame, horizon: str = "10 minutes", delay: str = "1 hour",
-                payload: bool = False) -> DataFrame:
-    """Reply pairs as a stream-stream join.
+def pair_stream(comments: DataFrame, horizon: str, delay: str) -> DataFrame:
+    """Replies with the earlier versions of their parents (R2): pos, id,
+    parent_id, parent_pos, parent_body, reply_body.
 
-    A reply pairs with a parent seen earlier (position) and at most ``horizon``
-    before it (event time); both sides carry a watermark, so Spark drops parent
-    state once no reply can still match.
+    A stream-stream join finds the versions seen at an earlier position and at
+    most ``horizon`` (event time) before the reply; records may arrive ``delay``
+    late, and the watermark frees both sides. ``run`` with ``PAIR_KEYS`` and
+    ``latest_by="parent_pos"`` keeps the latest version of each reply.
     """
     c = comments.where(not_deleted("body")).withColumn("body", trim_whitespace("body"))
     c = c.withColumn("parent_id", parent_key("parent_id"))
-    parents = c.select(F.col("id").alias("p_id"), F.col("pos").alias("p_pos"),
-                       F.col("ts").alias("p_ts"), F.col("body").alias("parent_body")) \
-        .withWatermark("p_ts", delay)
-    replies = c.select("pos", "id", "parent_id", "ts", F.col("body").alias("reply_body")) \
-        .withWatermark("ts", delay)
-    cond = F.expr(f"""parent_id = p_id AND p_pos < pos
+    parents = c.select(F.col("id").alias("p_id"), F.col("pos").alias("parent_pos"),
+                       F.col("ts").alias("p_ts"), F.col("body").alias("parent_body")).withWatermark("p_ts", delay)
+    replies = c.select("pos", "id", "parent_id", "ts", F.col("body").alias("reply_body")).withWatermark("ts", delay)
+    cond = F.expr(f"""parent_id = p_id AND parent_pos < pos
                       AND ts >= p_ts AND ts <= p_ts + INTERVAL {horizon}""")
-    out = replies.join(parents, cond, "inner")
-    if payload:
-        return out.select("pos", F.concat_ws("\t", "parent_body", "reply_body").alias("line"))
-    return out.select("pos", "id", "parent_id")
+    return replies.join(parents, cond, "inner").select("pos", "id", "parent_id", "parent_pos", "parent_body",
+                                                       "reply_body")
+
+
+PAIR_KEYS = ["pos", "id", "parent_id"]
+
+
+def pair_line_stream(comments: DataFrame, horizon: str, delay: str) -> DataFrame:
+    """The pair dump as lines of text (R7): pos, parent_pos and ``line``."""
+    return pair_stream(comments, horizon, delay).select(
+        "pos", "parent_pos", F.concat_ws("\t", "parent_body", "reply_body").alias("line"))
+
+
+def distinct_stream(df: DataFrame, cols: Sequence[str], ts: str, within: str) -> DataFrame:
+    """Distinct values (R3). A value is remembered for ``within`` (event time)
+    after it was seen, and counts as new if it comes again later than that."""
+    return df.select(*cols, ts).withWatermark(ts, within).dropDuplicatesWithinWatermark(list(cols)).select(*cols)
 
 
-def distinct_stream(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct values (R3); the state is one entry per distinct value, the
-    same as a batch distinct."""
-    return df.select(*cols).dropDuplicates(list(cols))
+def running_totals(comments: DataFrame) -> DataFrame:
+    """Running summary (R4), for update mode: comments, deleted, on posts, reply
+    pairs. (The number of groups is the number of rows of ``running_counts``.)"""
+    is_pair = F.coalesce(parent_key("parent_id").startswith("c"), F.lit(False))
+    return comments.groupBy(F.lit(0).alias("all")).agg(
+        F.count(F.lit(1)).alias("comments"),
+        F.count_if(F.coalesce(F.col("body") == F.lit(DELETED), F.lit(False))).alias("deleted"),
+        F.count_if(~is_pair).alias("posts"), F.count_if(is_pair).alias("pairs"))
 
 
 def running_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,77 +141,93 @@ def running_field_counts(records: DataFrame, json_col: str = "value") -> DataFra
 
 # ------------------------------------------------------------------ running
 
-def run(stream: DataFrame, name: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Run ``stream`` over everything available and return its result.
+def _exists(spark: SparkSession, path: str) -> bool:
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def run(stream: DataFrame, name: str, keys: Sequence[str] | None = None, folder: str | None = None,
+        latest_by: str | None = None, text: str | None = None) -> DataFrame:
+    """Run ``stream`` over everything available and return its result so far.
 
     Without ``keys``: append mode into a parquet sink. With ``keys`` (an
     aggregate): update mode; each micro-batch's changed rows are written to a
     partition named by the batch id, and the result keeps the latest row per key
-    (an upsert log compacted by a partial aggregate, never collected).
+    (an upsert log compacted by a partial aggregate, never collected). With
+    ``latest_by`` as well: append mode; of the rows of a key the one with the
+    greatest ``latest_by`` is kept, in each micro-batch before it is written and
+    over all of them in the result. ``text`` writes that column as lines of text
+    instead (a line for each kept row of a micro-batch) and returns the lines.
+    ``folder`` holds sink and checkpoint.
     """
     spark = stream.sparkSession
-    out = scratch_path(spark, f"sink-{name}")
-    ckpt = scratch_path(spark, f"ckpt-{name}")
-    writer = stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+    folder = folder or scratch_path(spark, f"stream-{name}")
+    out = f"{folder}/sink"
+    writer = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     if keys is None:
-        q = writer.format("parquet").outputMode("append").start(out)
-    else:
-        def upsert(batch: DataFrame, batch_id: int) -> None:
-            # one partition per batch id, overwritten: a re-run batch is idempotent
-            batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
-        q = writer.outputMode("update").foreachBatch(upsert).start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    if keys is None:
-        return spark.read.schema(_sink_schema(stream, None)).parquet(out)
-    try:
-        result = spark.read.parquet(out)
-    except Exception:  # no micro-batch produced rows
-        return spark.createDataFrame([], _sink_schema(stream, None))
+        _finish(writer.format("parquet").outputMode("append").start(out))
+        return spark.read.schema(stream.schema).parquet(out)
     values = [c for c in stream.columns if c not in keys]
-    latest = result.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), "_batch").alias("_v"))
-    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
+    def latest(rows: DataFrame, by: str) -> DataFrame:
+        kept = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), by).alias("_v"))
+        return kept.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        # one partition per batch id, overwritten: a re-run batch is idempotent
+        rows = latest(batch, latest_by) if latest_by else batch
+        to = rows.write.mode("overwrite") if text is None else rows.select(text).write.mode("overwrite").format("text")
+        to.save(f"{out}/_batch={batch_id}")
 
-def _sink_schema(stream: DataFrame, keys) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    _finish(writer.outputMode("append" if latest_by else "update").foreachBatch(upsert).start())
+    if not _exists(spark, out):     # no micro-batch has run
+        return spark.createDataFrame([], stream.schema if text is None else f"{text} string")
+    if text is not None:
+        return spark.read.text(out).select(F.col("value").alias(text))
+    result = spark.read.schema(StructType([*stream.schema.fields, StructField("_batch", LongType())])).parquet(out)
+    return latest(result, latest_by or "_batch")
 
 
-def run_vocab(stream: DataFrame, tokens: str, name: str) -> DataFrame:
+def run_vocab(stream: DataFrame, tokens: str, name: str, folder: str | None = None) -> DataFrame:
     """Running vocabulary with a stable index (R5): each micro-batch gives the
     words it sees first an index after the current maximum, in first-occurrence
     order; counts accumulate. Per-batch outputs are written to their own
     partition and only earlier batches count as known, so a re-run batch
-    rewrites the same rows. Returns (word, index, count)."""
+    rewrites the same rows. Returns (word, index, count); ``folder`` as in ``run``."""
     from skein.operators.indexing import dense_index
     from skein.operators.vocab import first_seen_key, token_rows
 
     spark = stream.sparkSession
-    index_dir, count_dir = scratch_path(spark, f"vocab-index-{name}"), scratch_path(spark, f"vocab-count-{name}")
-    ckpt = scratch_path(spark, f"ckpt-vocab-{name}")
+    folder = folder or scratch_path(spark, f"stream-vocab-{name}")
+    index_dir, count_dir = f"{folder}/index", f"{folder}/counts"
+    index_schema, count_schema = "word string, index bigint, batch bigint", "word string, count bigint, batch bigint"
+
+    def known_index() -> DataFrame:
+        if not _exists(spark, index_dir):
+            return spark.createDataFrame([], index_schema)
+        return spark.read.schema(index_schema).parquet(index_dir)
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        words = (token_rows(batch, tokens).groupBy("word")
-                 .agg(F.count(F.lit(1)).alias("count"), F.min(first_seen_key()).alias("_first")))
-        words.select("word", "count").withColumn("batch", F.lit(batch_id)) \
-            .write.mode("overwrite").parquet(f"{count_dir}/batch={batch_id}")
-        try:
-            known = spark.read.schema("word string, index bigint, batch bigint").parquet(index_dir) \
-                .where(F.col("batch") < batch_id)
-        except Exception:  # nothing written yet
-            known = spark.createDataFrame([], "word string, index bigint, batch bigint")
+        rows = token_rows(batch, tokens)
+        words = rows.groupBy("word").agg(F.count(F.lit(1)).alias("count"),
+                                         F.min(first_seen_key(rows)).alias("_first"))
+        words.select("word", "count").write.mode("overwrite").parquet(f"{count_dir}/batch={batch_id}")
+        known = known_index().where(F.col("batch") < batch_id)
         base = known.agg(F.coalesce(F.max("index") + 1, F.lit(0))).first()[0]
         new = words.join(known.select("word"), "word", "left_anti")
         dense_index(new, "_first", "_i").select("word", (F.col("_i") + base).alias("index")) \
             .write.mode("overwrite").parquet(f"{index_dir}/batch={batch_id}")
 
-    q = (stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-         .foreachBatch(update).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    index = spark.read.parquet(index_dir).select("word", "index")
-    counts = spark.read.parquet(count_dir).groupBy("word").agg(F.sum("count").alias("count"))
+    _finish(stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+            .foreachBatch(update).start())
+    index = known_index().select("word", "index")
+    if not _exists(spark, count_dir):
+        return spark.createDataFrame([], "word string, index bigint, count bigint")
+    counts = spark.read.schema(count_schema).parquet(count_dir).groupBy("word").agg(F.sum("count").alias("count"))
     return index.join(counts, "word")

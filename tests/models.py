@@ -1,68 +1,82 @@
-"""Pure-Python models of the original stream algorithms (one pass, dicts)."""
+"""Plain definitions of the pair and thread results, for small inputs.
+
+A comment is a dict with pos, id, parent_id, body. Each function states what the
+result is for a row by looking at all rows, not how a stream would find it.
+"""
 
 
 def key(parent_id):
-    return parent_id[parent_id.index("_") + 1:]
+    return None if parent_id is None else parent_id.partition("_")[2] if "_" in parent_id else parent_id
+
+
+def is_reply(c):
+    return c["parent_id"] is not None and "_c" in c["parent_id"]
+
+
+def latest(rows, cid, before, inclusive):
+    """The row with that id at the greatest position up to ``before``."""
+    at = [r for r in rows if cid is not None and r["id"] == cid
+          and (r["pos"] < before or inclusive and r["pos"] == before)]
+    return max(at, key=lambda r: r["pos"], default=None)
+
+
+def with_parent(rows, parent_key, inclusive):
+    """(child, parent) for the children that have one."""
+    found = ((c, latest(rows, parent_key(c), c["pos"], inclusive)) for c in rows)
+    return [(c, p) for c, p in found if p is not None]
+
+
+def list_pairs(rows):
+    return [(c["id"], key(c["parent_id"])) for c in rows if is_reply(c)]
 
 
-def on_comment(c):
-    return c["parent_id"].find("_c") >= 0
+def verified_pairs(rows):
+    """parent_id holds the parent's key here and in the next two."""
+    return [(c["id"], c["parent_id"]) for c, _ in with_parent(rows, lambda c: c["parent_id"], False)]
 
 
-def list_pairs(stream):
-    return [(c["id"], key(c["parent_id"])) for c in stream if on_comment(c)]
+def body_pairs(rows):
+    return [(p["body"], c["body"]) for c, p in with_parent(rows, lambda c: c["parent_id"], True)]
 
 
-def verified_pairs(stream):
-    seen, out = set(), []
-    for c in stream:
-        if c["parent_id"] in seen:
-            out.append((c["id"], c["parent_id"]))
-        seen.add(c["id"])
-    return out
+def two_phase(rows):
+    known = {i for pair in verified_pairs(rows) for i in pair}
+    return body_pairs([c for c in rows if c["id"] in known])
 
 
-def body_pairs(stream):
-    bodies, out = {}, []
-    for c in stream:
-        bodies[c["id"]] = c["body"]
-        if c["parent_id"] in bodies:
-            out.append((bodies[c["parent_id"]], c["body"]))
-    return out
+def record_pairs(rows):
+    replies = [c for c in rows if is_reply(c)]
+    return [(c["pos"], p["pos"]) for c, p in with_parent(replies, lambda c: key(c["parent_id"]), True)]
 
 
-def record_pairs(stream):
-    parents, out = {}, []
-    for c in stream:
-        if not on_comment(c):
-            continue
-        parents[c["id"]] = c
-        pid = key(c["parent_id"])
-        if pid in parents:
-            out.append((c["pos"], parents[pid]["pos"]))
-    return out
+def conversations(rows):
+    """(pos, root position, level) in display order. A row's parent is the first
+    row with the parent's id; its root is the smallest of itself and the rows
+    above it; the display sorts by the positions on the way down from the root."""
+    first = {}
+    for r in sorted(rows, key=lambda r: r["pos"]):
+        if r["id"] is not None:
+            first.setdefault(r["id"], r["pos"])
+    up = {r["pos"]: first.get(key(r["parent_id"])) for r in rows}
 
+    def above(pos):
+        seen = []
+        while pos is not None and pos not in seen:
+            seen.append(pos)
+            pos = up[pos]
+        return seen
 
-def two_phase(stream):
-    """Pairs of the pair extractor on already preprocessed comments."""
-    ids = set()
-    for a, b in verified_pairs(stream):
-        ids.update((a, b))
-    return body_pairs([c for c in stream if c["id"] in ids])
+    root = {pos: min(above(pos)) for pos in up}
 
+    def way(pos):
+        steps = above(pos)
+        return steps[:steps.index(root[pos]) + 1][::-1]
 
-def conversations(comments):
-    """Depth-first display with removal; replies by parent-key equality."""
-    comments = list(comments)
-    out = []
+    return [(p, root[p], len(way(p)) - 1) for p in sorted(up, key=way)]
 
-    def show(c, level):
-        comments.remove(c)
-        out.append((c["id"], level))
-        for r in [o for o in comments if key(o["parent_id"]) == c["id"]]:
-            if r in comments:
-                show(r, level + 1)
 
-    while comments:
-        show(comments[0], 0)
-    return out
+def first_positions(sentences):
+    """word -> (index, count): the index is the word's rank by first place."""
+    places = [(w, (i, j)) for i, s in enumerate(sentences) for j, w in enumerate(s)]
+    first = {w: min(p for x, p in places if x == w) for w in {w for w, _ in places}}
+    return {w: (sorted(first.values()).index(at), sum(x == w for x, _ in places)) for w, at in first.items()}

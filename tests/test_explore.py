@@ -1,6 +1,6 @@
 """The explorer plan: stage order and reports."""
 
-from pyspark.sql import functions as F
+import pytest
 
 from skein.plans.explore import ExploreOptions, explore
 
@@ -43,3 +43,65 @@ def test_reports(spark):
     lines = [r.line for r in out["conversations"].collect()]
     assert lines[:2] == ["- c1, u:\n  ['hello', 'world']", "    - c3, w:\n      ['hello', 'again', 'world']"]
     assert out["count"].first().n == 3  # c1, c3, c5
+
+
+DUMP = [
+    {"id": "c1", "parent_id": "t3_p", "subreddit": "a", "subreddit_id": "t5_a", "author": "u", "body": "Hello  World",
+     "distinguished": None, "edited": False, "stickied": False, "new_field": 1},
+    {"id": "c2", "parent_id": "t1_c1", "subreddit": "b", "subreddit_id": "t5_a", "author": "v", "body": "[deleted]",
+     "distinguished": None, "edited": 1.5, "stickied": True},
+    {"id": "c3", "parent_id": "t1_c1", "subreddit": "a", "subreddit_id": "t5_a", "author": "v", "body": "hello again",
+     "edited": True, "nested": {"k": [1, 2]}},
+    {"other": 1},
+]
+
+
+def dump(spark, tmp_path):
+    import bz2
+    import json
+    from skein.sources.files import read_records
+    path = tmp_path / "RC_2006-01.bz2"
+    with bz2.open(path, "wt") as f:
+        f.write("".join(json.dumps(r) + "\n" for r in DUMP))
+    return read_records(spark, str(path))
+
+
+def test_readme_commands_on_a_dump(spark, tmp_path):
+    records = dump(spark, tmp_path)
+    fields = {r.field: r.n for r in explore(records, ExploreOptions(count_fields=True))["fields"].collect()}
+    assert fields == {f: sum(f in r for r in DUMP) for f in {f for r in DUMP for f in r}}
+    out = explore(records, ExploreOptions(list_fields=True, count_field_values=True,
+                                          keep_fields=["stickied", "edited"]))
+    assert {r.field for r in out["fields"].collect()} == {"stickied", "edited"}
+    values = {(r.field, r.value): r.n for r in out["field_values"].collect()}
+    assert values == {("stickied", "false"): 1, ("stickied", "true"): 1, ("edited", "false"): 1,
+                      ("edited", "1.5"): 1, ("edited", "true"): 1}
+    assert out["count"].first().n == 3          # the record with neither field is gone
+    out = explore(records, ExploreOptions(keep_fields=["subreddit"], show_records=True))
+    assert [r.subreddit for r in out["records"].orderBy("pos").collect()] == ["a", "b", "a"]
+    out = explore(records, ExploreOptions(strip_fields=["body"], show_records=True))
+    assert "body" not in out["records"].columns and out["count"].first().n == 4
+    out = explore(records, ExploreOptions(keep_fields=["id", "subreddit"], show_records=True))
+    assert [(r.id, r.subreddit) for r in out["records"].orderBy("pos").collect()] == \
+        [("c1", "a"), ("c2", "b"), ("c3", "a")]
+    out = explore(records, ExploreOptions(strip_fields=["other"]))
+    assert out["count"].first().n == 3
+    with pytest.raises(ValueError):
+        explore(records, ExploreOptions(strip_fields=["body"], min_length=3))
+    typed = explore(corpus(spark), ExploreOptions(keep_fields=["id", "subreddit"], show_records=True))["records"]
+    assert typed.columns == ["pos", "id", "subreddit"]
+
+
+def test_reports_on_a_dump_share_one_read(spark, tmp_path):
+    records = dump(spark, tmp_path)
+    out = explore(records, ExploreOptions(ignore_deleted=True, summary=True, count_fields=True, to_lower=True,
+                                          trim_whitespace=True, tokenize=True, vocab=True, vocab_order="index",
+                                          conversations=True, pairs=True, min_length=1))
+    s = out["summary"].first()
+    assert (s.comments, s.deleted, s.posts, s.pairs, s.subreddits) == (3, 0, 2, 1, 2)
+    assert [(r.word, r["count"]) for r in out["vocab"].collect()] == [("hello", 2), ("world", 1), ("again", 1)]
+    assert [r.line for r in out["conversations"].collect()] == \
+        ["- c1, u:\n  ['hello', 'world']", "    - c3, v:\n      ['hello', 'again']"]
+    for name in ("summary", "summary_groups", "fields", "pairs", "count"):
+        plan = out[name]._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "FileScan parquet" in plan, name

@@ -6,6 +6,7 @@ import math
 import os
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from skein.operators import features as FE
@@ -13,6 +14,8 @@ from skein.operators import stats as ST
 from skein.operators import vocab as V
 from skein.sources import files
 
+import models as M
+
 DATA = os.path.join(os.path.dirname(__file__), "data")
 
 
@@ -51,37 +54,64 @@ def test_json_records_and_field_stats(spark, tmp_path):
 
 def test_labelled_tsv(spark, tmp_path):
     p = tmp_path / "l.txt"
-    p.write_text("Great phone, works!\t1\nmail me@x.com at 1.2.3.4\t0\nBad.\t0\n")
+    p.write_text('Great phone, works!\t1\nmail me@x.com at 1.2.3.4\t0\n"He said ""no""\tagain."\t0\n')
     df = files.read_labelled(spark, str(p))
     assert [(r["index"], r.Class) for r in df.orderBy("index").collect()] == [(0, 1), (1, 0), (2, 0)]
+    assert df.orderBy("index").collect()[2].Sentence == 'He said "no"\tagain.'
+
+
+def test_folders_patterns_repeats_and_odd_names(spark, tmp_path):
+    folder = tmp_path / "RC 2006 %41[x]"
+    folder.mkdir()
+    for name, text in (("b, {1}", "b1\nb2\n"), ("a*", "a1\n"), ("_hidden", "no\n")):
+        (folder / name).write_text(text)
+    for i in range(3):
+        (tmp_path / f"RC_2006-0{i}").write_text(f"p{i}\n")
+
+    def lines(*paths, **more):
+        return [r.value for r in files.read_lines(spark, *map(str, paths), **more).orderBy("pos").collect()]
 
+    assert lines(folder) == ["a1", "b1", "b2"]
+    assert lines(tmp_path / "RC_2006*", folder / "a*", tmp_path / "RC_2006-01") == ["p0", "p1", "p2", "a1", "p1"]
+    assert lines(tmp_path / "RC_2006-02", tmp_path / "RC_2006-02", tmp_path / "RC_2006-00") == ["p2", "p2", "p0"]
+    assert lines(tmp_path / "RC_2006*", folder, first=2) == ["p0", "p1"]
+    with pytest.raises(FileNotFoundError):
+        files.read_lines(spark, str(tmp_path / "RC_2007*"))
 
-def encoder_model(sentences):
-    w2i, counts, codes = {}, [], []
-    for s in sentences:
-        enc = []
-        for w in s:
-            if w not in w2i:
-                w2i[w] = len(w2i)
-                counts.append(0)
-            counts[w2i[w]] += 1
-            enc.append(w2i[w])
-        codes.append(enc)
-    return w2i, counts, codes
+
+def test_first_lines_open_no_later_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "c1"}\n{"id": "c2"}\n')
+    (tmp_path / "b.json").write_text("this is no JSON\n")
+    got = files.read_records(spark, str(tmp_path / "a.json"), str(tmp_path / "b.json"), schema="id string", first=2)
+    assert [r.id for r in got.orderBy("pos").collect()] == ["c1", "c2"]
+
+
+def test_vocabulary_over_a_dump(spark, tmp_path):
+    """The reader's own positions serve the vocabulary."""
+    p = tmp_path / "r.json"
+    p.write_text("".join(json.dumps({"id": f"c{i}", "body": b}) + "\n" for i, b in enumerate(["b a", "a c"])))
+    df = files.read_comments(spark, str(p)).withColumn("t", F.split("body", " "))
+    assert {r.word: (r["index"], r["count"]) for r in V.build_vocab(df, "t").collect()} == \
+        {"b": (0, 1), "a": (1, 2), "c": (2, 1)}
 
 
 def test_vocab_and_encode(spark):
     sents = [["b", "a", "b"], [], ["c", "a"], ["a", "d", "d", "b"]]
     df = spark.createDataFrame([(i, s) for i, s in enumerate(sents)], "pos long, t array<string>")
     v = V.build_vocab(df, "t")
-    w2i, counts, codes = encoder_model(sents)
-    assert {r.word: (r["index"], r["count"]) for r in v.collect()} == {w: (i, counts[i]) for w, i in w2i.items()}
+    known = M.first_positions(sents)
+    assert {r.word: (r["index"], r["count"]) for r in v.collect()} == known
     enc = V.encode(df, "t", v)
-    assert [r.codes for r in enc.orderBy("pos").collect()] == codes
+    assert [r.codes for r in enc.orderBy("pos").collect()] == [[known[w][0] for w in s] for s in sents]
     pruned = V.build_vocab(df, "t", min_count=2)
     assert [r.word for r in pruned.orderBy("index").collect()] == ["b", "a", "d"]
     order = [r.word for r in V.vocab_ordered(v, "count", reverse=True).collect()]
     assert order == ["b", "a", "d", "c"]  # ties (b, a: 3) stay in index order
+    assert [(r.word, r.rank) for r in V.vocab_ordered(v, "word", reverse=True).collect()] == \
+        [("d", 0), ("c", 1), ("b", 2), ("a", 3)]
+    keys = spark.createDataFrame([(0,), (3,), (9,)], "index long")
+    assert {r["index"]: (r.word, r["count"]) for r in V.lookup(v, keys, "index").collect()} == \
+        {0: ("b", 3), 3: ("d", 2), 9: (None, None)}
 
 
 def tfidf_model(docs, vocab_terms):

@@ -36,7 +36,7 @@ def random_forest(seed, n=40, dup=False, unsorted=True):
         else:
             lim = n if unsorted else max(pos, 1)
             parent = "t1_" + ids[rnd.randrange(lim)]
-        rows.append(comment(pos, cid, parent))
+        rows.append(comment(pos, cid if rnd.random() > .05 else None, parent if rnd.random() > .05 else None))
     return rows
 
 
@@ -83,35 +83,114 @@ def test_duplicate_parent_versions(spark):
     assert PR.verified_pairs(kdf).count() == 2
 
 
-@pytest.mark.parametrize("seed", [11, 12, 13])
-def test_threads_match_display(spark, seed):
-    rows = random_forest(seed, n=30, dup=False, unsorted=True)
+def display(thr):
+    return [(r.pos, r.root_pos, r.level) for r in thr.orderBy("root_pos", "rank").collect()]
+
+
+@pytest.mark.parametrize("seed,dup", [(11, False), (12, True), (13, True)])
+def test_threads_match_display(spark, seed, dup):
+    rows = random_forest(seed, n=40, dup=dup, unsorted=True)
+    thr = TH.threads(frame(spark, rows))
+    assert display(thr) == M.conversations(rows)
+    ranks = Counter(r.root_pos for r in thr.collect())
+    assert all(sorted(r.rank for r in thr.collect() if r.root_pos == k) == list(range(n)) for k, n in ranks.items())
+
+
+def test_repeated_ids_do_not_multiply(spark):
+    rows = [comment(i, f"c{i % 3}", f"t1_c{(i + 1) % 3}") for i in range(12)]
     thr = TH.threads(frame(spark, rows))
-    got = [(r.id, r.level) for r in thr.orderBy("path").collect()]
-    assert got == M.conversations(rows)
+    assert display(thr) == M.conversations(rows) and thr.count() == 12
 
 
 def test_thread_cycle_and_transcript(spark):
     rows = [comment(0, "c5", "t1_c6", "x"), comment(1, "c6", "t1_c5", "  y  z ")]
     thr = TH.threads(frame(spark, rows))
-    assert [(r.id, r.level, r.root_id) for r in thr.orderBy("path").collect()] == \
+    assert [(r.id, r.level, r.root_id) for r in thr.orderBy("rank").collect()] == \
         [("c5", 0, "c5"), ("c6", 1, "c5")]
-    lines = [r.line for r in TH.transcript(thr).orderBy("path").collect()]
+    lines = [r.line for r in TH.transcript(thr).orderBy("rank").collect()]
     assert lines == ["- c5, a:\n  x", "    - c6, a:\n      y z"]
     assert TH.limit_conversations(thr, 1).count() == 2
 
 
-def test_hot_parent_split_matches_plain_join(spark):
-    # one parent with most of the replies, split off with a low threshold
-    rows = [comment(0, "c0", "t3_p")] + [comment(i, f"c{i}", "t1_c0") for i in range(1, 40)] + \
-        [comment(40 + i, f"d{i}", f"t1_c{i}") for i in range(1, 6)]
-    kdf = PR.modify_parent_id(frame(spark, rows))
-    from skein.operators.asof import asof_join
-    plain = asof_join(kdf, kdf, "parent_id", "id", split_hot=False)
-    split = asof_join(kdf, kdf, "parent_id", "id", min_hot_rows=10)
-    key = lambda d: sorted((r.pos, r.p_pos) for r in d.collect())
-    assert key(plain) == key(split) and len(key(split)) == 44
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan and "BroadcastHashJoin" in plan  # hot part joins a broadcast copy
-    from skein.operators.skew import hot_keys
-    assert hot_keys(kdf, "parent_id", min_rows=10) == ["c0"]
+def test_deep_and_wide_threads(spark):
+    """A chain of 100,000 replies, and a comment with 20,000 direct replies."""
+    deep, wide = 100_000, 20_000
+    chain = spark.range(deep).selectExpr("id AS pos", "concat('c', id) AS id",
+                                         "if(id = 0, 't3_p', concat('t1_c', id - 1)) AS parent_id")
+    star = spark.range(wide).selectExpr("id + 1000000 AS pos", "concat('d', id) AS id",
+                                        "if(id = 0, 't3_p', 't1_d0') AS parent_id")
+    thr = TH.threads(chain.union(star))
+    assert thr.count() == deep + wide
+    wrong = thr.where("""(root_pos = 0 AND (rank != pos OR level != pos)) OR
+                         (root_pos = 1000000 AND (rank != pos - 1000000 OR level != if(pos = 1000000, 0, 1)))""")
+    assert wrong.count() == 0 and {r.root_pos for r in thr.select("root_pos").distinct().collect()} == {0, 1000000}
+
+
+def test_group_by_parent_keeps_rows_without_one(spark):
+    rows = [comment(0, "c1", None), comment(1, "c2", None), comment(2, "c3", "t3_p")]
+    got = sorted((r.pos, r.n, r.first_pos) for r in TH.group_by_parent(frame(spark, rows)).collect())
+    assert got == [(0, 2, 0), (1, 2, 0), (2, 1, 2)]
+
+
+def hot_rows(spark, n=3000):
+    """Two thirds of the replies are to one parent, which has many versions."""
+    return spark.range(n).selectExpr(
+        "id AS pos", "if(id % 5 = 0, 'c0', concat('c', id)) AS id",
+        "if(id % 3 < 2, 't1_c0', concat('t1_c', id div 7 * 5)) AS parent_id", "'a' AS author",
+        "concat('b', id) AS body", "if(id % 3 < 2, 'g', concat('g', id)) AS subreddit_id",
+        "if(id = 1500, 'renamed', 'name') AS subreddit")
+
+
+def biggest_share(df, *keys):
+    n = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return n[0] / n[1]
+
+
+def test_hot_keys_are_split_everywhere(spark):
+    from skein.operators import skew
+    from skein.operators.stats import inconsistent_names
+    df = hot_rows(spark)
+    rows = [r.asDict() for r in df.collect()]
+    kdf = PR.modify_parent_id(df)
+    keyed = [dict(r, parent_id=M.key(r["parent_id"])) for r in rows]
+    p = skew.partitions(df)
+    # the parts that windows and joins see: none holds much more than 1/P of the rows
+    assert biggest_share(kdf, "parent_id") > 0.6
+    assert biggest_share(skew.bucketed(kdf, "parent_id"), "parent_id", skew.BUCKET) < 1.3 / p
+    versions = {}
+    for r in keyed:
+        versions.setdefault(r["id"], []).append(r["pos"])
+
+    def latest(cid, pos, inclusive):
+        return max((v for v in versions.get(cid, []) if v < pos or inclusive and v == pos), default=None)
+
+    got = {r.pos: r.parent_pos for r in PR.body_pairs(kdf).collect()}
+    want = {r["pos"]: latest(r["parent_id"], r["pos"], True) for r in keyed}
+    assert got == {k: v for k, v in want.items() if v is not None}
+    assert sorted(r.pos for r in PR.verified_pairs(kdf).collect()) == \
+        sorted(r["pos"] for r in keyed if latest(r["parent_id"], r["pos"], False) is not None)
+    n = Counter(r["parent_id"] for r in rows)
+    assert all(r.n == n[r.parent_id] for r in TH.group_by_parent(df).collect())
+    assert [r.pos for r in inconsistent_names(df).collect()] == [1500]
+    assert display(TH.threads(df)) == M.conversations(rows)
+
+
+def test_next_in_key(spark):
+    from skein.operators.skew import next_in_key
+    df = hot_rows(spark, 900).select("pos", "parent_id")
+    got = {r.pos: r.after for r in next_in_key(df, "parent_id", "pos", "after").collect()}
+    by = {}
+    for r in df.orderBy("pos").collect():
+        by.setdefault(r.parent_id, []).append(r.pos)
+    assert got == {a: b for v in by.values() for a, b in zip(v, v[1:] + [None])}
+
+
+def test_pairing_runs_no_job_while_it_is_planned(spark):
+    kdf = PR.modify_parent_id(hot_rows(spark))
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    PR.extract_pairs(hot_rows(spark))
+    PR.body_pairs(kdf), PR.verified_pairs(kdf), TH.group_by_parent(kdf)
+    jobs = status.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs

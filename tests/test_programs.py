@@ -36,12 +36,23 @@ def test_dump_pairs_from_bz2(spark, tmp_path):
         with open(part) as f:
             lines += f.read().splitlines()
     import re
-    prep = [dict(id=r["id"], parent_id=M.key(r["parent_id"]), body=re.sub(r"\s+", " ", r["body"].strip()))
-            for r in rows if r["body"] != "[deleted]"]
+    prep = [dict(pos=i, id=r["id"], parent_id=M.key(r["parent_id"]), body=re.sub(r"\s+", " ", r["body"].strip()))
+            for i, r in enumerate(rows) if r["body"] != "[deleted]"]
     expected = [f"{a}\t{b}" for a, b in M.two_phase(prep)]
     assert lines == expected  # same lines, same order
 
 
+def test_dump_pairs_reads_the_text_once(spark, tmp_path, monkeypatch):
+    from skein.plans import programs
+    write_dump(tmp_path / "a.bz2", [{"id": f"c{i}", "parent_id": f"t1_c{i - 1}", "body": f"b{i}"} for i in range(9)])
+    seen = []
+    monkeypatch.setattr(programs, "write_pairs_tsv", lambda pairs, path: seen.append(pairs))
+    programs.dump_pairs(spark, str(tmp_path / "out"), str(tmp_path / "a.bz2"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan json" not in plan and "FileScan text" not in plan and "FileScan parquet" in plan
+    assert seen[0].count() == 8
+
+
 def test_featurize_file(spark, tmp_path):
     p = tmp_path / "labelled.txt"
     sents = ["Great phone and great battery", "Terrible screen, broke in 2 days",
