@@ -1,12 +1,13 @@
 """Byte-level BPE token ids of whole texts through the ``tokenizers`` library.
 
-The byte-level pre-tokenizer always starts a new piece at a single space that
-stands between two non-blank characters, and BPE never merges across pieces.
-So the ids of a text are the ids of its space-separated words put together, and
-a column of texts needs each different word of a batch encoded only once: a word
-of letters is one piece and goes straight to the library's BPE model, any other
-through its whole encoder. Texts where that reasoning does not hold (a blank
-next to a space, blanks other than line feeds at an end) are encoded whole.
+The byte-level pre-tokenizer cuts a text into pieces, and BPE never merges across
+pieces, so a column of texts needs each different piece of a batch encoded only
+once. Cutting is simple for ordinary text and done on the bytes of all texts at
+once: a single space belongs to what follows it, and a run of letters, of digits
+or of marks and a lone line feed are pieces; these go straight to the library's BPE
+model. A word (between spaces) with any other character, such as an apostrophe, is
+not cut and goes through the library's whole encoder, and so does a whole text in
+which blanks meet.
 """
 
 from __future__ import annotations
@@ -18,12 +19,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-TEXT_BYTES = 12 << 20      # text taken together for one list of words
-KEPT_WORDS = 400_000       # words whose ids a worker keeps between batches
-LETTERS_TO = "\u0250"       # letters below it are letters in every Unicode version
-MARKS = "!#$%&*+,-./:;<=>?@^_~"     # a run of them after a letter, before a blank: one piece
+TEXT_BYTES = 12 << 20      # text taken together for one list of pieces
+KEPT_PIECES = 400_000      # pieces whose ids a worker keeps between batches
 IDS = np.dtype("<u4")
 
+# Kinds of bytes. C3-C9 lead the letters U+00C0 to U+024F (but for two signs), which
+# are letters in every Unicode version; any other lead byte makes a word special.
+SPACE, LETTER, DIGIT, MARK, FEED, OTHER = range(6)
+_KIND = np.full(256, OTHER, dtype=np.uint8)
+_KIND[32], _KIND[10] = SPACE, FEED
+_KIND[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = LETTER
+_KIND[48:58] = DIGIT
+_KIND[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = MARK
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+_BLANK_LEAD = np.zeros(256, dtype=bool)
+_BLANK_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_SIGNS = (0x97, 0xB7)       # after C3: the multiplication and division signs
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -62,10 +75,10 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self._feeds: dict[int, np.ndarray] = {}
         self._symbols = _byte_symbols()
-        self._known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self._marks = {m: self._piece(m, False) for m in MARKS + "\n"}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._known: dict[bytes, bytes] = {}
+        self._feeds: dict[int, np.ndarray] = {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=IDS)
@@ -81,84 +94,112 @@ class Encoder:
             self._feeds[n] = self.whole("\n" * n)
         return self._feeds[n]
 
-    def _spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of every " " + word, and how many each has. No word is empty or
-        has a blank at an end."""
-        ids = [self._word(w, True) for w in words]
+    def pieces(self, pieces: list[bytes], special: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces put together, and how many each has."""
+        ids = list(map(self._known.get, pieces))
+        tokenize, symbols, room = self.tokenizer.model.tokenize, self._symbols, KEPT_PIECES - len(self._known)
+        for i, known in enumerate(ids):
+            if known is not None:
+                continue
+            piece = pieces[i]
+            if special[i]:
+                ids[i] = self.whole(piece.decode()).tobytes()
+                continue
+            ids[i] = array("I", [t.id for t in tokenize(piece.decode("latin-1").translate(symbols))]).tobytes()
+            if room > 0:
+                self._known[piece] = ids[i]
+                room -= 1
         lens = np.fromiter(map(len, ids), np.int64, len(ids)) // IDS.itemsize
         return np.frombuffer(b"".join(ids), dtype=IDS), lens
 
-    def _word(self, word: str, space: bool) -> bytes:
-        """Ids, as bytes, of a word that has no blank at an end and no space in it."""
-        known = self._known[space]
-        ids = known.get(word)
-        if ids is not None:
-            return ids
-        if word.isalpha() and (word.isascii() or max(word) < LETTERS_TO):
-            # letters alone are one piece of the pre-tokenizer
-            ids = self._piece(word, space)
-            if len(known) < KEPT_WORDS:
-                known[word] = ids
-            return ids
-        if word[-1] in MARKS and (core := word.rstrip(MARKS)).isalpha() and max(core) < LETTERS_TO:
-            # so is a run of marks after them
-            return self._word(core, space) + self._run(word[len(core):])
-        lines = word.split("\n")
-        if len(lines) > 1 and all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
-            # a lone line feed between non-blanks is a piece of its own
-            return self._marks["\n"].join(
-                self._word(x, space and not i) for i, x in enumerate(lines))
-        return self.whole(" " + word if space else word).tobytes()
-
-    def _run(self, marks: str) -> bytes:
-        ids = self._marks.get(marks)
-        if ids is None:
-            ids = self._piece(marks, False)
-            if len(self._marks) < 1000:
-                self._marks[marks] = ids
-        return ids
-
-    def _piece(self, piece: str, space: bool) -> bytes:
-        raw = " " + piece if space else piece
-        mapped = raw.encode().decode("latin-1").translate(self._symbols)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+
+def blanks(data: np.ndarray) -> np.ndarray:
+    """Which bytes are of blank characters (Unicode's, and the control characters
+    that some call blank)."""
+    out = _BLANK[data]
+    at = np.flatnonzero(_BLANK_LEAD[data[:-1]]) if len(data) else np.zeros(0, np.int64)
+    second = data[at + 1]
+    two = at[(data[at] == 0xC2) & ((second == 0x85) | (second == 0xA0))]
+    out[two] = out[two + 1] = True
+    at = at[at + 2 < len(data)]
+    a, b, c = data[at], data[at + 1], data[at + 2]
+    three = at[((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+               | ((a == 0xE2) & (b == 0x81) & (c == 0x9F))
+               | ((a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)))]
+    for k in range(3):
+        out[three + k] = True
+    return out
+
+
+def cut(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cut texts, put together as UTF-8 bytes with their bounds ``rows``: the first
+    byte of every piece, whether it is of a special word, whether a text has a space
+    that meets a blank and must be encoded whole, and which bytes are blank."""
+    n, n_rows = len(data), len(rows) - 1
+    whole = np.zeros(n_rows, dtype=bool)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, bool), whole, np.zeros(0, bool)
+    kind = _KIND[data]
+    first = np.zeros(n + 1, dtype=bool)
+    first[rows] = True              # of a text (or the end)
+    last = first[1:]
+    first = first[:-1]
+    space, feed = kind == SPACE, kind == FEED
+    blank = blanks(data)
+    after = np.append(blank[1:], False) & ~last
+    before = np.append(False, blank[:-1]) & ~first
+    meet = space & (after | before | last)
+    if meet.any():
+        whole[np.searchsorted(rows, np.flatnonzero(meet), side="right") - 1] = True
+    word = first | space
+    start = word.copy()
+    start[1:] |= (kind[1:] != kind[:-1]) & ~space[:-1]
+    odd = kind == OTHER
+    odd[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == _SIGNS[0]) | (data[1:] == _SIGNS[1]))
+    odd |= feed & (after | before)  # several line feeds
+    at = np.flatnonzero(odd)
+    special = np.zeros(n, dtype=bool)
+    if len(at):
+        words = np.flatnonzero(word)
+        no = np.unique(np.searchsorted(words, at, side="right") - 1)
+        ends = np.append(words[1:], n)
+        mark = np.zeros(n + 1, dtype=np.int8)
+        mark[words[no]] += 1
+        mark[ends[no]] -= 1
+        special = np.cumsum(mark[:-1], dtype=np.int8).view(bool)
+        start &= word | ~special
+    pieces = np.flatnonzero(start)
+    return pieces, special[pieces], whole, blank
 
 
 class Encoded:
     """The ids of a column of texts, given out for ranges of rows."""
 
     def __init__(self, enc: Encoder, texts: pa.Array):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pa.concat_arrays([pc.fill_null(texts.cast(pa.large_string()), "")])
         body = pc.utf8_rtrim(texts, "\n")
         self.feeds = (pc.binary_length(texts).to_numpy(zero_copy_only=False)
                       - pc.binary_length(body).to_numpy(zero_copy_only=False))
-        lists = pc.split_pattern(body, " ")
-        self.at = lists.offsets.to_numpy().astype(np.int64)
-        self.at -= self.at[0]
-        coded = lists.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        words = coded.dictionary.to_pylist()
-        blank = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], dtype=bool)
-        good = np.flatnonzero(~blank)
-        ids, counts = enc._spaced([words[i] for i in good])
-        firsts, of_first = np.unique(codes[self.at[:-1]], return_inverse=True)
-        plain = [np.array(e.ids, dtype=IDS) for e in enc.tokenizer.encode_batch(
-            [words[i] for i in firsts], add_special_tokens=False)]
-        n = len(words)
-        self.lens = np.zeros(n + len(firsts), np.int64)
-        self.lens[good] = counts
-        self.lens[n:] = [len(p) for p in plain]
-        self.starts = np.zeros(n + len(firsts), np.int64)
-        self.starts[good] = np.cumsum(counts) - counts
-        self.starts[n:] = len(ids) + np.cumsum(self.lens[n:]) - self.lens[n:]
-        self.table = np.concatenate([ids, *plain])
-        # a text of one word is that word; any other with a blank word is encoded whole
-        rows = np.repeat(np.arange(len(texts)), np.diff(self.at))
-        odd = np.zeros(len(texts), bool)
-        odd[rows[blank[codes]]] = True
-        odd &= (np.diff(self.at) > 1) | (self.feeds > 0)
-        codes[self.at[:-1]] = n + of_first
-        self.codes, self.enc, self.texts, self.odd = codes, enc, texts, odd
+        _, offsets, buffer = body.buffers()
+        rows = np.frombuffer(offsets, np.int64, len(body) + 1) if len(body) else np.zeros(1, np.int64)
+        buffer = buffer or pa.py_buffer(b"")
+        data = np.frombuffer(buffer, np.uint8, int(rows[-1]))
+        starts, special, odd, blank = cut(data, rows)
+        # blanks before the line feeds at the end would be one piece with them
+        some = np.flatnonzero((self.feeds > 0) & (np.diff(rows) > 0))
+        odd[some] |= blank[rows[some + 1] - 1]
+        for token in enc.added:         # the whole encoder finds these before it cuts
+            odd |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False).astype(bool)
+        bounds = np.append(starts, len(data)).astype(np.int64)
+        column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), buffer])
+        coded = column.dictionary_encode()
+        self.codes = coded.indices.to_numpy(zero_copy_only=False)
+        n = len(coded.dictionary)
+        table, self.lens = enc.pieces(coded.dictionary.to_pylist(),
+                                      np.bincount(self.codes, special, n) > 0 if n else special)
+        self.table, self.starts = table, np.cumsum(self.lens) - self.lens
+        self.at = np.searchsorted(starts, rows)         # each row's first piece
+        self.enc, self.texts, self.odd = enc, texts, odd
 
     def __len__(self) -> int:
         return len(self.texts)
