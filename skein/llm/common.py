@@ -66,17 +66,20 @@ def spread(df: DataFrame) -> int:
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that one slice holds about ``max_bytes`` of ``column``
-    (always at least one row)."""
+    (always at least one row). Memory that a slice needed goes back before the
+    next one."""
     col = batch.column(batch.schema.get_field_index(column))
     sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > max_bytes:
             yield batch.slice(start, i - start)
+            pa.default_memory_pool().release_unused()
             start, held = i, 0
         held += int(size)
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def file_system(uri: str):

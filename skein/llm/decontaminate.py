@@ -45,9 +45,9 @@ from skein.session import scratch_path
 
 WINDOW = 10
 SLACK = 2
-SEGMENT_BYTES = 4 << 20     # text of a segment; at least one document
+SEGMENT_BYTES = 2 << 20     # text of a segment; at least one document
 BLOCK_BYTES = 4 << 20       # item text of a block of test windows
-CANDIDATES = 2 << 20        # places looked at together
+CANDIDATES = 1 << 19        # places looked at together
 GAP = 64                    # positions between two documents
 
 # bytes that make words, A-Z lowered; all others become spaces

@@ -19,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-TEXT_BYTES = 12 << 20      # text taken together for one list of pieces
-KEPT_PIECES = 400_000      # pieces whose ids a worker keeps between batches
+TEXT_BYTES = 8 << 20       # text taken together for one list of pieces
+KEPT_PIECES = 200_000      # pieces whose ids a worker keeps between batches
 IDS = np.dtype("<u4")
 
 # Kinds of bytes. C3-C9 lead the letters U+00C0 to U+024F (but for two signs), which
