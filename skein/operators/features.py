@@ -10,13 +10,15 @@ is broadcast to the weighting step.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms, tokenize, word_ngrams
 from skein.operators.indexing import dense_index
 from skein.operators.rows import as_col, explode_rows
-from skein.session import cut_lineage
+from skein.session import staged
 
 # ---- fixed values: the English stop-word list of the reference's library ----
 STOP_WORDS = [
@@ -68,18 +70,19 @@ def train_val_split(df: DataFrame, index: str = "index", seed: int = 0,
                          .otherwise(F.lit("train")).alias("split"))
 
 
-def term_counts(df: DataFrame, text, doc: str = "index", n_max: int = NGRAM_MAX) -> DataFrame:
-    """(doc, term, tf): word 1..n_max-grams of lower-cased runs of >= 2 word
-    characters, counted per document (F4).
+def term_counts(df: DataFrame, text, doc: str = "index", n_max: int = NGRAM_MAX,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """(doc, *keep, term, tf): word 1..n_max-grams of lower-cased runs of >= 2 word
+    characters, counted per document (F4); ``keep`` names columns of the document.
 
     The input is hash-partitioned on the document key first, so the count and
     any later per-document window need no further exchange.
     """
     # the token array is projected once; n-grams read that column
-    toks = df.repartition(doc).select(F.col(doc), terms(as_col(text)).alias("_t"))
-    grams = explode_rows(toks.select(doc, word_ngrams(F.col("_t"), n_max).alias("_g")),
+    toks = df.repartition(doc).select(F.col(doc), *keep, terms(as_col(text)).alias("_t"))
+    grams = explode_rows(toks.select(doc, *keep, word_ngrams(F.col("_t"), n_max).alias("_g")),
                          "_g", "_gi", "term").drop("_gi")
-    return grams.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return grams.groupBy(doc, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def fit_vocabulary(counts: DataFrame, n_docs, doc: str = "index",
@@ -100,10 +103,11 @@ def tfidf_weights(counts: DataFrame, vocab: DataFrame, n_docs, doc: str = "index
     w = tf * (ln((1 + n) / (1 + df)) + 1), divided by the document's norm.
     ``counts`` must come from :func:`term_counts` (partitioned by document)."""
     idf = F.log((F.lit(1) + n_docs) / (F.lit(1) + F.col("df"))) + F.lit(1.0)
+    # at most max_features rows
     v = F.broadcast(vocab.select("term", "term_index", idf.alias("idf")))
     w = counts.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
-    return w.select(F.col(doc), "term_index", "term", (F.col("w") / norm).alias("weight"))
+    return w.withColumn("weight", F.col("w") / norm).drop("tf", "idf", "w")
 
 
 def featurize(labelled: DataFrame, text: str = "Sentence", doc: str = "index",
@@ -120,12 +124,12 @@ def featurize(labelled: DataFrame, text: str = "Sentence", doc: str = "index",
     which pays off for small corpora with expensive cleaning.
     """
     split = train_val_split(labelled, doc, seed)
-    counts = term_counts(labelled, text, doc)
+    # split and label ride along with the document, so nothing is joined to the terms
+    docs = labelled.select(doc, text, label).join(split, doc)
+    counts = term_counts(docs, text, doc, keep=["split", label])
     if materialize:
-        counts = cut_lineage(counts)
-    train_ids = split.where(F.col("split") == "train").select(doc)
-    train_counts = counts.join(train_ids, doc, "left_semi")
-    n_train = train_ids.agg(F.count(F.lit(1))).scalar()
-    vocab = fit_vocabulary(train_counts, n_train, doc)
-    weights = tfidf_weights(counts, vocab, n_train, doc)
-    return weights.join(split, doc).join(labelled.select(doc, label), doc)
+        counts = staged(counts, "term-counts")
+    train = F.col("split") == "train"
+    n_train = split.where(train).agg(F.count(F.lit(1))).scalar()
+    vocab = fit_vocabulary(counts.where(train), n_train, doc)
+    return tfidf_weights(counts, vocab, n_train, doc)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.predicates import not_deleted, on_comment
 from skein.functions.text import trim_whitespace
-from skein.operators.asof import asof_join, resolve
+from skein.operators.asof import asof_join, earlier_version, join_versions, with_version
 from skein.operators.rows import as_col
 
 
@@ -50,7 +50,7 @@ def verified_pairs(df: DataFrame) -> DataFrame:
     latest strictly earlier position of its parent key.
     """
     asked = df.select("pos", "id", "parent_id")
-    at = resolve(asked, df.select("pos", "id"), "parent_id", "id", inclusive=False)
+    at = earlier_version(asked)
     return asked.join(at.where("_rpos IS NOT NULL"), F.col("pos") == F.col("_lpos"), "left_semi")
 
 
@@ -62,9 +62,11 @@ def paired_ids(pairs: DataFrame) -> DataFrame:
 def body_pairs(df: DataFrame, payload: str = "body") -> DataFrame:
     """(parent body, reply body): the parent is the latest row with that id at a
     position <= the reply's, the reply row itself included (J7)."""
-    parents = df.select("id", "pos", payload)
-    out = asof_join(df.select("pos", "id", "parent_id", payload), parents,
-                    left_key="parent_id", right_key="id", inclusive=True)
+    out = asof_join(df.select("pos", "id", "parent_id", payload), df.select("pos", payload))
+    return _pair_columns(out, payload)
+
+
+def _pair_columns(out: DataFrame, payload: str) -> DataFrame:
     return out.select(
         F.col("pos"), F.col("id"), F.col("parent_id"), F.col("p_pos").alias("parent_pos"),
         F.col(f"p_{payload}").alias(f"parent_{payload}"), F.col(payload).alias(f"reply_{payload}"))
@@ -89,20 +91,24 @@ def preprocess(df: DataFrame,
 def extract_pairs(raw: DataFrame, **hooks) -> DataFrame:
     """Two-phase training-pair extraction.
 
-    Phase 1 finds every id that takes part in a verified pair; phase 2 keeps only
-    those comments (a left-semi join, reduced at runtime to a broadcast by AQE
-    when the id set turns out small) and pairs bodies as-of. The preprocessing
-    does not change ids, so both phases start from the same rows; ``dump_pairs``
-    writes them once, which spares a text source the second and later reads.
+    Phase 1 finds every id that takes part in a verified pair, phase 2 pairs the
+    bodies of the comments with these ids. All versions of an id are kept or
+    dropped together, and the parent of a verified child is always kept; so phase 2
+    finds the parents that the whole input has, and one search serves both phases:
+    a child is verified if its parent has a strictly earlier version, and pairs
+    with that version or, if it is its own parent, with itself. ``dump_pairs`` writes
+    the preprocessed rows first, which spares a text source all but one read.
     """
     return pair_prepared(preprocess(modify_parent_id(raw), **hooks))
 
 
 def pair_prepared(prep: DataFrame) -> DataFrame:
     """Both phases on preprocessed rows (pos, id, parent_id, body)."""
-    ids = paired_ids(verified_pairs(prep)).withColumnRenamed("id", "_paired")
+    placed = with_version(prep.select("pos", "id", "parent_id", "body"))
+    ids = paired_ids(placed.where("_strict IS NOT NULL")).withColumnRenamed("id", "_paired")
     # a child without an id is paired by what it lacks, as None is in a set
-    return body_pairs(prep.join(ids, F.col("id").eqNullSafe(F.col("_paired")), "left_semi"))
+    kept = placed.join(ids, F.col("id").eqNullSafe(F.col("_paired")), "left_semi")
+    return _pair_columns(join_versions(kept, prep.select("pos", "body")), "body")
 
 
 def record_pairs(df: DataFrame, cols=("id", "parent_id", "author", "body")) -> DataFrame:
@@ -113,8 +119,7 @@ def record_pairs(df: DataFrame, cols=("id", "parent_id", "author", "body")) -> D
     """
     replies = df.where(on_comment("parent_id")).withColumn("_key", parent_key("parent_id"))
     keep = ["pos", *[c for c in cols if c in df.columns]]
-    out = asof_join(replies.select(*keep, "_key"), replies.select(*keep),
-                    left_key="_key", right_key="id", inclusive=True)
+    out = asof_join(replies.select(*keep, "_key"), replies.select(*keep), key="_key")
     return out.select(*keep, *[f"p_{c}" for c in keep])
 
 

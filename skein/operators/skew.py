@@ -40,7 +40,7 @@ def bucketed(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
     p = partitions(rows)
     if p == 1:
         return rows.withColumn(BUCKET, F.lit(-1))
-    bounds = rows.agg(F.percentile_approx(pos, [i / p for i in range(1, p)])).scalar()
+    bounds = rows.agg(F.percentile_approx(pos, [i / p for i in range(1, p)], 100 * p)).scalar()
     place = F.size(F.filter("_bounds", lambda b: b < F.col(pos)))
     hot = hot_table(rows, key).withColumn("_bounds", bounds)
     return _mark(rows, hot, key).withColumn(

@@ -54,18 +54,15 @@ def _doubled(state: DataFrame, name: str, step, active: str) -> DataFrame:
     none is left; the others are kept as they are. ``step`` returns the moved rows
     and a column ``_changed``; a round in which none changed ends the work."""
     done: list[DataFrame] = []
-    moving = staged(state, name)
+    moving = staged(state.withColumn("_changed", F.lit(True)), name)
     for _ in range(MAX_ROUNDS):
-        finished = moving.where(f"NOT ({active})")
-        going = moving.where(active)
-        if going.isEmpty():
-            return reduce(DataFrame.unionByName, [*done, moving])
-        done.append(finished)
-        targets = reduce(DataFrame.unionByName, [*done, going])
-        moved = staged(step(going, targets), name)
-        if not moved.where("_changed").head(1):
-            return reduce(DataFrame.unionByName, [*done, moved.drop("_changed")])
-        moving = moved.drop("_changed")
+        left, changed = moving.agg(F.count_if(active_col := F.expr(active)), F.count_if("_changed")).first()
+        rows = moving.drop("_changed")
+        if not left or not changed:
+            return reduce(DataFrame.unionByName, [*done, rows])
+        done.append(rows.where(~active_col))
+        going = rows.where(active_col)
+        moving = staged(step(going, reduce(DataFrame.unionByName, [*done, going])), name)
     raise RuntimeError(f"{name}: not settled after {MAX_ROUNDS} rounds")
 
 

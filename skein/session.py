@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join side that turns out to have at most this many bytes is broadcast
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

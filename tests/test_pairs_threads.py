@@ -90,10 +90,11 @@ def display(thr):
 @pytest.mark.parametrize("seed,dup", [(11, False), (12, True), (13, True)])
 def test_threads_match_display(spark, seed, dup):
     rows = random_forest(seed, n=40, dup=dup, unsorted=True)
-    thr = TH.threads(frame(spark, rows))
-    assert display(thr) == M.conversations(rows)
-    ranks = Counter(r.root_pos for r in thr.collect())
-    assert all(sorted(r.rank for r in thr.collect() if r.root_pos == k) == list(range(n)) for k, n in ranks.items())
+    got = TH.threads(frame(spark, rows)).collect()
+    got.sort(key=lambda r: (r.root_pos, r.rank))
+    assert [(r.pos, r.root_pos, r.level) for r in got] == M.conversations(rows)
+    for k, n in Counter(r.root_pos for r in got).items():
+        assert [r.rank for r in got if r.root_pos == k] == list(range(n))
 
 
 def test_repeated_ids_do_not_multiply(spark):
