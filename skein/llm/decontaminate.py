@@ -329,3 +329,35 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     return contamination(read_table(spark, sf_dir, "documents"),
                          read_table(spark, sf_dir, "benchmark"))
+
+
+_WORDS_SQL = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+              "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+OP1_SQL = f"""
+WITH dw AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {_WORDS_SQL} AS w FROM documents),
+iw AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS_SQL} AS w FROM benchmark),
+pairs AS (SELECT DISTINCT item, list_slice(w, i + 1, i + 10) AS g
+          FROM (SELECT item, w, unnest(range(greatest(1, len(w) - 9))) AS i FROM iw WHERE len(w) > 0)),
+win AS MATERIALIZED (SELECT g, row_number() OVER () AS wid FROM (SELECT DISTINCT g FROM pairs)),
+lens AS (SELECT DISTINCT len(g) AS n FROM win),
+dg AS (SELECT rid, n, i, list_slice(w, i + 1, i + n) AS g
+       FROM (SELECT rid, w, n, unnest(range(len(w) - n + 1)) AS i FROM dw, lens WHERE len(w) >= n)),
+hits AS MATERIALIZED (SELECT rid, n, i, dg.g FROM dg WHERE g IN (SELECT g FROM win)),
+cover AS (SELECT rid, count(DISTINCT p) AS n_hit
+          FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha
+          FROM (SELECT DISTINCT rid, item FROM hits JOIN pairs USING (g)) GROUP BY rid),
+pos AS MATERIALIZED (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS p FROM dw),
+freq AS (SELECT word, count(*) AS n FROM pos GROUP BY word),
+places AS (SELECT wid, unnest(g) AS word, unnest(range(len(g))) AS j FROM win),
+rare AS (SELECT wid, arg_min(word, n * 100 + j) AS word, arg_min(j, n * 100 + j) AS j
+         FROM (SELECT wid, word, j, coalesce(n, 0) AS n FROM places LEFT JOIN freq USING (word)) GROUP BY wid),
+starts AS (SELECT DISTINCT rid, wid, p - j + unnest([-{SLACK}, -1, 0, 1, {SLACK}]) AS s FROM rare JOIN pos USING (word)),
+near AS (SELECT DISTINCT rid, wid FROM starts JOIN win USING (wid) JOIN dw USING (rid)
+         WHERE list_bool_and(list_transform(range(len(g)), lambda k: s + k + {SLACK} >= 0 AND list_contains(
+           list_slice(w, greatest(s + k - {SLACK}, 0) + 1, s + k + {SLACK} + 1), g[k + 1])))),
+near_items AS (SELECT rid, count(DISTINCT item) AS n_near FROM near JOIN win USING (wid) JOIN pairs USING (g) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM dw LEFT JOIN cover USING (rid) LEFT JOIN items USING (rid) LEFT JOIN near_items USING (rid)
+"""

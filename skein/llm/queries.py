@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm.decontaminate import op1_decontamination
+from skein.llm.decontaminate import OP1_SQL, op1_decontamination
 from skein.llm.language import op7_language_id, pages_language_id
 from skein.llm.packing import op5_best_fit_packing
 from skein.llm.passages import op2_near_passages
@@ -10,7 +10,7 @@ from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
 from skein.llm.token_files import op10_token_files
 from skein.llm.url_filter import OP3_SQL, op3_url_filter
-from skein.llm.vector_graph import op8_vector_graph
+from skein.llm.vector_graph import OP8_SQL, op8_vector_graph
 from skein.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
@@ -28,6 +28,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+    "op8_vector_graph": OP8_SQL,
     "op3_url_filter": OP3_SQL,
     "op4_warc": OP4_SQL,
 }

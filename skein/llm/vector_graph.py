@@ -445,4 +445,20 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 def op8_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate links and components of all embeddings."""
-    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+    return near_vectors(read_table(spark, sf_dir, "embeddings")).drop("recall")
+
+
+OP8_SQL = f"""
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS MATERIALIZED (SELECT rid, vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v
+      WHERE e IS NOT NULL AND len(e) > 0 AND list_bool_and(list_transform(e, lambda x: coalesce(isfinite(x), false)))
+            AND list_dot_product(e, e) > 0),
+links AS MATERIALIZED (SELECT a.rid AS x, b.rid AS y FROM u a JOIN u b ON a.rid <> b.rid AND len(a.e) = len(b.e)
+          WHERE list_dot_product(a.e, b.e) >= {THRESHOLD}),
+reach(x, y) AS (SELECT rid, rid FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+comp AS (SELECT x AS rid, min(vec_id) AS component_id FROM reach JOIN v ON v.rid = reach.y GROUP BY x)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = v.rid) AS n_links, component_id,
+       coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN comp USING (rid)
+"""
