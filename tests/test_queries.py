@@ -1,4 +1,5 @@
-"""Every registered query against its DuckDB oracle on the smallest scale."""
+"""Every registered query against its DuckDB oracle on the smallest scale, and the
+plans it executed."""
 
 import os
 
@@ -10,6 +11,7 @@ from skein.plans.oracle import ORACLE
 import sys
 sys.path.insert(0, os.path.dirname(__file__))
 from oracle_check import compare, duck  # noqa: E402
+from plan_check import check, watch  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -22,8 +24,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, name, QUERIES[name], ORACLE[name], SF, con)
+    r, plans = watch(spark, lambda: compare(spark, name, QUERIES[name], ORACLE[name], SF, con))
     assert r["ok"], r
+    check(name, plans)
 
 
 def test_every_query_has_an_oracle():
