@@ -6,6 +6,7 @@ from skein.llm.decontaminate import OP1_SQL, op1_decontamination
 from skein.llm.language import op7_language_id, pages_language_id
 from skein.llm.packing import op5_best_fit_packing
 from skein.llm.passages import op2_near_passages
+from skein.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from skein.llm.resample import OP12_SQL, op12_importance_resample
 from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
     "op12_importance_resample": op12_importance_resample,
+    "op13_prefix_trie": op13_prefix_trie,
     "pages_language_id": pages_language_id,
 }
 
@@ -35,4 +37,5 @@ ORACLE: dict[str, str] = {
     "op3_url_filter": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op12_importance_resample": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
