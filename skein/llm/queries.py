@@ -11,6 +11,7 @@ from skein.llm.resample import OP12_SQL, op12_importance_resample
 from skein.llm.secrets import op6_secrets
 from skein.llm.simhash import op9_simhash
 from skein.llm.token_files import op10_token_files
+from skein.llm.toxicity import op11_toxicity
 from skein.llm.url_filter import OP3_SQL, op3_url_filter
 from skein.llm.vector_graph import OP8_SQL, op8_vector_graph
 from skein.llm.warc import OP4_SQL, op4_warc
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_vector_graph": op8_vector_graph,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
+    "op11_toxicity": op11_toxicity,
     "op12_importance_resample": op12_importance_resample,
     "op13_prefix_trie": op13_prefix_trie,
     "pages_language_id": pages_language_id,
