@@ -10,13 +10,14 @@ is broadcast to the weighting step.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms, tokenize, word_ngrams
-from skein.operators.indexing import dense_index
+from skein.operators.ordered import split_at
 from skein.operators.rows import as_col, explode_rows
 from skein.session import staged
 
@@ -59,15 +60,14 @@ def train_val_split(df: DataFrame, index: str = "index", seed: int = 0,
     """Seeded shuffle split (F3): (index, split). Rows are ranked by md5(seed:index)
     and the first ceil(fraction * n) are validation. Deterministic in any engine.
 
-    Only the keys are ranked (the range-partitioned dense index, never one
-    task), so the text is not read, let alone cleaned, for the split.
+    The last validation key is selected by counting (``selection``): nothing is
+    sorted or shuffled, and only the index column is read, not the text.
     """
-    keys = df.select(index)
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(index).cast("string")))
-    ranked = dense_index(keys.withColumn("_h", h), ["_h", index], "_rank")
-    n_val = F.ceil(F.lit(val_fraction) * keys.agg(F.count(F.lit(1))).scalar())
-    return ranked.select(index, F.when(F.col("_rank") < n_val, F.lit("validation"))
-                         .otherwise(F.lit("train")).alias("split"))
+    keys = df.select(index, h.alias("_h"))
+    first, rest = split_at(keys, math.ceil(val_fraction * keys.count()), ["_h", index])
+    return (first.select(index, F.lit("validation").alias("split"))
+            .unionByName(rest.select(index, F.lit("train").alias("split"))))
 
 
 def term_counts(df: DataFrame, text, doc: str = "index", n_max: int = NGRAM_MAX,

@@ -2,9 +2,9 @@
 
 The Python original is a pull-based iterator with an implicit order; here the
 order is a column (``pos``) and each operator is expressed without a global sort
-wherever the semantics allow: take/drop rank the order keys alone (range
-partitioned) and filter the rows by the cut, take_while/drop_while need one scalar
-aggregate, folds are partial aggregates.
+wherever the semantics allow: take/drop select the n-th key by counting and filter
+the rows by it, take_while/drop_while need one scalar aggregate, folds are partial
+aggregates.
 """
 
 from __future__ import annotations
@@ -17,36 +17,48 @@ from pyspark.sql import functions as F
 
 from skein.operators.indexing import dense_index
 from skein.operators.rows import as_col
+from skein.operators.selection import equals, nth_key, precedes
 
 _TIE = "_tie"
+_STRETCH = 100_000      # copies of one row that a task makes
 
 
-def _parts(df: DataFrame, n: int, order: str) -> tuple[DataFrame, DataFrame]:
-    """(the first n rows, the others) in the order of (position, what the row
-    holds), null positions first: the same way for every n. Only the order keys
-    are ranked; the rows themselves are filtered by the key of the n-th."""
+def split_at(df: DataFrame, n: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(the first n rows, the others) in the ascending order of ``keys``, null first.
+    The n-th key is selected (see ``selection``) and the rows are filtered by it; of
+    rows with that very key, which must be the same throughout, as many as are left
+    go to either side."""
     n = max(int(n), 0)
     if n == 0:
         return df.limit(0), df
-    tied = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
-    pos, tie = F.col(order), F.col(_TIE)
-    ranked = dense_index(tied.select(order, _TIE), [pos.asc_nulls_first(), tie], "_i")
-    cut = ranked.where(F.col("_i") == n - 1).select(order, _TIE).first()
+    cut = nth_key(df.select(*keys), n)
     if cut is None:
         return df, df.limit(0)
-    p, t = F.lit(cut[0]), F.lit(cut[1])
-    here = pos.eqNullSafe(p) & (tie == t)
-    before = (pos.eqNullSafe(p) & (tie < t))
-    if cut[0] is not None:
-        before = before | pos.isNull() | F.coalesce(pos < p, F.lit(False))
-    # rows that are the same throughout may lie on both sides of the cut
-    same = ranked.where(here)
-    ours = same.where(F.col("_i") < n).count()
-    theirs = same.count() - ours
-    first, rest = tied.where(before | here), tied.where(~before & ~here)
-    if theirs:
-        first = tied.where(before).unionByName(tied.where(here).limit(ours))
-        rest = rest.unionByName(tied.where(here).limit(theirs))
+    columns = [F.col(f"`{k}`") for k in keys]
+    before, here = precedes(columns, cut.key), equals(columns, cut.key)
+    ours = n - cut.before
+    if ours == cut.same:
+        return df.where(before | here), df.where(~before & ~here)
+    same = df.where(here)
+    return (df.where(before).unionByName(_copies(same, ours)),
+            df.where(~before & ~here).unionByName(_copies(same, cut.same - ours)))
+
+
+def _copies(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` of ``rows``, which are all the same: one of them, multiplied in stretches
+    that are dealt out, so no task holds them all."""
+    last = (n - 1) // _STRETCH
+    size = F.when(F.col(_TIE) == last, n - last * _STRETCH).otherwise(_STRETCH).cast("int")
+    one = rows.limit(1).withColumn(_TIE + "s", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    one = one.drop(_TIE).withColumnRenamed(_TIE + "s", _TIE).repartition(F.col(_TIE))
+    return one.withColumn(_TIE, F.explode(F.array_repeat(F.lit(0).cast("long"), size)))
+
+
+def _parts(df: DataFrame, n: int, order: str) -> tuple[DataFrame, DataFrame]:
+    """(the first n rows, the others) in the order of (position, what the row
+    holds), null positions first: the same way for every n."""
+    tied = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+    first, rest = split_at(tied, n, [order, _TIE])
     return first.drop(_TIE), rest.drop(_TIE)
 
 
