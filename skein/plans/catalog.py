@@ -745,14 +745,24 @@ def _scratch(spark, name):
 
 @query("read_bz2")
 def q_read_bz2(spark, d):
-    """Comments with a body as a bzip2 JSON dump, read back in order."""
+    """Comments as a bzip2 JSON dump, read back in order."""
     from skein.sources.files import read_comments
     path = _scratch(spark, "dump")
-    _comments(spark, d).where("body IS NOT NULL").orderBy("pos").drop("pos").write.option(
-        "compression", "bzip2").json(path)
+    _comments(spark, d).orderBy("pos").drop("pos").write.option("compression", "bzip2").json(path)
     return read_comments(spark, path, dense_pos=True).select("pos", "id", "parent_id", "body")
 
 
+@query("read_first")
+def q_read_first(spark, d):
+    """The explorer's --read-max on a bzip2 dump: the first 400 comments, of which
+    those not deleted; no more of the dump is read."""
+    from skein.sources.files import read_comments
+    path = _scratch(spark, "dump")
+    _comments(spark, d).orderBy("pos").drop("pos").write.option("compression", "bzip2").json(path)
+    first = read_comments(spark, path, first=400, dense_pos=True)
+    return first.where(P.not_deleted("body")).select("pos", "id", "parent_id", "body")
+
+
 @query("read_many")
 def q_read_many(spark, d):
     """Folders by event type, listed in order, and the first one again."""

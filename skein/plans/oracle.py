@@ -12,7 +12,7 @@ WS_CLASS = r"\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\p{Z}"
 NON_WORD = r"[^\p{L}\p{N}_]"
 WORD_CLASS = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
-EMAIL = r"[a-zA-Z0-9_.\-]+@[a-zA-Z0-9_.\-]+"
+EMAIL = r"[a-zA-Z0-9\-_.]+@[a-zA-Z0-9\-_.]+"
 IPV4 = r"((25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)(\.|$)){4}"
 # ---------------------------------------------------------------------
 
@@ -378,8 +378,10 @@ ORACLE.update({
 PROPS = """(SELECT event_id AS pos, user_id, value, event_type, event_id % 3 AS m, props FROM events)"""
 
 ORACLE.update({
-    "read_bz2": f"""WITH {COMMENTS}, c AS (SELECT * FROM comments WHERE body IS NOT NULL)
-SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, id, parent_id, body FROM c""",
+    "read_bz2": f"""WITH {COMMENTS}
+SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, id, parent_id, body FROM comments""",
+    "read_first": f"""WITH {COMMENTS}, c AS (SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, id, parent_id, body
+FROM comments) SELECT * FROM c WHERE pos < 400 AND body IS DISTINCT FROM '[deleted]'""",
     "read_many": """WITH l AS (SELECT event_type, row_number() OVER (ORDER BY event_type, event_id) - 1 AS n,
 CAST(event_id AS VARCHAR) AS value FROM events) SELECT n AS pos, value FROM l
 UNION ALL SELECT (SELECT count(*) FROM events) + row_number() OVER (ORDER BY n) - 1, value FROM l

@@ -30,3 +30,23 @@ def check(name, plans):
         if name not in PYTHON_OK:
             for node in PYTHON:
                 assert not re.search(rf"\b{node}\b", plan), node
+
+
+def rows_scanned(spark, work):
+    """Run ``work`` and return (its result, rows that its file scans gave out)."""
+    before = {e.executionId() for e in _executions(spark)}
+    result = work()
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    for e in _executions(spark):
+        if e.executionId() in before:
+            continue
+        values, nodes = store.executionMetrics(e.executionId()), store.planGraph(e.executionId()).allNodes()
+        for i in range(nodes.size()):
+            if not nodes.apply(i).name().startswith("Scan "):
+                continue
+            metrics = nodes.apply(i).metrics()
+            for k in range(metrics.size()):
+                m = metrics.apply(k)
+                if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    total += int(values.apply(m.accumulatorId()).replace(",", ""))
+    return result, total
