@@ -673,11 +673,30 @@ def q_stream_pairs_versions(spark, d):
     return _stream_pairs(spark, d, "versions")
 
 
+def _late_comment_stream(spark, d, name):
+    """Comments that arrive up to 400 positions late, in several micro-batches: many
+    replies come before their parents, or before a later version of them. A last row
+    without an id moves the watermark past all others."""
+    from skein.streaming import streams as S
+    comments = _comments(spark, d)
+    end = comments.agg((F.max("pos") + 10_000).alias("pos"))
+    staged = S.with_event_time(comments.unionByName(end, allowMissingColumns=True))
+    path = S.stage_json(staged, name, late=F.pmod(F.xxhash64("pos"), F.lit(400)))
+    return S.source(spark, path, staged.schema, files_per_batch=2)
+
+
+@query("stream_late_pairs")
+def q_stream_late_pairs(spark, d):
+    from skein.streaming import streams as S
+    found = S.exact_pair_stream(_late_comment_stream(spark, d, "late"), HORIZON, "1 second", spread=3)
+    return S.run(found, "late")
+
+
 @query("stream_pair_lines")
 def q_stream_pair_lines(spark, d):
     from skein.streaming import streams as S
-    lines = S.pair_line_stream(_comment_stream(spark, d, "pair-lines"), HORIZON, "0 seconds")
-    return S.run(lines, "pair-lines", keys=["pos"], latest_by="parent_pos", text="line")
+    lines = S.pair_line_stream(_late_comment_stream(spark, d, "pair-lines"), HORIZON, "1 second")
+    return S.run(lines, "pair-lines", text="line")
 
 
 @query("stream_summary")

@@ -343,6 +343,9 @@ WHERE body IS DISTINCT FROM '[deleted]'""",
     "stream_pairs": f"WITH {COMMENTS}, {PREP}, {VERIFIED} SELECT pos, id, parent_id FROM vp",
     "stream_pairs_versions": f"""WITH {COMMENTS}, {PREP}
 SELECT c.pos, c.id, c.parent_id, p.pos AS parent_pos, p.body AS parent_body, c.body AS reply_body
+FROM prep c ASOF JOIN prep p ON p.id = c.parent_id AND c.pos > p.pos""",
+    "stream_late_pairs": f"""WITH {COMMENTS}, {PREP}
+SELECT c.pos, c.id, c.parent_id, p.pos AS parent_pos, p.body AS parent_body, c.body AS reply_body
 FROM prep c ASOF JOIN prep p ON p.id = c.parent_id AND c.pos > p.pos""",
     "stream_pair_lines": f"""WITH {COMMENTS}, {PREP}
 SELECT p.body || chr(9) || c.body AS line FROM prep c ASOF JOIN prep p ON p.id = c.parent_id AND c.pos > p.pos""",

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -25,6 +25,7 @@ from skein.functions.predicates import not_deleted
 from skein.functions.text import DELETED, tokenize, trim_whitespace
 from skein.operators.pairs import parent_key
 from skein.session import scratch_path
+from skein.streaming.pairing import exact_pair_stream
 
 EPOCH_BASE = 1_704_067_200  # 2024-01-01T00:00:00Z: staged event times start here
 
@@ -35,13 +36,15 @@ def with_event_time(df: DataFrame, pos: str = "pos", unit_ms: int = 1) -> DataFr
     return df.withColumn("ts", F.timestamp_millis(F.lit(EPOCH_BASE * 1000) + F.col(pos) * unit_ms))
 
 
-def stage_json(df: DataFrame, name: str) -> str:
+def stage_json(df: DataFrame, name: str, late: Column | None = None) -> str:
     """Write ``df`` as JSON-lines files in ``pos`` ranges, as a producer would
     drop them into a landing folder; returns the folder. Spark's shuffle settings
-    say how many files."""
+    say how many files. ``late`` moves rows to where that much later ones are."""
     spark = df.sparkSession
     path = scratch_path(spark, f"landing-{name}")
-    df.repartitionByRange("pos").sortWithinPartitions("pos").write.json(path)
+    arrives = F.col("pos") if late is None else F.col("pos") + late
+    (df.withColumn("_arrives", arrives).repartitionByRange("_arrives").sortWithinPartitions("_arrives")
+     .drop("_arrives").write.json(path))
     _order_files(spark, path)
     return path
 
@@ -100,9 +103,10 @@ PAIR_KEYS = ["pos", "id", "parent_id"]
 
 
 def pair_line_stream(comments: DataFrame, horizon: str, delay: str) -> DataFrame:
-    """The pair dump as lines of text (R7): pos, parent_pos and ``line``."""
-    return pair_stream(comments, horizon, delay).select(
-        "pos", "parent_pos", F.concat_ws("\t", "parent_body", "reply_body").alias("line"))
+    """The pair dump as lines of text (R7), a column ``line``: one for each reply that
+    has a parent, also if versions of that arrive late (``pairing``)."""
+    return exact_pair_stream(comments, horizon, delay).select(
+        F.concat_ws("\t", "parent_body", "reply_body").alias("line"))
 
 
 def distinct_stream(df: DataFrame, cols: Sequence[str], ts: str, within: str) -> DataFrame:
@@ -156,23 +160,26 @@ def run(stream: DataFrame, name: str, keys: Sequence[str] | None = None, folder:
         latest_by: str | None = None, text: str | None = None) -> DataFrame:
     """Run ``stream`` over everything available and return its result so far.
 
-    Without ``keys``: append mode into a parquet sink. With ``keys`` (an
+    Without ``keys``: append mode into a parquet sink, or one of lines of text if
+    ``text`` names their column. With ``keys`` (an
     aggregate): update mode; each micro-batch's changed rows are written to a
     partition named by the batch id, and the result keeps the latest row per key
     (an upsert log compacted by a partial aggregate, never collected). With
     ``latest_by`` as well: append mode; of the rows of a key the one with the
     greatest ``latest_by`` is kept, in each micro-batch before it is written and
-    over all of them in the result. ``text`` writes that column as lines of text
-    instead (a line for each kept row of a micro-batch) and returns the lines.
-    ``folder`` holds sink and checkpoint.
+    over all of them in the result. ``folder`` holds sink and checkpoint.
     """
     spark = stream.sparkSession
     folder = folder or scratch_path(spark, f"stream-{name}")
     out = f"{folder}/sink"
     writer = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     if keys is None:
-        _finish(writer.format("parquet").outputMode("append").start(out))
-        return spark.read.schema(stream.schema).parquet(out)
+        sink, rows = ("parquet", stream) if text is None else ("text", stream.select(F.col(text).alias("value")))
+        if text is not None:
+            writer = rows.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+        _finish(writer.format(sink).outputMode("append").start(out))
+        found = spark.read.schema(rows.schema).format(sink).load(out)
+        return found if text is None else found.withColumnRenamed("value", text)
     values = [c for c in stream.columns if c not in keys]
 
     def latest(rows: DataFrame, by: str) -> DataFrame:
@@ -182,14 +189,11 @@ def run(stream: DataFrame, name: str, keys: Sequence[str] | None = None, folder:
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # one partition per batch id, overwritten: a re-run batch is idempotent
         rows = latest(batch, latest_by) if latest_by else batch
-        to = rows.write.mode("overwrite") if text is None else rows.select(text).write.mode("overwrite").format("text")
-        to.save(f"{out}/_batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
 
     _finish(writer.outputMode("append" if latest_by else "update").foreachBatch(upsert).start())
     if not _exists(spark, out):     # no micro-batch has run
-        return spark.createDataFrame([], stream.schema if text is None else f"{text} string")
-    if text is not None:
-        return spark.read.text(out).select(F.col("value").alias(text))
+        return spark.createDataFrame([], stream.schema)
     result = spark.read.schema(StructType([*stream.schema.fields, StructField("_batch", LongType())])).parquet(out)
     return latest(result, latest_by or "_batch")
 

@@ -2,7 +2,8 @@
 
 import re
 
-PYTHON_OK = {"udf_scalar", "udtf_flat_map", "udaf_reduce", "reduce_concat", "reduce_concat_all", "foreach_rows"}
+PYTHON_OK = {"udf_scalar", "udtf_flat_map", "udaf_reduce", "reduce_concat", "reduce_concat_all", "foreach_rows",
+             "stream_late_pairs", "stream_pair_lines"}
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "AggregateInPandas", "MapInPandas",
           "MapInArrow", "BatchEvalPythonUDTF", "ArrowEvalPythonUDTF")
 

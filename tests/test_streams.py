@@ -1,5 +1,7 @@
 """Streams: pairing beyond the horizon, versions, resuming after a stop."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from skein.streaming import streams as S
@@ -44,8 +46,7 @@ def test_stop_and_resume(spark, tmp_path):
 
     def lines():
         found = S.pair_line_stream(stream(), "1 hour", "0 seconds")
-        return sorted(r.line for r in S.run(found, "p", keys=["pos"], folder=f"{folder}/p", latest_by="parent_pos",
-                                            text="line").collect())
+        return sorted(r.line for r in S.run(found, "p", folder=f"{folder}/p", text="line").collect())
 
     assert vocab() == {"one": (0, 1), "two": (1, 2)}
     assert totals().comments == 2 and lines() == ["one two\ttwo"]
@@ -70,3 +71,54 @@ def test_distinct_forgets(spark, tmp_path):
     assert run() == ["a", "b", "c"]
     land(spark, tmp_path / "in", [(120, "a")], "pos long, k string")
     assert run() == ["a", "a", "b", "c"]        # long after the state of the first a is gone
+
+
+def test_exact_pairs_in_any_order_of_arrival(spark, tmp_path):
+    """One row a reply, answered by its latest earlier version, over restarts; state
+    holds what may still be wanted."""
+    rng = random.Random(4)
+    rows = []
+    for pos in range(240):
+        ident = f"c{rng.randrange(60)}"         # ids repeat: many versions
+        parent = rng.choice([f"t1_c{rng.randrange(60)}", f"t1_{ident}", "t3_p", None])
+        rows.append((pos, ident if rng.random() < 0.95 else None, parent, "a", f"b{pos}" if pos % 9 else "[deleted]"))
+    kept = [r for r in rows if r[4] != "[deleted]"]
+    horizon = 50
+    want = []
+    for pos, ident, parent, _, body in kept:
+        key = parent and parent.split("_", 1)[1]
+        found = [v for v in kept if key and v[1] == key and pos - horizon <= v[0] < pos]
+        if found:
+            want.append((pos, ident, key, found[-1][0], found[-1][4], body))
+
+    shuffled = sorted(rows, key=lambda r: r[0] + rng.randrange(20))
+    folder = tmp_path / "in"
+    schema = land(spark, folder, shuffled[:1])
+
+    def run(spread, state):
+        stream = S.source(spark, str(folder), schema, files_per_batch=2)
+        found = S.exact_pair_stream(stream, f"{horizon} minutes", "25 minutes", spread)
+        return sorted(tuple(r) for r in S.run(found, "x", folder=str(tmp_path / state)).collect())
+
+    for at in range(1, 240, 60):                # a stop after every four files
+        for k in range(at, min(at + 60, 240), 15):
+            land(spark, folder, shuffled[k:min(k + 15, 240)])
+        got = run(1, "one")
+        assert len({r[0] for r in got}) == len(got) and set(got) <= set(want)
+    land(spark, folder, [(1000, None, None, "a", "the end")])
+    assert run(1, "one") == sorted(want)
+    assert run(7, "seven") == sorted(want)      # replies dealt out over seven states
+
+
+def test_state_is_freed(spark, tmp_path):
+    """Versions that newer ones replace, and answered replies, leave the state."""
+    rows = [(i, "c0", "t1_c0", "a", f"b{i}") for i in range(200)] + [(1000, None, None, "a", "the end")]
+    schema = land(spark, tmp_path / "in", rows)
+    stream = S.exact_pair_stream(S.source(spark, str(tmp_path / "in"), schema), "1000 minutes", "1 minute")
+    got = S.run(stream, "f", folder=str(tmp_path / "state")).collect()
+    assert sorted((r.pos, r.parent_pos) for r in got) == [(i, i - 1) for i in range(1, 200)]
+    left = (spark.read.format("statestore").option("stateVarName", "versions")
+            .load(str(tmp_path / "state" / "checkpoint")).count())
+    waits = (spark.read.format("statestore").option("stateVarName", "waiting")
+             .load(str(tmp_path / "state" / "checkpoint")).count())
+    assert (left, waits) == (1, 0)
