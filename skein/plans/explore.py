@@ -26,7 +26,7 @@ from pyspark.sql.types import IntegralType
 
 from skein.functions import predicates as P
 from skein.functions import text as T
-from skein.operators import ordered, pairs, stats, threads, vocab
+from skein.operators import ordered, pairs, taps, threads, vocab
 from skein.operators.indexing import dense_index
 from skein.session import staged
 
@@ -107,10 +107,11 @@ def _need(df: DataFrame, fields: Sequence[str], what: str) -> None:
 def explore(records: DataFrame, o: ExploreOptions) -> dict[str, DataFrame]:
     """Build every requested report; a dict of DataFrames by report name.
 
-    With more than one report, what they share (all up to the field filter) is
-    written once to the shared folder and every report reads that, so the source
-    is read once; this, the caps, vocabularies and conversations run jobs here.
-    Otherwise nothing runs until the caller acts on a report.
+    Summary, field statistics, vocabulary, pair listing and the final count come from
+    one pass over the source (``taps``), which runs here and writes their tallies only.
+    Records are the rows themselves and are made when the caller acts on them. The
+    caps and the conversations run jobs here as well; these read the source once more
+    and write what the conversation display shows.
     """
     out: dict[str, DataFrame] = {}
     raw = "value" in records.columns
@@ -126,55 +127,68 @@ def explore(records: DataFrame, o: ExploreOptions) -> dict[str, DataFrame]:
     elif o.strip_subreddits is not None:
         df = P.strip_groups(df, o.strip_subreddits)
     df = _field_filter(df, o, raw)
-    taps = [o.summary, o.list_fields or o.count_fields, o.count_field_values, o.vocab, o.show_records, o.pairs,
-            o.conversations]
-    if sum(taps) > 1 or o.summary:
-        df = staged(df, "explored")
 
     # taps that see rows before cleaning and length filters
+    tally = taps.Tally(df)
     if o.summary:
         _need(df, ["body", "parent_id", "subreddit", "subreddit_id"], "the summary")
-        out["summary"] = stats.summary_totals(df)
-        out["summary_groups"] = stats.summary_groups(df)
+        tally.groups()
     if o.list_fields or o.count_fields or o.count_field_values:
-        texts = df.select("pos", "value") if raw else stats.records_as_json(df)
-        recs = stats.record_fields(texts)
+        columns = [c for c in df.columns if c != "pos"]
+        record = F.parse_json("value" if raw else F.to_json(F.struct(*columns)))
+        wanted = None
         if raw and (o.keep_fields is not None or o.strip_fields is not None):
-            recs = recs.where(F.col("field").isin(list(o.keep_fields)) if o.keep_fields is not None
-                              else ~F.col("field").isin(list(o.strip_fields)))
-        if o.list_fields or o.count_fields:
-            out["fields"] = stats.field_counts(recs) if o.count_fields else recs.select("field").distinct()
-        if o.count_field_values:
-            out["field_values"] = stats.field_value_counts(recs)
+            def wanted(name):
+                return name.isin(list(o.keep_fields)) if o.keep_fields is not None else ~name.isin(list(o.strip_fields))
+        tally.fields(record, o.count_field_values, wanted)
 
     key = o.text_field
-    text_used = any(getattr(o, x) for x in TEXT_OPTIONS) or o.max_length or o.min_length or o.vocab
-    if text_used:
+    cleaned = F.col(key) if key in df.columns else None
+    kept = F.lit(True)
+    if any(getattr(o, x) for x in TEXT_OPTIONS) or o.max_length or o.min_length or o.vocab:
         _need(df, [key], "the text options")
-        df = df.withColumn(key, T.preprocess_text(key, o.strip_specials, o.strip_digits,
-                                                  o.trim_whitespace, o.to_lower, o.tokenize))
+        # cleaned once, beside the field as it was, which the taps above count
+        df = df.withColumn("_cleaned", T.preprocess_text(key, o.strip_specials, o.strip_digits,
+                                                         o.trim_whitespace, o.to_lower, o.tokenize))
+        cleaned = F.col("_cleaned")
     if o.max_length:
-        df = df.where(P.max_text_length(o.max_length, key, tokens=o.tokenize))
+        kept = kept & P.max_text_length(o.max_length, "_cleaned", tokens=o.tokenize)
     if o.min_length:
-        df = df.where(P.min_text_length(o.min_length, key, tokens=o.tokenize))
+        kept = kept & P.min_text_length(o.min_length, "_cleaned", tokens=o.tokenize)
+    if o.vocab:
+        tally.words(cleaned if o.tokenize else T.chars("_cleaned"), kept)
+    if o.pairs:
+        _need(df, ["id", "parent_id"], "the pair listing")
+        tally.pairs(F.col("parent_id") if o.keep_parent else pairs.parent_key("parent_id"), kept)
+    tally.rows(kept)
 
-    # taps that see rows after cleaning
+    tallies = tally.count(df)
+    if o.summary:
+        out["summary"] = taps.summary_totals(tallies)
+        out["summary_groups"] = taps.summary_groups(tallies, tally)
+    if o.list_fields or o.count_fields:
+        out["fields"] = taps.fields(tallies, tally, o.count_fields)
+    if o.count_field_values:
+        out["field_values"] = taps.field_values(tallies)
     if o.vocab:
-        units = F.col(key) if o.tokenize else T.chars(key)
-        v = vocab.build_vocab(df.select("pos", units.alias("_units")), "_units")
+        v = taps.vocabulary(tallies)
         out["vocab"] = vocab.vocab_brief(v) if o.brief else vocab.vocab_ordered(v, o.vocab_order, o.reverse)
+    if o.pairs:
+        out["pairs"] = taps.listed_pairs(tallies, tally)
+    out["count"] = taps.row_count(tallies)
+
+    # reports that are rows, after cleaning and the length filters
+    df = df.where(kept)
+    if "_cleaned" in df.columns:
+        df = df.withColumn(key, F.col("_cleaned")).drop("_cleaned")
     if o.show_records:
         out["records"] = df
-    if o.pairs:
-        _need(df, ["id", "parent_id"], "the pair listing")
-        out["pairs"] = pairs.list_pairs(df, keep_parent=o.keep_parent)
     if o.conversations:
         _need(df, ["id", "parent_id", "author", "body"], "the conversation display")
-        placed = df
+        placed = staged(df.select("pos", "id", "parent_id", "author", "body"), "displayed")
         if not isinstance(df.schema["pos"].dataType, IntegralType):
-            placed = dense_index(df, "pos", "_n").drop("pos").withColumnRenamed("_n", "pos")
+            placed = dense_index(placed, "pos", "_n").drop("pos").withColumnRenamed("_n", "pos")
         thr = threads.threads(placed)
         out["conversations"] = threads.transcript(thr, show_header=o.show_header, clean=False) \
             .orderBy("root_pos", "rank")
-    out["count"] = df.agg(F.count(F.lit(1)).alias("n"))
     return out

@@ -33,8 +33,9 @@ def check(name, plans):
                 assert not re.search(rf"\b{node}\b", plan), node
 
 
-def rows_scanned(spark, work):
-    """Run ``work`` and return (its result, rows that its file scans gave out)."""
+def rows_scanned(spark, work, kind=""):
+    """Run ``work`` and return (its result, rows that its file scans gave out); ``kind``:
+    of files of this format only."""
     before = {e.executionId() for e in _executions(spark)}
     result = work()
     store, total = spark._jsparkSession.sharedState().statusStore(), 0
@@ -43,7 +44,7 @@ def rows_scanned(spark, work):
             continue
         values, nodes = store.executionMetrics(e.executionId()), store.planGraph(e.executionId()).allNodes()
         for i in range(nodes.size()):
-            if not nodes.apply(i).name().startswith("Scan "):
+            if not nodes.apply(i).name().startswith(f"Scan {kind}"):
                 continue
             metrics = nodes.apply(i).metrics()
             for k in range(metrics.size()):

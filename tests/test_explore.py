@@ -1,8 +1,18 @@
 """The explorer plan: stage order and reports."""
 
+import json
+import os
+import random
+import sys
+
 import pytest
+from pyspark.sql import functions as F
 
+from skein.operators import stats
 from skein.plans.explore import ExploreOptions, explore
+from skein.sources.files import read_records
+sys.path.insert(0, os.path.dirname(__file__))
+from plan_check import rows_scanned  # noqa: E402
 
 SCHEMA = "pos long, id string, parent_id string, subreddit string, subreddit_id string, author string, body string"
 
@@ -102,6 +112,49 @@ def test_reports_on_a_dump_share_one_read(spark, tmp_path):
     assert [(r.word, r["count"]) for r in out["vocab"].collect()] == [("hello", 2), ("world", 1), ("again", 1)]
     assert [r.line for r in out["conversations"].collect()] == \
         ["- c1, u:\n  ['hello', 'world']", "    - c3, v:\n      ['hello', 'again']"]
-    for name in ("summary", "summary_groups", "fields", "pairs", "count"):
+    for name in ("summary", "summary_groups", "fields", "vocab", "pairs", "count"):
         plan = out[name]._jdf.queryExecution().executedPlan().toString()
-        assert "FileScan text" not in plan and "FileScan parquet" in plan, name
+        assert "FileScan text" not in plan, name
+
+
+def test_all_taps_in_one_pass(spark, tmp_path):
+    """Seven reports read each row once, write no rows, and agree with the reports by
+    themselves."""
+    rng = random.Random(3)
+    lines = [json.dumps({"id": f"c{i}", "parent_id": rng.choice(["t3_p", f"t1_c{rng.randrange(300)}", None]),
+                         "subreddit": rng.choice(["a", "b", None]), "subreddit_id": rng.choice(["t5_1", "t5_2", None]),
+                         "author": "u", "body": rng.choice(["One two  two", "[deleted]", "x", "a b c d"]),
+                         "edited": rng.choice([False, True, 1.0, 5, None, [1], {"k": 1}]),
+                         **({"score": rng.randrange(4)} if i % 3 else {})}) for i in range(300)]
+    (tmp_path / "dump").write_text("\n".join(lines))
+    records = read_records(spark, str(tmp_path / "dump"))
+    wanted = dict(summary=True, count_fields=True, count_field_values=True, vocab=True, pairs=True)
+    text = dict(to_lower=True, trim_whitespace=True, tokenize=True, min_length=2)
+    out, read = rows_scanned(spark, lambda: explore(records, ExploreOptions(**wanted, **text)), "text")
+    assert read == 300
+    reports = {name: sorted(map(repr, df.collect())) for name, df in out.items()}
+    _, again = rows_scanned(spark, lambda: [df.collect() for df in out.values()], "text")
+    assert again == 0
+    assert {*reports} == {"summary", "summary_groups", "fields", "field_values", "vocab", "pairs", "count"}
+    for option in wanted:
+        alone = explore(records, ExploreOptions(**{option: True}, **text))
+        for name, df in alone.items():
+            assert sorted(map(repr, df.collect())) == reports[name], name
+    # and with the operators that take one report each
+    c = records.select("pos", F.from_json("value", "id string, parent_id string, subreddit string, subreddit_id string, "
+                                          "body string").alias("r")).select("pos", "r.*")
+    assert tuple(out["summary"].first()) == tuple(stats.summary_totals(c).first())
+    assert reports["summary_groups"] == sorted(map(repr, stats.summary_groups(c).select(
+        "subreddit_id", "n", "subreddit", "first_pos").collect()))
+    by_field = stats.record_fields(records)
+    assert reports["fields"] == sorted(map(repr, stats.field_counts(by_field).collect()))
+    assert reports["field_values"] == sorted(map(repr, stats.field_value_counts(by_field).collect()))
+
+
+def test_empty_source(spark):
+    rows = spark.createDataFrame([], "pos long, id string, parent_id string, subreddit string, subreddit_id string, "
+                                     "author string, body string")
+    out = explore(rows, ExploreOptions(summary=True, count_fields=True, count_field_values=True, vocab=True, pairs=True,
+                                       tokenize=True))
+    assert tuple(out["count"].first()) == (0,) and out["vocab"].count() == out["pairs"].count() == 0
+    assert tuple(out["summary"].first())[:4] == (0, 0, 0, 0)
