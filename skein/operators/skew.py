@@ -1,13 +1,14 @@
-"""Splitting hot keys by position.
+"""Splitting hot keys by position, in proportion to their share.
 
 A key that holds a large share of the rows would put them into one task wherever
 rows meet by key and AQE cannot split them (windows, joins with an aggregate).
 Here a key is hot if it has at least 1/P of all rows, P being the session's
-shuffle partitions; there are at most P such keys, which is the size bound of the
-only table that is broadcast. A hot key's rows are cut into buckets of position
-with about 1/P of all rows each, by the quantiles of the position; other keys
-have the single bucket -1. Everything is part of the plan: no job runs while it is
-built, and there is no list of keys and no threshold to set.
+shuffle partitions; there are at most P such keys. A key with the share s of the rows
+gets ceil(s * P) buckets or places, so all hot keys together get at most 2P: that
+bounds the only tables that are broadcast, rows of a few numbers each, and the rows
+that are repeated. Other keys have the single bucket -1. Everything is part of the
+plan: no job runs while it is built, and there is no list of keys and no threshold to
+set.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+SAMPLE = 20         # positions a bucket that its bounds are taken from
 
 
 def partitions(df: DataFrame) -> int:
@@ -23,12 +25,13 @@ def partitions(df: DataFrame) -> int:
 
 
 def hot_table(rows: DataFrame, key: str) -> DataFrame:
-    """(_hot_key, _hot): keys with at least 1/P of the rows, at most P of them;
-    null is a key like any other."""
+    """(_hot_key, _places): keys with at least 1/P of the rows, at most P of them, and
+    ceil(share * P) for each; null is a key like any other."""
+    p = partitions(rows)
     total = rows.agg(F.count(F.lit(1))).scalar()
     counts = rows.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where((F.col("_n") * partitions(rows) >= total) & (F.col("_n") > 1)).select(
-        "_hot_key", F.lit(True).alias("_hot"))
+    return counts.where((F.col("_n") * p >= total) & (F.col("_n") > 1)).select(
+        "_hot_key", F.ceil(F.col("_n") * p / total).cast("int").alias("_places"))
 
 
 def _mark(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
@@ -36,15 +39,39 @@ def _mark(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
 
 
 def bucketed(rows: DataFrame, key: str, pos: str = "pos") -> DataFrame:
-    """``rows`` with the position bucket of its hot keys."""
+    """``rows`` with the position bucket of its hot keys: as many buckets of about
+    equally many rows as the key has places. Their bounds come from a sample of about
+    ``SAMPLE`` positions a place, taken by hash, so that a plan that is computed again
+    finds the same ones; there are at most 2P bounds in all."""
     p = partitions(rows)
     if p == 1:
         return rows.withColumn(BUCKET, F.lit(-1))
-    bounds = rows.agg(F.percentile_approx(pos, [i / p for i in range(1, p)], 100 * p)).scalar()
-    place = F.size(F.filter("_bounds", lambda b: b < F.col(pos)))
-    hot = hot_table(rows, key).withColumn("_bounds", bounds)
-    return _mark(rows, hot, key).withColumn(
-        BUCKET, F.when(F.col("_hot") & F.col(pos).isNotNull(), place).otherwise(-1)).drop("_hot", "_bounds")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    taken = F.pmod(F.xxhash64(pos), F.lit(1 << 30)) < F.lit(float(SAMPLE * p << 30)) / total
+    hot = hot_table(rows, key).where("_places > 1")
+    sampled = _mark(rows.where(F.col(pos).isNotNull() & taken).select(key, pos), hot, key).where("_places > 1")
+    sampled = sampled.groupBy(F.col(key).alias("_hot_key"), "_places").agg(F.sort_array(F.collect_list(pos)).alias("_s"))
+    bounds = F.transform(F.sequence(F.lit(1), F.col("_places") - 1),
+                         lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_places")).cast("int")))
+    marked = _mark(rows, sampled.select("_hot_key", bounds.alias("_bounds")), key)
+    place = F.when(F.col("_bounds").isNotNull() & F.col(pos).isNotNull(), _rank("_bounds", pos, p))
+    return marked.withColumn(BUCKET, F.coalesce(place, F.lit(-1))).drop("_bounds")
+
+
+def _rank(bounds: str, pos: str, most: int) -> Column:
+    """How many of the ascending ``bounds`` are below ``pos``, by halving: one look-up
+    for each power of two up to ``most``."""
+    steps, width = [], 1
+    while width <= most:
+        steps.append(width)
+        width *= 2
+    steps = F.array(*[F.lit(w) for w in reversed(steps)])
+
+    def advance(at, width):
+        return F.when((at + width <= F.size(bounds)) & (F.get(bounds, at + width - 1) < F.col(pos)), at + width) \
+            .otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), advance)
 
 
 def before_in_key(rows: DataFrame, key: str, value: Column, pos: str, *order: Column,
@@ -68,7 +95,7 @@ def next_in_key(rows: DataFrame, key: str, pos: str, name: str) -> DataFrame:
 
 
 def _with_other_buckets(inside, tagged, key, of_bucket, start, end, merge, combine, name):
-    """Join what a hot key's buckets before or after say: P x P rows at most."""
+    """Join what a hot key's buckets before or after say: 2P rows at most."""
     facts = (tagged.where(F.col(BUCKET) >= 0).groupBy(F.col(key).alias("_key"), F.col(BUCKET).alias("_b"))
              .agg(of_bucket.alias("_v")))
     others = facts.withColumn("_other", merge("_v").over(
@@ -80,13 +107,14 @@ def _with_other_buckets(inside, tagged, key, of_bucket, start, end, merge, combi
 
 
 def join_facts(rows: DataFrame, facts: DataFrame, key: str, fact_key: str, how: str = "left") -> DataFrame:
-    """Join one row of ``facts`` per key to every row (null keys meet as well). Hot
-    keys of ``rows`` are dealt out over P places, where their single fact is
-    repeated: P x P rows more at most."""
-    p, hot = partitions(rows), hot_table(rows, key)
-    place = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(p)).cast("int")
-    salted = _mark(rows, hot, key).withColumn("_salt", F.when(F.col("_hot"), place).otherwise(0)).drop("_hot")
-    places = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(p - 1))).otherwise(F.array(F.lit(0)))
-    repeated = _mark(facts, hot, fact_key).withColumn("_place", F.explode(places)).drop("_hot")
+    """Join one row of ``facts`` per key to every row (null keys meet as well). The rows
+    of a hot key are dealt out over as many places as its share of P asks for, and its
+    single fact is repeated there: 2P rows more at most."""
+    hot = hot_table(rows, key)
+    place = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_places").cast("long")).cast("int")
+    salted = _mark(rows, hot, key).withColumn("_salt", F.coalesce(place, F.lit(0))).drop("_places")
+    places = F.when(F.col("_places").isNotNull(), F.sequence(F.lit(0), F.col("_places") - 1)) \
+        .otherwise(F.array(F.lit(0)))
+    repeated = _mark(facts, hot, fact_key).withColumn("_place", F.explode(places)).drop("_places")
     return salted.join(repeated, F.col(key).eqNullSafe(F.col(fact_key)) &
                        (F.col("_salt") == F.col("_place")), how).drop("_salt", "_place")
