@@ -18,6 +18,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+FAN = 16        # neighbouring partials that are folded together
+
+
 def scalar(f: Callable, return_type: str) -> Callable[..., Column]:
     """Per-value Python function as an Arrow-batched pandas UDF (U1): the
     map/filter/wrap callable of the original, applied to whole batches."""
@@ -75,10 +78,11 @@ def ordered_reduce(df: DataFrame, value: str, f: Callable, order: str, return_ty
     the function need not be commutative.
 
     Rows are range-partitioned by (keys, order), so a key with very many rows is
-    cut into consecutive stretches; a task folds its stretches as they stream by,
-    and the partials (one per key and task) are folded in stretch order. Without
-    keys the whole input is one key. No rows give no result for a key, and no row
-    at all without keys.
+    cut into consecutive stretches; a task folds its stretches as they stream by.
+    The partials (one per key and task) are then folded in order, ``FAN`` neighbours
+    at a time, level by level, so no task folds more than ``FAN`` partials of a key.
+    Without keys the whole input is one key. No rows give no result for a key, and no
+    row at all without keys.
     """
     keys = list(keys)
     typed = df.select(*keys, F.col(order).alias("_order"), F.col(value).cast(return_type).alias("_value"))
@@ -90,10 +94,14 @@ def ordered_reduce(df: DataFrame, value: str, f: Callable, order: str, return_ty
     # a row without an order comes first, as in a sort
     stretches = _fold_runs(typed.repartitionByRange(*keys, "_order").sortWithinPartitions(*keys, "_order"),
                            keys, "_value", f, f"{key_types}_part int, _value {return_type}", part)
-    together = stretches.repartition(*keys) if keys else stretches.coalesce(1)
-    done = _fold_runs(together.sortWithinPartitions(*keys, "_part"), keys, "_value", f,
-                      f"{key_types}_value {return_type}", dict)
-    return done.withColumnRenamed("_value", name)
+    level, parts = stretches, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while parts > 1:
+        parts = -(-parts // FAN)
+        near = level.withColumn("_group", F.floor(F.col("_part") / FAN).cast("int"))
+        level = _fold_runs(near.repartition(*keys, "_group").sortWithinPartitions(*keys, "_group", "_part"),
+                           [*keys, "_group"], "_value", f, f"{key_types}_group int, _value {return_type}", dict)
+        level = level.withColumnRenamed("_group", "_part")
+    return level.drop("_part").withColumnRenamed("_value", name)
 
 
 def grouped_reduce(df: DataFrame, keys: list[str], value: str, f: Callable, return_type: str,

@@ -1,7 +1,8 @@
 """As-of pairing inside one frame: for each row, the latest row whose id is this
 row's key, at an earlier position.
 
-First the position of that version is found on (key, position) rows alone: every
+First the position of that version is found on (key, position) rows alone, read from
+the input once and written: every
 row gives one entry as a version (its id) and one as a question (its key), a running
 maximum of the version positions answers the questions, and hot keys of either
 kind are split by position (``skew``). The payloads then meet in an equi-join on the
@@ -15,12 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators.skew import before_in_key
+from skein.session import staged
 
 
 def earlier_version(df: DataFrame, key: str = "parent_id", id_col: str = "id", pos: str = "pos") -> DataFrame:
     """(_lpos, _rpos) for each row with a key: its position and that of the latest
     strictly earlier row whose id is the key (null if there is none). Null ids and
     keys match nothing; positions are unique."""
+    # the search goes over its rows several times: keys and positions alone are written
+    df = staged(df.select(pos, id_col, key), "pair-keys")
     entries = F.array(F.struct(F.col(id_col).alias("k"), F.lit(False).alias("asks")),
                       F.struct(F.col(key).alias("k"), F.lit(True).alias("asks")))
     both = df.select(F.col(pos).alias("_p"), F.explode(entries).alias("_e")).select(

@@ -11,7 +11,7 @@ is broadcast to the weighting step.
 from __future__ import annotations
 
 import math
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,25 +110,23 @@ def tfidf_weights(counts: DataFrame, vocab: DataFrame, n_docs, doc: str = "index
     return w.withColumn("weight", F.col("w") / norm).drop("tf", "idf", "w")
 
 
-def featurize(labelled: DataFrame, text: str = "Sentence", doc: str = "index",
-              label: str = "Class", seed: int = 0, materialize: bool = False) -> DataFrame:
+def featurize(labelled: DataFrame, text: str = "Sentence", doc: str = "index", label: str = "Class",
+              seed: int = 0, prepare: Callable[[Column], Column] | None = None) -> DataFrame:
     """Split, fit on the training part, weight both parts.
 
     Output: index, split, Class, term_index, term, weight (sparse rows).
 
-    The term counts feed both the fit and the weighting. By default they are
-    recomputed for each (the text is read and cleaned twice, like a fit and a
-    transform pass): with bigrams the (document, term) table is several times
-    larger than the text, so writing it costs more than re-reading the text.
-    ``materialize=True`` writes it once to the shared checkpoint folder instead,
-    which pays off for small corpora with expensive cleaning.
+    ``prepare`` cleans the text; it runs behind the exchange that deals the documents
+    out, not in the tasks of the scan, which may be few.
+
+    The term counts feed both the fit and the weighting; they are written once to the
+    shared folder, so the text is read, cleaned and cut into n-grams once.
     """
     split = train_val_split(labelled, doc, seed)
     # split and label ride along with the document, so nothing is joined to the terms
     docs = labelled.select(doc, text, label).join(split, doc)
-    counts = term_counts(docs, text, doc, keep=["split", label])
-    if materialize:
-        counts = staged(counts, "term-counts")
+    cleaned = prepare(F.col(text)) if prepare else F.col(text)
+    counts = staged(term_counts(docs, cleaned, doc, keep=["split", label]), "term-counts")
     train = F.col("split") == "train"
     n_train = split.where(train).agg(F.count(F.lit(1))).scalar()
     vocab = fit_vocabulary(counts.where(train), n_train, doc)

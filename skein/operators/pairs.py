@@ -17,6 +17,7 @@ from skein.functions.predicates import not_deleted, on_comment
 from skein.functions.text import trim_whitespace
 from skein.operators.asof import asof_join, earlier_version, join_versions, with_version
 from skein.operators.rows import as_col
+from skein.session import staged
 
 
 def parent_key(parent_id="parent_id", strict: bool = False) -> Column:
@@ -49,7 +50,7 @@ def verified_pairs(df: DataFrame) -> DataFrame:
     One row per child row even if the parent id repeats: each child asks for the
     latest strictly earlier position of its parent key.
     """
-    asked = df.select("pos", "id", "parent_id")
+    asked = staged(df.select("pos", "id", "parent_id"), "asked")
     at = earlier_version(asked)
     return asked.join(at.where("_rpos IS NOT NULL"), F.col("pos") == F.col("_lpos"), "left_semi")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skein.functions.text import DELETED
 from skein.operators.pairs import parent_key
 from skein.operators.skew import join_facts
+from skein.session import staged
 
 
 def summary_totals(df: DataFrame) -> DataFrame:
@@ -47,8 +48,9 @@ def summary_groups(df: DataFrame) -> DataFrame:
 def inconsistent_names(df: DataFrame) -> DataFrame:
     """Rows whose subreddit name differs from the first name of their id (E3);
     rows without an id are one group."""
-    first = df.groupBy(F.col("subreddit_id").alias("_g")).agg(F.min_by("subreddit", "pos").alias("first_name"))
-    return (join_facts(df.select("pos", "subreddit_id", "subreddit"), first, "subreddit_id", "_g").drop("_g")
+    rows = staged(df.select("pos", "subreddit_id", "subreddit"), "names")
+    first = rows.groupBy(F.col("subreddit_id").alias("_g")).agg(F.min_by("subreddit", "pos").alias("first_name"))
+    return (join_facts(rows, first, "subreddit_id", "_g").drop("_g")
             .where(~F.col("subreddit").eqNullSafe(F.col("first_name"))))
 
 

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -44,9 +44,9 @@ MAX_ROUNDS = 64  # 2**64 exceeds any size; reaching it means a bug, not deep dat
 
 def _parents(df: DataFrame) -> DataFrame:
     """(pos, up): the position of the first row with the parent's id, or null."""
-    nodes = df.select("pos", parent_key("parent_id").alias("_k"))
-    first = df.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id")).agg(F.min("pos").alias("up"))
-    return join_facts(nodes, first, "_k", "_id").select("pos", "up")
+    keys = staged(df.select("pos", "id", parent_key("parent_id").alias("_k")), "thread-keys")
+    first = keys.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id")).agg(F.min("pos").alias("up"))
+    return join_facts(keys.select("pos", "_k"), first, "_k", "_id").select("pos", "up")
 
 
 def _doubled(state: DataFrame, name: str, step, active: str) -> DataFrame:
@@ -54,15 +54,23 @@ def _doubled(state: DataFrame, name: str, step, active: str) -> DataFrame:
     none is left; the others are kept as they are. ``step`` returns the moved rows
     and a column ``_changed``; a round in which none changed ends the work."""
     done: list[DataFrame] = []
-    moving = staged(state.withColumn("_changed", F.lit(True)), name)
+    active_col = F.expr(active)
+
+    def written(rows: DataFrame) -> tuple[DataFrame, dict]:
+        """The round's rows, counted while they are written."""
+        seen = Observation()
+        out = staged(rows.observe(seen, F.count_if(active_col).alias("left"),
+                                  F.count_if("_changed").alias("changed")), name)
+        return out, seen.get
+
+    moving, seen = written(state.withColumn("_changed", F.lit(True)))
     for _ in range(MAX_ROUNDS):
-        left, changed = moving.agg(F.count_if(active_col := F.expr(active)), F.count_if("_changed")).first()
         rows = moving.drop("_changed")
-        if not left or not changed:
+        if not seen["left"] or not seen["changed"]:
             return reduce(DataFrame.unionByName, [*done, rows])
         done.append(rows.where(~active_col))
         going = rows.where(active_col)
-        moving = staged(step(going, reduce(DataFrame.unionByName, [*done, going])), name)
+        moving, seen = written(step(going, reduce(DataFrame.unionByName, [*done, going])))
     raise RuntimeError(f"{name}: not settled after {MAX_ROUNDS} rounds")
 
 
@@ -162,6 +170,7 @@ def group_by_parent(df: DataFrame) -> DataFrame:
     """Comments grouped by parent_id (T1), as member rows with the group's size
     and first position; members are ordered by ``pos``. Rows without a parent_id
     are a group as well. No group is collected into one row or task."""
-    groups = df.groupBy(F.col("parent_id").alias("_g")).agg(F.count(F.lit(1)).alias("n"),
-                                                            F.min("pos").alias("first_pos"))
-    return join_facts(df.select("parent_id", "pos", "id"), groups, "parent_id", "_g").drop("_g")
+    rows = staged(df.select("parent_id", "pos", "id"), "members")
+    groups = rows.groupBy(F.col("parent_id").alias("_g")).agg(F.count(F.lit(1)).alias("n"),
+                                                              F.min("pos").alias("first_pos"))
+    return join_facts(rows, groups, "parent_id", "_g").drop("_g")

@@ -8,6 +8,9 @@ index is range-partitioned (see ``indexing``).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -46,20 +49,33 @@ def encode(df: DataFrame, tokens, vocab: DataFrame, order: str = "pos",
            name: str = "codes") -> DataFrame:
     """Integer codes of every record's tokens, in token order: (order, codes) (V2).
 
-    Records are hash-partitioned on their key once; tokens are exploded in the
-    outer form (a record without tokens keeps one row), looked up and re-assembled
-    per record. Spark broadcasts the vocabulary if its measured size allows, and
-    the re-grouping then needs no further exchange; otherwise it splits the
-    partitions of very frequent words. A record's codes are bounded by its own size.
+    Records are dealt out by their key once, as they are; ``tokens`` (a column or an
+    expression) is worked out behind that exchange. Each part's distinct words, not its
+    tokens, go to the vocabulary and come back with their indexes, a dictionary as
+    large as the part's own words; tokens are then coded in place, a part at a time.
+    However often a word occurs, it is one row for each part. A word that is not in
+    the vocabulary has a null code, and a record without tokens an empty list.
     """
-    recs = df.select(F.col(order).alias("pos"), as_col(tokens).alias("_t")).repartition("pos")
-    toks = recs.select("pos", F.posexplode_outer("_t").alias("i", "word"))
-    coded = (toks.join(vocab.select("word", "index"), "word", "left")
-             .groupBy("pos")
-             .agg(F.sort_array(F.collect_list(
-                 F.when(F.col("i").isNotNull(), F.struct("i", "index")))).alias("_c")))
-    return coded.select(F.col("pos").alias(order),
-                        F.transform("_c", lambda x: x["index"]).alias(name))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(F.col(order)), F.lit(n)).cast("int")
+    recs = df.withColumn("_part", part).repartition(n, "_part").select(
+        "_part", F.col(order).alias("pos"), as_col(tokens).alias("_t"))
+    words = recs.select("_part", F.explode_outer(F.array_distinct("_t")).alias("word")).where(
+        F.col("word").isNotNull()).distinct()
+    known = words.join(vocab.select("word", "index"), "word").select(
+        F.col("_part").alias("_of"), "word", "index")
+
+    def code(records: pa.Table, dictionary: pa.Table) -> pa.Table:
+        tokens = records["_t"].combine_chunks()
+        lens = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        at = pc.index_in(tokens.flatten(), value_set=dictionary["word"].combine_chunks())
+        codes = dictionary["index"].combine_chunks().take(at)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32())
+        return pa.table({order: records["pos"], name: pa.ListArray.from_arrays(offsets, codes)})
+
+    kind = recs.schema["pos"].dataType.simpleString()
+    return recs.groupBy("_part").cogroup(known.groupBy("_of")).applyInArrow(
+        code, f"`{order}` {kind}, `{name}` array<bigint>")
 
 
 def vocab_ordered(vocab: DataFrame, by: str | None = None, reverse: bool = False) -> DataFrame:

@@ -49,12 +49,13 @@ def _events(spark, d):
     return tables.events(spark, d)
 
 
+def _full_pipeline(text="text"):
+    """The explorer's full text pipeline (H6)."""
+    return T.preprocess_text(text, strip_specials=True, strip_digits_=True, trim=True, lower=True, tokenize_=True)
+
+
 def _doc_tokens(spark, d):
-    """documents with the explorer's full text pipeline applied (H6)."""
-    return _docs(spark, d).select(
-        F.col("doc_id").alias("pos"),
-        T.preprocess_text("text", strip_specials=True, strip_digits_=True, trim=True,
-                          lower=True, tokenize_=True).alias("tokens"))
+    return _docs(spark, d).select(F.col("doc_id").alias("pos"), _full_pipeline().alias("tokens"))
 
 
 def _joined(tokens):
@@ -465,8 +466,8 @@ def q_vocab(spark, d):
 
 @query("encode")
 def q_encode(spark, d):
-    toks = _doc_tokens(spark, d)
-    enc = vocab.encode(toks, "tokens", vocab.build_vocab(toks, "tokens"))
+    docs = _docs(spark, d).select(F.col("doc_id").alias("pos"), "text")
+    enc = vocab.encode(docs, _full_pipeline(), _vocab(spark, d))
     return enc.select(F.col("pos").alias("doc_id"), F.size("codes").cast("bigint").alias("n_codes"),
                       F.array_join(F.transform("codes", lambda c: c.cast("string")), " ").alias("codes"))
 
@@ -552,22 +553,11 @@ def q_group_by_parent(spark, d):
 
 # ---------------------------------------------------------------- featurizer (F)
 
-def _all_cleaned(spark, d):
-    """Every document, labelled or not: these steps use no label."""
-    from skein.operators.features import remove_stopwords
-    s = tables.sentences(spark, d)
-    return s.select("index", remove_stopwords(T.clean_labelled("Sentence")).alias("Sentence"))
-
-
-def _featurizer_input(spark, d):
-    from skein.operators.features import remove_stopwords
-    s = tables.labelled_sentences(spark, d)
-    return s.select("index", "Class", remove_stopwords(T.clean_labelled("Sentence")).alias("Sentence"))
-
-
 @query("stopwords")
 def q_stopwords(spark, d):
-    return _all_cleaned(spark, d)
+    """Every document, labelled or not: these steps use no label."""
+    from skein.plans.programs import prepare_sentence
+    return tables.sentences(spark, d).select("index", prepare_sentence("Sentence").alias("Sentence"))
 
 
 @query("train_val_split")
@@ -579,23 +569,26 @@ def q_train_val_split(spark, d):
 @query("ngrams")
 def q_ngrams(spark, d):
     from skein.operators.features import term_counts
-    return term_counts(_all_cleaned(spark, d), "Sentence", "index")
+    from skein.plans.programs import prepare_sentence
+    return term_counts(tables.sentences(spark, d), prepare_sentence("Sentence"), "index")
 
 
 @query("tfidf_vocab")
 def q_tfidf_vocab(spark, d):
     from skein.operators.features import fit_vocabulary, term_counts, train_val_split
-    inp = _featurizer_input(spark, d)
+    from skein.plans.programs import prepare_sentence
+    inp = tables.labelled_sentences(spark, d)
     train = train_val_split(inp, "index").where(F.col("split") == "train").select("index")
     n = train.agg(F.count(F.lit(1))).scalar()
-    v = fit_vocabulary(term_counts(inp, "Sentence", "index").join(train, "index", "left_semi"), n)
+    v = fit_vocabulary(term_counts(inp, prepare_sentence("Sentence"), "index").join(train, "index", "left_semi"), n)
     return v.select("term", "term_index", "df", "tf")
 
 
 @query("tfidf")
 def q_tfidf(spark, d):
     from skein.operators.features import featurize
-    f = featurize(_featurizer_input(spark, d))
+    from skein.plans.programs import prepare_sentence
+    f = featurize(tables.labelled_sentences(spark, d), prepare=prepare_sentence)
     return f.select("index", "split", "Class", "term_index", "term", F.round("weight", 6).alias("weight"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.text import clean_labelled
@@ -22,13 +22,13 @@ def dump_pairs(spark: SparkSession, out_path: str, *in_files: str, **hooks) -> N
     write_pairs_tsv(pair_prepared(rows), out_path)
 
 
-def prepare_labelled(df: DataFrame) -> DataFrame:
-    """Clean labelled sentences and drop stop words (F1, F2)."""
-    return df.withColumn("Sentence", remove_stopwords(clean_labelled("Sentence")))
+def prepare_sentence(text) -> Column:
+    """A labelled sentence cleaned and without stop words (F1, F2)."""
+    return remove_stopwords(clean_labelled(text))
 
 
 def featurize_file(spark: SparkSession, *paths: str, seed: int = 0) -> DataFrame:
     """Labelled TSV -> cleaned -> 90/10 split -> TF-IDF fitted on training rows.
     Output: sparse rows (index, split, Class, term_index, term, weight)."""
-    return featurize(prepare_labelled(read_labelled(spark, *paths)), seed=seed) \
+    return featurize(read_labelled(spark, *paths), seed=seed, prepare=prepare_sentence) \
         .select("index", "split", "Class", "term_index", "term", F.col("weight"))

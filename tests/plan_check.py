@@ -3,7 +3,7 @@
 import re
 
 PYTHON_OK = {"udf_scalar", "udtf_flat_map", "udaf_reduce", "reduce_concat", "reduce_concat_all", "foreach_rows",
-             "stream_late_pairs", "stream_pair_lines"}
+             "stream_late_pairs", "stream_pair_lines", "encode"}
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "AggregateInPandas", "MapInPandas",
           "MapInArrow", "BatchEvalPythonUDTF", "ArrowEvalPythonUDTF")
 
