@@ -22,9 +22,8 @@ from skein.session import staged
 def earlier_version(df: DataFrame, key: str = "parent_id", id_col: str = "id", pos: str = "pos") -> DataFrame:
     """(_lpos, _rpos) for each row with a key: its position and that of the latest
     strictly earlier row whose id is the key (null if there is none). Null ids and
-    keys match nothing; positions are unique."""
-    # the search goes over its rows several times: keys and positions alone are written
-    df = staged(df.select(pos, id_col, key), "pair-keys")
+    keys match nothing; positions are unique. The search goes over ``df`` several
+    times, so it had better be written (see ``with_version``)."""
     entries = F.array(F.struct(F.col(id_col).alias("k"), F.lit(False).alias("asks")),
                       F.struct(F.col(key).alias("k"), F.lit(True).alias("asks")))
     both = df.select(F.col(pos).alias("_p"), F.explode(entries).alias("_e")).select(
@@ -47,8 +46,16 @@ def asof_join(df: DataFrame, right: DataFrame, key: str = "parent_id", id_col: s
 def with_version(df: DataFrame, key: str = "parent_id", id_col: str = "id", pos: str = "pos",
                  inclusive: bool = True) -> DataFrame:
     """``df`` with ``_strict`` (the strictly earlier version's position) and ``_at``
-    (the position to pair with; rows without one are left out)."""
-    placed = df.join(earlier_version(df, key, id_col, pos).where("_rpos IS NOT NULL"),
+    (the position to pair with; rows without one are left out). Keys and positions
+    alone are written for the search."""
+    keys = staged(df.select(pos, id_col, key), "pair-keys")
+    return placed_by(df, keys, key, id_col, pos, inclusive)
+
+
+def placed_by(df: DataFrame, keys: DataFrame, key: str = "parent_id", id_col: str = "id", pos: str = "pos",
+              inclusive: bool = True) -> DataFrame:
+    """``with_version`` of ``df`` by a search in its written ``keys``."""
+    placed = df.join(earlier_version(keys, key, id_col, pos).where("_rpos IS NOT NULL"),
                      F.col(pos) == F.col("_lpos"), "left").drop("_lpos").withColumnRenamed("_rpos", "_strict")
     own = F.when(F.col(id_col) == F.col(key), F.col(pos))
     at = F.coalesce(own, F.col("_strict")) if inclusive else F.col("_strict")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.predicates import not_deleted, on_comment
 from skein.functions.text import trim_whitespace
-from skein.operators.asof import asof_join, earlier_version, join_versions, with_version
+from skein.operators.asof import asof_join, earlier_version, join_versions, placed_by
 from skein.operators.rows import as_col
 from skein.session import staged
 
@@ -105,11 +105,14 @@ def extract_pairs(raw: DataFrame, **hooks) -> DataFrame:
 
 def pair_prepared(prep: DataFrame) -> DataFrame:
     """Both phases on preprocessed rows (pos, id, parent_id, body)."""
-    placed = with_version(prep.select("pos", "id", "parent_id", "body"))
+    keys = staged(prep.select("pos", "id", "parent_id"), "pair-keys")
+    placed = placed_by(keys, keys)
     ids = paired_ids(placed.where("_strict IS NOT NULL")).withColumnRenamed("id", "_paired")
     # a child without an id is paired by what it lacks, as None is in a set
     kept = placed.join(ids, F.col("id").eqNullSafe(F.col("_paired")), "left_semi")
-    return _pair_columns(join_versions(kept, prep.select("pos", "body")), "body")
+    texts = prep.select("pos", "body")
+    replies = kept.join(texts.withColumnRenamed("pos", "_own"), F.col("pos") == F.col("_own")).drop("_own")
+    return _pair_columns(join_versions(replies, texts), "body")
 
 
 def record_pairs(df: DataFrame, cols=("id", "parent_id", "author", "body")) -> DataFrame:

@@ -1,6 +1,8 @@
 """Pairing and thread reconstruction against the Python models."""
 
+import os
 import random
+import sys
 from collections import Counter
 
 import pytest
@@ -8,7 +10,10 @@ from pyspark.sql import functions as F
 
 import models as M
 from skein.operators import pairs as PR
+from skein.operators import stats as ST
 from skein.operators import threads as TH
+sys.path.insert(0, os.path.dirname(__file__))
+from plan_check import rows_scanned  # noqa: E402
 
 SCHEMA = "pos long, id string, parent_id string, author string, body string"
 
@@ -186,12 +191,17 @@ def test_next_in_key(spark):
     assert got == {a: b for v in by.values() for a, b in zip(v, v[1:] + [None])}
 
 
-def test_pairing_runs_no_job_while_it_is_planned(spark):
-    kdf = PR.modify_parent_id(hot_rows(spark))
-    status = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("planning", "planning")
-    PR.extract_pairs(hot_rows(spark))
-    PR.body_pairs(kdf), PR.verified_pairs(kdf), TH.group_by_parent(kdf)
-    jobs = status.getJobIdsForGroup("planning")
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert not jobs
+@pytest.mark.parametrize("name,most", [("extract", 3), ("body", 3), ("record", 3), ("verified", 1), ("group", 1),
+                                       ("names", 1), ("threads", 3)])
+def test_reads_of_the_input(spark, tmp_path, name, most):
+    """The search reads the keys once (while the pairs are planned); texts are read once
+    for either side of a pair."""
+    rows = hot_rows(spark)
+    rows.write.json(str(tmp_path / "in"))
+    df = spark.read.schema(rows.schema).json(str(tmp_path / "in"))
+    work = {"extract": lambda: PR.extract_pairs(df), "body": lambda: PR.body_pairs(PR.modify_parent_id(df)),
+            "record": lambda: PR.record_pairs(df), "verified": lambda: PR.verified_pairs(PR.modify_parent_id(df)),
+            "group": lambda: TH.group_by_parent(df), "names": lambda: ST.inconsistent_names(df),
+            "threads": lambda: TH.threads(df)}[name]
+    n, read = rows_scanned(spark, lambda: work().count(), "json")
+    assert read <= most * rows.count() and n > 0
