@@ -23,7 +23,7 @@ HEADLINE = [
 
 def main() -> None:
     from skein.plans.catalog import QUERIES
-    from skein.session import get_spark
+    from skein.session import clear_scratch, get_spark
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -47,6 +47,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir}))
+    clear_scratch(spark)
     spark.stop()
 
 
