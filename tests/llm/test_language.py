@@ -28,11 +28,12 @@ def rows():
 
 def model(data):
     """The same posterior from plain counts (every row is in the sample)."""
-    names = sorted({r[2] for r in data if r[2]})
+    said = [r[2] for r in data if r[2]]
+    names = sorted({x for x in said if said.count(x) >= L.MIN_ROWS})
     n = len(names)
     counts = np.full((n, L.GRAMS), L.SMOOTH)
     for r in data:
-        if r[2]:
+        if r[2] in names:
             np.add.at(counts[names.index(r[2])], L.trigrams([r[1]])[0].astype(int), 1)
     logs = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
     text = [L.TEMPER * logs[:, L.trigrams([r[1]])[0].astype(int)].sum(axis=1, dtype=float)
@@ -115,3 +116,50 @@ def test_held_out_accuracy(spark):
     both = got.join(docs.where(hidden).selectExpr("doc_id AS key", "lang"), "key")
     n, right = both.count(), both.where("language = lang").count()
     assert n > 150 and right >= 0.97 * n
+
+
+def invented(i):
+    """Words of an invented language of its own."""
+    rng = np.random.default_rng(i)
+    letters = rng.permutation(list("abcdefghijklmnopqrstuvwxyz"))[:9]
+    return ["".join(rng.choice(letters, 5)) for _ in range(12)]
+
+
+def test_every_declared_language_is_known(spark):
+    """More languages than one block holds, the last ones with few rows."""
+    rng = np.random.default_rng(5)
+    data, n = [], 130
+    for i in range(n):
+        words = invented(i)
+        data += [(1000 * i + j, " ".join(rng.choice(words, 30)), f"q{i:03d}" + ("-XX" if j % 2 else ""),
+                  None, f"h{i % 7}.org") for j in range(8 if i < 100 else 4)]
+        data.append((1000 * i + 900, " ".join(rng.choice(words, 30)), None, None, None))
+    got = L.identify(spark.createDataFrame(data, SCHEMA).repartition(3)).collect()
+    assert len(got) == len(data) and n > L.BLOCK
+    assert sum(r.language == f"q{r.key // 1000:03d}" for r in got) == len(data)
+
+
+def test_tags(spark):
+    df = spark.createDataFrame([("en-US", "en"), (" EN_gb ", "en"), ("De", "de"), ("", None), ("-", None),
+                                (None, None)], "x string, y string")
+    assert all(r.x == r.y for r in df.select(L.tag(df.x).alias("x"), "y").collect())
+
+
+def test_page_evidence(spark):
+    pages = [(1, "https://A.b.org/x", '<html class="c" lang="EN-us"><title>no</title><p>yes&amp;so</p>'
+              "<script>var x</script><!-- c --></html>", "s"),
+             (2, None, None, "s"), (3, "no address", "", None), (None, "ftp://h.de?x", "<HTML LANG=de>da", "s")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, suffix string")
+    got = {r.key: (" ".join((r.text or "").split()), r.declared, r.suffix, r.host) for r in
+           L.page_evidence(df).collect()}
+    assert got[1] == ("yes so", "en", "org", "a.b.org") and got[2][0] == "" and not got[2][1] and not got[2][3]
+    assert got[3][0] == "" and not got[3][3] and got[None] == ("da", "de", "de", "h.de")
+
+
+def test_long_texts_and_clashing_names(spark):
+    docs = [(i, (EN if i % 2 else DE) + " ", "en" if i % 2 else "de", "s", "x", 1, 2) for i in range(40)]
+    docs += [(90, (DE + " ") * 60_000, None, None, "x", 1, 2), (91, "en " + "1 " * 900_000, None, None, "x", 1, 2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, "
+                                     "key string, told int, n long")
+    got = {r.key: r.language for r in L.identify(L.document_evidence(df)).collect()}
+    assert len(got) == len(docs) and got[90] == "de" and got[1] == "en" and got[0] == "de"
