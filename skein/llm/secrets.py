@@ -11,8 +11,9 @@ string, tiny for words.
 
 How tiny depends on the length, so false discoveries are controlled by length
 class. Each document also gives ordinary snippets (its letters and digits closed
-up, candidates left out) of every length class, scored the same way. Their scores
-are the distribution under "this is ordinary text"; in each class the
+up, candidates left out), scored the same way: one of every length class for each
+``STRIDE`` characters of the whole text, at least one, so that they grow with the
+text that is searched. Their scores are the distribution under "this is ordinary text"; in each class the
 Benjamini-Hochberg rule at ``FDR`` picks the lowest score that is still
 accepted. Scores are counted in bins, so the corpus-wide statistics are one
 bounded histogram.
@@ -41,6 +42,7 @@ from skein.llm.common import materialize, pick, read_table, slices, to_batch
 FDR = 0.01
 SHORTEST = 16
 TEXT_BYTES = 2 << 20        # text looked at together
+STRIDE = 512            # closed-up characters that give a snippet of every class
 CLASSES = np.array([16, 18, 20, 24, 32, 40, 64, 128])   # lengths from each to the next
 BINS = 240              # of a quarter of -log10 p
 KINDS = ("assign", "access", "hex", "random")
@@ -185,18 +187,24 @@ def class_of(length) -> np.ndarray:
 
 def snippets(text: str | None, runs: list[tuple[int, int]],
              base: list[tuple[int, int, int]]) -> list[bytes]:
-    """Ordinary text of each length class from across a document."""
+    """Ordinary text of each length class from all over a document: one in each
+    stretch of ``STRIDE`` characters, the last of which may be shorter."""
     if not text:
         return []
-    for a, b in sorted([*runs, *((s, e) for s, _, e in base)], reverse=True):
-        text = text[:a] + text[b:]
-    raw = text.encode().translate(None, _NOT_ALNUM)
+    parts, at = [], 0
+    for a, b in sorted([*runs, *((s, e) for s, _, e in base)]):
+        if a > at:
+            parts.append(text[at:a])
+        at = max(at, b)
+    raw = ("".join([*parts, text[at:]])).encode().translate(None, _NOT_ALNUM)
     out = []
-    for i, n in enumerate(CLASSES.tolist()):
-        free = len(raw) - n
-        if free >= 0:       # another place for every class, spread over the text
-            at = free * (2 * i + 1) // (2 * len(CLASSES))
-            out.append(raw[at:at + n])
+    for start in range(0, max(1, len(raw)), STRIDE):
+        size = min(STRIDE, len(raw) - start)
+        for i, n in enumerate(CLASSES.tolist()):
+            free = size - n
+            if free >= 0:       # another place for every class, spread over the stretch
+                at = start + free * (2 * i + 1) // (2 * len(CLASSES))
+                out.append(raw[at:at + n])
     return out
 
 

@@ -105,6 +105,38 @@ def test_finds_random_strings_and_leaves_words(spark):
     assert right >= 0.95 * len(planted) and wrong <= 3 and plain > 100
 
 
+@pytest.mark.parametrize("documents", [600, 6])
+def test_keys_in_few_long_documents(spark, documents):
+    """The same 600 keys are found however many documents hold them."""
+    rng = random.Random(23)
+    texts, planted = [""] * documents, set()
+    for i in range(600):
+        d = i % documents
+        texts[d] += words(rng, 150) + " "
+        key = base64.b64encode(rng.randbytes(30)).decode()
+        planted.add((d, len(texts[d]), len(texts[d]) + len(key)))
+        texts[d] += key + " "
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, *map(int, x.split(":")[1:])) for r in S.secrets(df).collect()
+             for x in r.spans.split(",") if x.startswith("random")}
+    assert len(found & planted) >= 0.95 * len(planted)
+    assert len(found - planted) <= 0.01 * len(planted) + 1
+    left = "".join(r.text for r in S.redact(df).collect())
+    assert sum(texts[d][a:b] in left for d, a, b in planted) <= 0.05 * len(planted)
+
+
+def test_snippets_cover_the_whole_text():
+    text = " ".join(f"w{i:06d}" for i in range(900))
+    raw = text.replace(" ", "")
+    got = S.snippets(text, [], [])
+    assert all(x.decode() in raw for x in got)
+    n = -(-len(raw) // S.STRIDE)
+    assert sum(len(x) == 16 for x in got) in (n, n - 1) and sum(len(x) == 128 for x in got) in (n, n - 1)
+    assert S.snippets("abc def", [], []) == [] and S.snippets(None, [], []) == []
+    # base spans may overlap each other and candidates
+    assert b"".join(S.snippets("x" * 20 + "K" * 40 + "y" * 20, [(30, 50)], [(20, 0, 35), (25, 2, 60)])[:1]).strip(b"xy") == b""
+
+
 def test_redaction(spark):
     rows = [(1, "a password=abcdefgh1 b", 22, "x"), (2, None, 7, "x"), (None, "", 0, "x"),
             (3, "token: " + "0f" * 20 + ".", 99, "x"), (4, "clean", 1, None)]
