@@ -95,6 +95,20 @@ def test_keys_are_not_shuffled_and_few_are_read(spark, monkeypatch):
     assert sum(map(len, seen)) < 12 * 500       # of 600,000 keys
 
 
+def test_no_round_reads_more_than_its_sample(spark, monkeypatch):
+    """A bracket is closed on both sides: what lies behind it is not read."""
+    monkeypatch.setattr(S, "SAMPLE", 2000)
+    seen = []
+    df = spark.range(0, 100_000, 1, 4).selectExpr("(id * 7919) % 100003 AS pos")
+    kind = type(df)         # the class that holds collect
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    want = sorted((i * 7919) % 100003 for i in range(100_000))
+    for n in (1000, 50_000):
+        assert S.nth_key(df, n) == ((want[n - 1],), n - 1, 1)
+    assert seen and max(map(len, seen)) < 1.25 * 2000
+
+
 def test_a_stretch_of_a_stream_split(spark):
     from skein.operators.features import train_val_split
     df = spark.range(1, 1004).withColumnRenamed("id", "index")
