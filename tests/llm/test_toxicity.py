@@ -150,3 +150,34 @@ def test_no_language_value_breaks_it(spark):
     rows = [(i, t, f"l{i % 40}" if i % 2 else None, 1, "x") for i, t, _, _, _ in rows]
     model = X.train(frame(spark, rows), spark.createDataFrame(list(truth.items()), "id long, label int"))
     assert set(model.thresholds) == {None}
+
+
+def test_every_labelled_row_is_learnt(spark, monkeypatch):
+    """Rows over several tasks, long texts among them, are all fitted or calibrate."""
+    monkeypatch.setattr(X, "ROWS", 200)
+    rows, _, truth = corpus(7, 700)
+    rows[1] = (1, rows[1][1] + " pad" * 30_000, *rows[1][2:])       # longer than the bound there was
+    seen, counted = [], []
+    fit, judge = X._round, X.calibrate
+    monkeypatch.setattr(X, "_round", lambda rows, *more: seen.append((rows.count(), rows.where("id = 1").first()["n"],
+                                                                      rows.rdd.getNumPartitions())) or fit(rows, *more))
+    monkeypatch.setattr(X, "calibrate", lambda model, x, y, n, z: counted.append(n.sum()) or judge(model, x, y, n, z))
+    docs = frame(spark, rows)
+    model = X.train(docs, spark.createDataFrame(list(truth.items()), "id long, label int"))
+    assert seen and all(n == len(truth) and words > 30_000 and parts == 3 for n, words, parts in seen)
+    assert 0.15 * len(truth) < counted[0] < 0.35 * len(truth)
+    rest = {r["id"]: r["score"] for r in X.score(docs.drop("score"), model).collect() if r["id"] not in truth}
+    bad = {w for x in BAD.values() for w in x}
+    right = sum((rest[i] >= X.THRESHOLD) == (len(bad & set(words_of(t))) > 0) for i, t, *_ in rows if i in rest)
+    assert right >= 0.9 * len(rest)
+
+
+def test_strongest_answers_are_found_in_stretches(monkeypatch):
+    model, texts = random_model(3), [t for t in TEXTS if words_of(t)]
+    codes, sizes = X.hashed_words(texts)
+    best, where = X.peaks(model, codes, sizes)
+    monkeypatch.setattr(X, "STRETCH", 3)
+    again, there = X.peaks(model, codes, sizes)
+    assert np.allclose(best, again, atol=1e-5) and np.allclose(np.maximum(best, 0), X.pooled(model, codes, sizes), atol=1e-5)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    assert (owner[where] == np.arange(len(sizes))[:, None]).all() and (owner[there] == owner[where]).all()
