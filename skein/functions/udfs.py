@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 
 FAN = 16        # neighbouring partials that are folded together
+ELEMENTS = 1 << 16      # of a flat map that leave a task together
 
 
 def scalar(f: Callable, return_type: str) -> Callable[..., Column]:
@@ -46,6 +47,36 @@ def table_function(f: Callable[..., Iterable], element_type: str = "bigint"):
     return _FlatMap
 
 
+def flat_map_rows(df: DataFrame, f: Callable[..., Iterable], column: str, element_type: str = "bigint") -> DataFrame:
+    """Python flat_map callable over a column, a batch of rows at a time (U2): the
+    columns of ``df`` with one row for each element, and its index (``elem``, ``value``).
+    A table function is called, and its rows are joined, once for each row; this calls
+    ``f`` alone. Elements go on ``ELEMENTS`` at a time, however many a row has."""
+    kind = to_arrow_schema(StructType.fromDDL(f"value {element_type}")).field(0).type
+
+    def run(batches):
+        for batch in batches:
+            at, elem, values = [], [], []
+
+            def made():
+                kept = batch.take(pa.array(at, pa.int64()))
+                return pa.RecordBatch.from_arrays([*kept.columns, pa.array(elem, pa.int32()), pa.array(values, kind)],
+                                                  names=[*batch.schema.names, "elem", "value"])
+
+            for row, x in enumerate(batch.column(batch.schema.names.index(column)).to_pylist()):
+                for i, v in enumerate(f(x)):
+                    at.append(row)
+                    elem.append(i)
+                    values.append(v)
+                    if len(at) == ELEMENTS:
+                        yield made()
+                        at, elem, values = [], [], []
+            if at:
+                yield made()
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, *StructType.fromDDL(f"elem int, value {element_type}").fields]))
+
+
 def _fold_runs(df: DataFrame, keys: list[str], value: str, f: Callable, schema: str,
                extra: Callable[[], dict]) -> DataFrame:
     """Fold each run of equal keys of a partition, in row order and a batch at a
