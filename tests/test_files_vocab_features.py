@@ -146,3 +146,20 @@ def test_split_sizes(spark):
     s = FE.train_val_split(df, "index")
     c = Counter(r.split for r in s.collect())
     assert c == {"validation": 11, "train": 90}
+
+
+def test_terms_are_counted_in_their_row(spark):
+    """Rows that share a key, or have none, are one document each; the terms of the others
+    pass no aggregate."""
+    rows = [(1, "b b a b"), (2, None), (3, ""), (4, "xx yy xx"), (4, "yy zz"), (None, "aa bb"), (None, "aa"),
+            (5, "xx"), (6, "aa bb aa bb aa"), (6, None)]
+    df = spark.createDataFrame(rows, "index long, s string")
+    counts = FE.term_counts(df, F.regexp_replace("s", "b a", "bb aa"), "index", n_max=2)
+    want = Counter()
+    for k, s in rows:
+        t = [w for w in (s or "").replace("b a", "bb aa").split() if len(w) > 1]
+        want.update((k, g) for g in t + [" ".join(x) for x in zip(t, t[1:])])
+    got = [tuple(r) for r in counts.collect()]
+    assert len(got) == len(want) and {(k, g): n for k, g, n in got} == want
+    parts = counts._jdf.queryExecution().optimizedPlan().children()
+    assert "Aggregate" not in parts.head().toString() and "Aggregate" in parts.last().toString()
