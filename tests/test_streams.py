@@ -122,3 +122,18 @@ def test_state_is_freed(spark, tmp_path):
     waits = (spark.read.format("statestore").option("stateVarName", "waiting")
              .load(str(tmp_path / "state" / "checkpoint")).count())
     assert (left, waits) == (1, 0)
+
+
+def test_state_is_kept_by_buckets(spark, tmp_path):
+    """Many ids share few states, which calls and timers are made for; their replies and
+    versions stay apart, also where a version is out of the horizon."""
+    rows = [(i, f"c{i}", f"t1_c{i - 40}", "a", f"b{i}") for i in range(200)] + [(230, "c230", "t1_c20", "a", "late"),
+                                                                            (300, None, None, "a", "the end")]
+    schema = land(spark, tmp_path / "in", rows)
+    stream = S.exact_pair_stream(S.source(spark, str(tmp_path / "in"), schema), "150 minutes", "1 minute", buckets=4)
+    got = S.run(stream, "b", folder=str(tmp_path / "state")).collect()
+    assert sorted((r.pos, r.parent_id, r.parent_pos, r.parent_body) for r in got) == [
+        (i, f"c{i - 40}", i - 40, f"b{i - 40}") for i in range(40, 200)]
+    state = (spark.read.format("statestore").option("stateVarName", "versions")
+             .load(str(tmp_path / "state" / "checkpoint")))
+    assert 0 < state.select("key").distinct().count() <= 4
